@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from .audio import op10_audio_features
 from .secrets import op1_secret_scans
+from .topk import OP8_SQL, op8_exact_topk
 
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
+    "op8_exact_topk": op8_exact_topk,
+    "op10_audio_features": op10_audio_features,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_exact_topk": OP8_SQL,
+}
