@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 from .audio import op10_audio_features
+from .html import op4_html_extraction
+from .packing import op6_packing
 from .secrets import op1_secret_scans
 from .topk import OP8_SQL, op8_exact_topk
 
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
+    "op4_html_extraction": op4_html_extraction,
+    "op6_packing": op6_packing,
     "op8_exact_topk": op8_exact_topk,
     "op10_audio_features": op10_audio_features,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_html_extraction": op4_html_extraction,
+    "op6_packing": op6_packing,
     "op8_exact_topk": OP8_SQL,
 }
