@@ -4,19 +4,27 @@ from __future__ import annotations
 
 from .audio import op10_audio_features
 from .html import op4_html_extraction
+from .mixing import op7_mixing
 from .packing import op6_packing
+from .quality import op2_quality_classifier
 from .secrets import op1_secret_scans
 from .topk import OP8_SQL, op8_exact_topk
+from .toxicity import op3_toxicity
 
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
+    "op2_quality_classifier": op2_quality_classifier,
+    "op3_toxicity": op3_toxicity,
     "op4_html_extraction": op4_html_extraction,
     "op6_packing": op6_packing,
+    "op7_mixing": op7_mixing,
     "op8_exact_topk": op8_exact_topk,
     "op10_audio_features": op10_audio_features,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_quality_classifier": op2_quality_classifier,
+    "op3_toxicity": op3_toxicity,
     "op4_html_extraction": op4_html_extraction,
     "op6_packing": op6_packing,
     "op8_exact_topk": OP8_SQL,
