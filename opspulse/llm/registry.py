@@ -5,6 +5,7 @@ from __future__ import annotations
 from .audio import op10_audio_features
 from .html import op4_html_extraction
 from .mixing import op7_mixing
+from .neardup import op5_near_dedup
 from .packing import op6_packing
 from .quality import op2_quality_classifier
 from .secrets import op1_secret_scans
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_toxicity": op3_toxicity,
     "op4_html_extraction": op4_html_extraction,
+    "op5_near_dedup": op5_near_dedup,
     "op6_packing": op6_packing,
     "op7_mixing": op7_mixing,
     "op8_exact_topk": op8_exact_topk,
@@ -26,6 +28,7 @@ ORACLE_SQL: dict[str, str] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_toxicity": op3_toxicity,
     "op4_html_extraction": op4_html_extraction,
+    "op5_near_dedup": op5_near_dedup,
     "op6_packing": op6_packing,
     "op8_exact_topk": OP8_SQL,
 }
