@@ -139,6 +139,16 @@ def mixture(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text_col: s
     return with_rates(members, steps).withColumn("copies", copies(key))
 
 
+def mixed(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs, each row as often as its whole copies; rows with a null key stay once."""
+    of_key = mixture(docs, labels, key, text_col).where(F.col(key).isNotNull())
+    of_key = written(of_key.groupBy(F.col(key).alias("_key")).agg(F.max("copies").alias("_copies")), "mixing-copies")
+    often = docs.join(of_key, F.col(key) == F.col("_key"), "left").withColumn(
+        "_copy", F.explode(F.array_repeat(F.lit(1), F.coalesce("_copies", F.lit(1))))
+    )
+    return often.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return mixed.select("doc_id", "tokens", *[F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)], "rate", "copies")

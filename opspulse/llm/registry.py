@@ -8,6 +8,7 @@ from .mixing import op7_mixing
 from .neardup import op5_near_dedup
 from .packing import op6_packing
 from .quality import op2_quality_classifier
+from .repeats import op9_suffix_dedup
 from .secrets import op1_secret_scans
 from .topk import OP8_SQL, op8_exact_topk
 from .toxicity import op3_toxicity
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_mixing": op7_mixing,
     "op8_exact_topk": op8_exact_topk,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_audio_features": op10_audio_features,
 }
 
