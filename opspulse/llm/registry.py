@@ -10,6 +10,7 @@ from .packing import op6_packing
 from .quality import op2_quality_classifier
 from .repeats import op9_suffix_dedup
 from .secrets import op1_secret_scans
+from .secrets_sql import OP1_SQL
 from .topk import OP8_SQL, op8_exact_topk
 from .toxicity import op3_toxicity
 
@@ -27,6 +28,7 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_secret_scans": OP1_SQL,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_toxicity": op3_toxicity,
     "op4_html_extraction": op4_html_extraction,

@@ -36,8 +36,8 @@ ASSIGN_MIN = 6
 # Alphabets, and the least entropy in bits of a window of 20 characters.
 CLASSES = {
     "hex": ("0123456789abcdef", 3.0),
-    "alnum": ("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 3.7),
-    "base64": ("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/=_-", 3.8),
+    "alnum": ("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 3.4),
+    "base64": ("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/=_-", 3.7),
 }
 CANDIDATE = r"[A-Za-z0-9+/=_-]{20,}"
 #: What can never be a key: no digit or no letter at all; UUIDs; paths and slugs of

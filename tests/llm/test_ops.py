@@ -1,0 +1,383 @@
+"""Each operator against brute force, on small fixtures and on edge rows."""
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from opspulse.llm import audio, features, html, mixing, neardup, packing, quality, repeats, secrets, topk, toxicity
+from opspulse.llm.components import components
+
+
+def texts(seed=1, n=60):
+    r = random.Random(seed)
+    words = ["".join(r.choice("abcdefghij") for _ in range(r.randint(2, 7))) for _ in range(400)]
+    return r, words, [(i, " ".join(r.choice(words) for _ in range(r.randint(1, 120)))) for i in range(n)]
+
+
+def docs_of(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+# --- op1
+
+
+def test_secret_spans_match_plain_regex(spark):
+    r = random.Random(5)
+    abc = "abcdefXYZ0123456789+/_-"
+    rows = []
+    for i in range(80):
+        parts = [r.choice(["token=", "secret: ", "Password = '", " ñ ", "token=token:", "AKIA", "\n"]) + "".join(r.choice(abc) for _ in range(r.randint(0, 45))) for _ in range(r.randint(0, 6))]
+        rows.append((i, "".join(parts)))
+    found = {x.doc_id: x for x in secrets.find_secrets(docs_of(spark, rows)).collect()}
+    assign = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
+    for i, t in rows:
+        want = [(m.start(), 0, "assign", m.end()) for m in assign.finditer(t) if len(m[1]) >= 6]
+        want += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+        want += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+        assert [(s.start, s.kind, s.end) for s in found[i].base] == [(a, k, b) for a, _, k, b in sorted(want)]
+        assert {tuple(b) for b in found[i].base} <= {tuple(s) for s in found[i].spans}
+
+
+def test_entropy_windows_and_allow_list(spark):
+    key = "q7Zt0Wm3Kx9Lp2Vb8Rn5Yc1D"
+    rows = [(1, f"see {key} there"), (2, "id 123e4567-e89b-12d3-a456-426614174000"), (3, "/some/long-path/of-plain/words/2024"), (4, "xyxyxyxyxyxyxyxyxyxyxyxy1212")]
+    got = {x.doc_id: [tuple(s) for s in x.spans] for x in secrets.find_secrets(docs_of(spark, rows)).collect()}
+    assert got == {1: [("entropy", 4, 4 + len(key))], 2: [], 3: [], 4: []}
+    terms, hot = secrets.entropy_terms(), []
+    for i in range(len(key) - 19):
+        c = collections.Counter(key[i : i + 20])
+        hot.append(sum(terms[n] for n in c.values()) <= secrets.most_terms(20, secrets.CLASSES["alnum"][1]))
+    assert all(hot)
+
+
+def test_redaction(spark, edge_docs):
+    rows = [(1, 'a token = "0123456789abcdef01234567" b'), (2, None), (3, "clean")]
+    got = {x.doc_id: x.text for x in secrets.redact_secrets(docs_of(spark, rows)).collect()}
+    assert got == {1: 'a [SECRET]" b', 2: None, 3: "clean"}
+    assert secrets.redact_secrets(edge_docs).columns == edge_docs.columns and secrets.redact_secrets(edge_docs).count() == 8
+
+
+# --- op2
+
+
+def test_quality_weights_and_draw(spark):
+    r, words, rows = texts(2, 80)
+    rows = [(i, t if i % 4 else " ".join(w + "***" for w in t.split())) for i, t in rows]
+    docs = docs_of(spark, rows)
+    labels = spark.createDataFrame([(i, 1 if i % 4 else 0, 0) for i in range(0, 60)], "doc_id long, quality int, toxic int")
+    scored = quality.weighted(docs, quality.good_sample(labels)).collect()
+    h = quality.Hasher()
+    raw = sum(np.bincount(h(t), minlength=quality.BUCKETS) for _, t in rows)
+    tgt = sum(np.bincount(h(t), minlength=quality.BUCKETS) for i, t in rows if i < 60 and i % 4)
+    p = lambda n: np.log((n + 1) / (n.sum() + quality.BUCKETS))
+    ratio = p(tgt) - p(raw) + np.count_nonzero(tgt) / tgt.sum()
+    for x in scored:
+        assert x.log_weight == pytest.approx(ratio[h(x.text)].sum(), abs=1e-9)
+    kept = {x.doc_id for x in quality.resample(docs, labels, keep_text=False).collect()}
+    k = sum(x.log_weight >= quality.MARGIN for x in scored)
+    assert kept == {x.doc_id for x in sorted(scored, key=lambda x: -x.sample_key)[:k]}
+    assert kept >= {i for i in range(80) if i % 4 and len(rows[i][1].split()) > 5}
+
+
+def test_kth_largest(spark):
+    r = random.Random(1)
+    v = [r.choice([r.gauss(0, 1), 5.0, -1e9]) for _ in range(3000)]
+    df = spark.createDataFrame([(x,) for x in v], "x double")
+    for k in (1, 7, 1500, 3000, 9999):
+        assert quality.kth_largest(df, "x", k, most=50) == sorted(v, reverse=True)[min(k, 3000) - 1]
+    assert quality.kth_largest(df.limit(0), "x", 3) is None
+
+
+# --- op3
+
+
+def test_toxicity_on_held_out_rows(spark):
+    r, words, rows = texts(3, 400)
+    toxic = {i for i in range(400) if r.random() < 0.2}
+    rows = [(i, t + " " + " ".join(r.choice(["idiot", "scum", "zorkit", "zorkam", "zorkel"]) for _ in range(3)) if i in toxic else t) for i, t in rows]
+    labels = spark.createDataFrame([(i, 1, int(i in toxic)) for i in range(400)], "doc_id long, quality int, toxic int")
+    got = toxicity.toxicity_scores(docs_of(spark, rows), labels).collect()
+    assert all(x.held_out == (zlib.crc32(str(x.doc_id).encode()) % 4 == 2) for x in got)
+    held = [x for x in got if x.held_out]
+    right = sum((x.score >= toxicity.THRESHOLD) == (x.doc_id in toxic) for x in held)
+    assert len(held) > 60 and right / len(held) >= 0.97
+    flipped = labels.withColumn("toxic", F.when(toxicity.held_out("doc_id"), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    again = {x.doc_id: x.score for x in toxicity.toxicity_scores(docs_of(spark, rows), flipped).collect()}
+    assert all(again[x.doc_id] == pytest.approx(x.score) for x in got)  # held-out labels are never read
+
+
+def test_label_model_prefers_accurate_voters():
+    r = np.random.default_rng(0)
+    y = r.random(4000) < 0.3
+    rates = [(0.02, 0.9), (0.1, 0.6), (0.4, 0.5)]
+    patterns = sum((r.random(4000) < np.where(y, b, a)).astype(int) << v for v, (a, b) in enumerate(rates))
+    m = toxicity.LabelModel(3).fit(patterns, np.where(np.arange(4000) < 200, y, -1), np.ones(4000))
+    p = m.posterior(patterns, np.full(4000, -1))
+    assert ((p > 0.5) == y).mean() > 0.93 and m.rates[1, 0] > 0.8 and m.rates[0, 0] < 0.1
+
+
+# --- op4
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>
+<header><a href="/">Home</a></header><nav><ul><li><a href=1>One</a></li></ul></nav><div class="ad">Buy now, buy a lot of it today</div>
+<article><h1>Tom &amp; Jerry</h1><p><b>First   long paragraph of
+the article with many words.<br><p>Second one, too, has enough words to count.</p><p>Short.</p></article>
+<div class="comments"><p>I like this article so very much indeed, thanks.</p></div><aside>See also</aside>
+<form><p>Write to us with this form</p></form><footer>&copy; us</footer>"""
+
+
+def test_main_text():
+    want = "Tom & Jerry\nFirst long paragraph of the article with many words.\nSecond one, too, has enough words to count.\nShort."
+    assert html.main_text(PAGE) == want
+    assert html.main_text(None) == html.main_text("") == html.main_text("<p></p>") == ""
+    assert html.main_text(PAGE.replace("<article>", "<div id=main>").replace("</article>", "</div>")) == want
+    assert html.main_text("<div>" * 3000 + "deep text here" + "</div>" * 3000) == "deep text here"
+
+
+def test_pages(spark):
+    df = spark.createDataFrame([(1, "u", PAGE, "clash"), (2, None, None, "c"), (None, "v", "x", "c")], "page_id long, url string, html string, text string")
+    got = {x.page_id: x for x in html.extract_text(df).collect()}
+    assert got[2].text == "" and got[2].n_chars == 0 and got[1].n_chars == len(got[1].text) and got[None].text == "x"
+    assert html.extract_text(df.limit(0)).count() == 0
+
+
+# --- op5
+
+
+def test_near_duplicates_against_all_pairs(spark):
+    r, words, rows = texts(4, 60)
+    more = []
+    for i, t in rows[:25]:
+        w = t.split()
+        for _ in range(2):
+            v = list(w)
+            for _ in range(len(w) // 60 + (r.random() < 0.5)):
+                v[r.randrange(len(v))] = r.choice(words)
+            more.append((100 + len(more), " ".join(v)))
+    more += [(200 + i, t) for i, t in rows[:5]] + [(300, "one two"), (301, "one two"), (302, ""), (303, None)]
+    rows = rows + more
+    s = neardup.Shingler()
+    sh = {i: s(t) for i, t in rows}
+    up = {i: i for i in sh}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    ids = sorted(sh)
+    for a in ids:
+        for b in ids:
+            if a < b and neardup.aligned_similarity(sh[a], sh[b]) >= 0.8:
+                x, y = root(a), root(b)
+                up[max(x, y)] = min(x, y)
+    got = {x.doc_id: x.class_id for x in neardup.near_duplicate_classes(docs_of(spark, rows)).collect()}
+    assert got == {i: root(i) for i in ids}
+    kept = {x.doc_id for x in neardup.deduplicated(docs_of(spark, rows)).collect()}
+    assert kept == {root(i) for i in ids}
+
+
+def test_aligned_similarity():
+    s = neardup.Shingler()
+    t = " ".join(f"w{i}" for i in range(200))
+    assert neardup.aligned_similarity(s(t), s(t)) == 1.0
+    one = s(t.replace("w100 ", "other "))
+    assert neardup.aligned_similarity(s(t), one) == pytest.approx(191 / 201)
+    half = t.split()
+    swapped = s(" ".join(half[100:] + half[:100]))
+    assert neardup.aligned_similarity(s(t), swapped) < 0.8  # same shingles in another order
+    assert len(set(s("a b a b a b a b a b").tolist())) == 6  # repeats stay apart
+
+
+def test_components(spark):
+    r = random.Random(2)
+    edges = [(f"n{r.randrange(80):02d}", f"n{r.randrange(80):02d}") for _ in range(60)] + [(f"c{i:02d}", f"c{i + 1:02d}") for i in range(40)]
+    up = {x: x for e in edges for x in e}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((root(a), root(b)))
+        up[y] = x
+    got = {x.node: x.root for x in components(spark.createDataFrame(edges, "a string, b string")).collect()}
+    assert all(got.get(x, x) == root(x) for x in up)
+
+
+# --- op6
+
+
+def test_packing_round_trip(spark):
+    r, words, rows = texts(6, 150)
+    rows += [(500, None), (501, ""), (502, " ".join(r.choice(words) for _ in range(9000))), (503, "it's a\x1fb c ÀÉ ß don't <|endoftext|> 日本 12a")]
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(packing.default_tokenizer())
+    tok.encode_special_tokens = True
+    got = packing.pack(packing.tokenized_pieces(docs_of(spark, rows)).cache()).toPandas()
+    for i, t in rows:
+        want = np.array([*tok.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes()
+        own = got[got.doc_id == i].sort_values("start")
+        assert b"".join(own.ids) == want and (own.doc_tokens * 4 == len(want)).all()
+        assert [zlib.crc32(x) for x in own.ids] == list(own.ids_crc32)
+    filled = {}
+    for x in got.sort_values(["sequence_id", "offset"]).itertuples():
+        assert x.offset == filled.get(x.sequence_id, 0)
+        filled[x.sequence_id] = x.offset + x.length
+    assert max(filled.values()) <= 4096 and sorted(filled) == list(range(len(filled)))
+
+
+def test_histogram_packing_is_complete():
+    r = random.Random(9)
+    counts = collections.Counter(min(4096, int(r.expovariate(1 / 700)) + 1) for _ in range(20_000))
+    packs = packing.pack_histogram(dict(counts))
+    used = collections.Counter()
+    for n, pattern in packs:
+        assert sum(a * b for a, b in pattern) <= 4096
+        for a, b in pattern:
+            used[a] += n * b
+    assert used == counts
+    tokens = sum(a * n for a, n in counts.items())
+    assert tokens / (4096 * sum(n for n, _ in packs)) > 0.995 and len(packs) < 2 * 4096
+
+
+# --- op7
+
+
+def test_mixing_meets_targets(spark):
+    r = np.random.default_rng(1)
+    p = r.dirichlet([4, 0.5, 0.5], 500)
+    t = r.integers(1, 500, 500)
+    members = spark.createDataFrame([(i, int(t[i]), p[i].tolist()) for i in range(500)], "doc_id long, tokens long, p array<double>").cache()
+    goal = mixing.target_totals(members, [0.9, 0.05, 0.05])
+    steps = mixing.fit_rates(members, goal)
+    rates = mixing.rates(p, steps)
+    assert rates.min() >= 0 and (t * rates) @ p == pytest.approx(goal, rel=1e-4)
+    got = {x.doc_id: x.rate for x in mixing.with_rates(members, steps).collect()}
+    assert [got[i] for i in range(500)] == pytest.approx(rates.tolist())
+
+
+def test_softmax_fit():
+    r = np.random.default_rng(2)
+    x = np.column_stack([r.normal(size=(800, 3)), np.ones(800)]).astype(np.float32)
+    y = (x[:, 0] - x[:, 1] > 0).astype(int)
+    w = features.fit_softmax(x, np.eye(2, dtype=np.float32)[y], 1e-4)
+    assert (features.softmax(x @ w).argmax(1) == y).mean() > 0.97
+
+
+# --- op8
+
+
+def test_top_k_against_brute_force(spark):
+    r = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in np.round(r.normal(size=8), 1)]) for i in range(300)]
+    rows += [(301, None), (302, [1.0] * 7 + [float("nan")]), (303, [1.0] * 7 + [None]), (304, [float("inf")] * 8), (305, [1e12] * 8), (400, [1e12] * 8), (306, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for x in topk.exact_top_k(df, df.where("vec_id % 100 = 0"), 10).orderBy("query_id", "rank").collect():
+        got[x.query_id].append((x.vec_id, x.score))
+    good = {i: [int(np.floor(1024 * x)) for x in v] for i, v in rows if v and all(x is not None and np.isfinite(x) for x in v)}
+    for q in (0, 100, 200, 400):
+        cap = lambda s: max(-(2**63), min(2**63 - 1, s))
+        want = [(cap(sum(a * b for a, b in zip(good[q], v, strict=True))), i) for i, v in good.items() if i != q and len(v) == len(good[q])]
+        assert got[q] == [(i, s) for s, i in sorted(want, key=lambda x: (-x[0], x[1]))[:10]]
+    assert topk.exact_top_k(df.limit(0), df.limit(0)).count() == 0
+
+
+# --- op9
+
+
+def repeated_reference(data: dict) -> dict:
+    seen = collections.Counter(b[i : i + 200] for b in data.values() for i in range(len(b) - 199))
+    out = {}
+    for k, b in data.items():
+        gone = np.zeros(len(b), bool)
+        for i in range(len(b) - 199):
+            if seen[b[i : i + 200]] > 1:
+                gone[i : i + 200] = True
+        kept = np.frombuffer(b, np.uint8)[~gone].tobytes()
+        out[k] = (len(b), int(gone.sum()), len(repeats.runs(gone)), hashlib.sha256(kept).hexdigest())
+    return out
+
+
+def test_cover_is_perfect():
+    assert len({(a - b) % repeats.MODULUS for a in repeats.COVER for b in repeats.COVER if a != b}) == repeats.MODULUS - 1
+
+
+def test_repeats_against_brute_force(spark):
+    r, words, rows = texts(8, 30)
+    say = lambda n: " ".join(r.choice(words) for _ in range(n))
+    shared = [say(60) for _ in range(4)]
+    rows = [(i, t + " " + r.choice(shared)[: r.randint(150, 350)] + say(r.randint(0, 30)) + r.choice(["", r.choice(shared)])) for i, t in rows]
+    rows += [(100, "ab" * 300), (101, "x" * 199), (102, "x" * 199), (103, "y" * 200), (104, "y" * 200), (105, "z" * 201), (106, None), (107, ""), (108, "ñ" * 150)]
+    docs = docs_of(spark, rows)
+    found = {x.h: x for x in repeats.repeated_spans(docs).collect()}
+    want = repeated_reference({i: (t or "").encode() for i, t in rows})
+    for i, t in rows:
+        x = found[hashlib.md5((t or "").encode()).hexdigest()]
+        assert (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) == want[i], i
+
+
+# --- op10
+
+
+def test_audio_round_trip(spark, edge_docs):
+    rows = [(1, None), (2, ""), (3, "a" * 192), (4, "é" * 97), (5, "words " * 5000), (6, "a" * 192)]
+    got = {x.doc_id: x for x in audio.audio_features(docs_of(spark, rows)).collect()}
+    for i, t in rows:
+        raw = (t or "").encode()
+        full = raw + b" " * (-len(raw) % 192 if raw else 192)
+        x = got[i]
+        assert audio.from_wav(bytes(x.media)) == full and x.payload_bytes == len(full) and x.n_bytes == len(raw)
+        assert x.payload_sha256 == hashlib.sha256(full).hexdigest() and x.tail_crc32 == zlib.crc32(full[-16:])
+        assert x.media_bytes == len(x.media) and x.media_sha256 == hashlib.sha256(x.media).hexdigest()
+        batch = audio.read_tensors(bytes(x.tensors))
+        assert batch.schema.field("mel").type.shape == [audio.PATCH, audio.MELS] and batch.num_rows >= 1
+    assert got[3].feature == got[6].feature
+
+
+def test_resampling_keeps_a_tone():
+    t = np.arange(8000) / 8000
+    y = audio.resample(np.sin(2 * np.pi * 440 * t).astype(np.float32))
+    assert len(y) == 6000 and abs(np.argmax(np.abs(np.fft.rfft(y))) - 440) <= 1
+
+
+def test_hysteresis():
+    e = np.array([0, 0, 0, 0, 2, 4, 2, 0, 2, 2, 0, 0, 0, 5], float)
+    assert audio.segments(e).tolist() == [[4, 7], [13, 14]]
+
+
+# --- edge rows through every operator
+
+
+def test_edge_rows(spark, edge_docs, edge_labels):
+    assert secrets.find_secrets(edge_docs).count() == 8
+    assert quality.resample(edge_docs, edge_labels, keep_text=True).count() >= 1
+    assert toxicity.toxicity_scores(edge_docs, edge_labels).where("score between 0 and 1").count() == 8
+    assert neardup.near_duplicate_classes(edge_docs).count() == 8
+    assert packing.packed_documents(edge_docs).select("doc_id").distinct().count() == 7
+    assert mixing.mixture(edge_docs, edge_labels).where("rate >= 0").count() == 8
+    assert mixing.mixed(edge_docs, edge_labels).columns == edge_docs.columns
+    assert repeats.repeated_spans(edge_docs).count() == 6  # distinct texts, null as empty
+    assert audio.audio_features(edge_docs).count() == 8
+
+
+def test_empty_tables(spark, edge_docs, edge_labels):
+    docs, labels = edge_docs.limit(0), edge_labels.limit(0)
+    assert secrets.find_secrets(docs).count() == 0
+    assert quality.resample(docs, labels, keep_text=True).count() == 0
+    assert toxicity.toxicity_scores(docs, labels).count() == 0
+    assert neardup.near_duplicate_classes(docs).count() == 0
+    assert packing.packed_documents(docs).count() == 0
+    assert mixing.mixture(docs, labels).count() == 0
+    assert repeats.repeated_spans(docs).count() == 0
+    assert audio.audio_features(docs).count() == 0
+    assert toxicity.toxicity_scores(edge_docs, labels).where("score = 0 or score < 0.01").count() == 8
