@@ -133,6 +133,22 @@ def _design(g: pd.DataFrame, covariates: list[str], value: str) -> np.ndarray:
     return np.column_stack([np.ones(len(g)), hour[:, 1:], day[:, 1:], week, *extra])
 
 
+def _fit_and_score(g: pd.DataFrame, covariates: list[str], multiplicative: bool = False, clip=None) -> tuple[np.ndarray, pd.DataFrame]:
+    """Stamps of the future rows of one series, and predictions with residual quantiles."""
+    g = g.sort_values("ds").reset_index(drop=True)
+    if multiplicative:
+        g["value"] = np.log1p(g["value"].clip(lower=0))
+    x, fut = _design(g, covariates, "value"), g["future"].to_numpy()
+    ok = ~fut & g["value"].notna().to_numpy()
+    y = g["value"].to_numpy(float)
+    w = least_squares(x[ok], y[ok], 1e-3)
+    q = np.quantile(y[ok] - x[ok] @ w, (0.2, 0.5, 0.8)) if ok.any() else np.full(3, np.nan)
+    p = x[fut] @ w
+    out = pd.DataFrame({"predictions": p, "q20": p + q[0], "q50": p + q[1], "q80": p + q[2]})
+    out = np.expm1(out) if multiplicative else out
+    return g.loc[fut, "ds"].to_numpy(), out.clip(*clip) if clip else out
+
+
 def covariate_forecast(
     history: DataFrame, future: DataFrame, variants: dict[str, list[str]], targets: list[str] | None = None,
     multiplicative: bool = False, clip: tuple[float, float] | None = None, future_fill: float | None = None,
@@ -156,20 +172,8 @@ def covariate_forecast(
     rows = rows.select("*", models)
 
     def fit(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("ds").reset_index(drop=True)
-        if multiplicative:
-            g["value"] = np.log1p(g["value"].clip(lower=0))
-        x, fut = _design(g, variants[key[2]], "value"), g["future"].to_numpy()
-        ok = ~fut & g["value"].notna().to_numpy()
-        y = g["value"].to_numpy(float)
-        w = least_squares(x[ok], y[ok], 1e-3)
-        q = np.quantile(y[ok] - x[ok] @ w, (0.2, 0.5, 0.8))
-        p = x[fut] @ w
-        out = pd.DataFrame({"p": p, "a": p + q[0], "b": p + q[1], "c": p + q[2]})
-        out = np.expm1(out) if multiplicative else out
-        out = out.clip(*clip) if clip else out
-        head = pd.DataFrame({"id": key[0], "ds": g.loc[fut, "ds"].to_numpy(), "target_name": key[1], "model": key[2]})
-        return pd.concat([head, out.set_axis(["predictions", "q20", "q50", "q80"], axis=1)], axis=1)
+        ds, out = _fit_and_score(g, variants[key[2]], multiplicative, clip)
+        return pd.concat([pd.DataFrame({"id": key[0], "ds": ds, "target_name": key[1], "model": key[2]}), out], axis=1)
 
     kind = history.schema["id"].dataType.simpleString()
     schema = f"id {kind}, ds timestamp_ntz, target_name string, model string, predictions double, q20 double, q50 double, q80 double"
@@ -179,6 +183,31 @@ def covariate_forecast(
 run_variants = covariate_forecast
 
 
+def ablation(rows: DataFrame, cutoffs: DataFrame, variants: dict[str, list[str]], steps: int = 24, history: int = 24 * 90) -> DataFrame:
+    """(id, metric, model, cutoff, ds, horizon, y, yhat): rolling-origin scores' input for each variant, in one grouped job.
+
+    rows: (id, ds, target_name, value, covariates...), with actual covariates; cutoffs: (id, cutoff). Each
+    cutoff reads the ``history`` hours before it, so a group is bounded.
+    """
+    names = sorted({c for cols in variants.values() for c in cols})
+    hour = lambda n: F.make_dt_interval(hours=F.lit(n))
+    near = rows.select("id", "target_name", "ds", F.col("value").cast("double"), *names).join(cutoffs, "id")
+    near = near.where((F.col("ds") > F.col("cutoff") - hour(history)) & (F.col("ds") <= F.col("cutoff") + hour(steps)))
+    near = near.withColumns({"future": F.col("ds") > F.col("cutoff"), "y": F.col("value")})
+    near = near.withColumn("value", F.when(~F.col("future"), F.col("value"))).select("*", F.explode(F.array(*map(F.lit, variants))).alias("model"))
+
+    def fit(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
+        ds, out = _fit_and_score(g, variants[key[2]])
+        head = pd.DataFrame({"id": key[0], "metric": key[1], "model": key[2], "cutoff": key[3], "ds": ds})
+        head["horizon"] = ((head["ds"] - head["cutoff"]) / pd.Timedelta(hours=1)).astype("int32")
+        y = g.set_index("ds")["y"]
+        return head.assign(y=y.reindex(ds).to_numpy(), yhat=out["predictions"].to_numpy())
+
+    kind = rows.schema["id"].dataType.simpleString()
+    schema = f"id {kind}, metric string, model string, cutoff timestamp_ntz, ds timestamp_ntz, horizon int, y double, yhat double"
+    return near.groupBy("id", "target_name", "model", "cutoff").applyInPandas(fit, schema)
+
+
 def oncall_need(history: DataFrame, future: DataFrame, covariates: list[str]) -> DataFrame:
     """(id, ds, target_name, predicted_oncall_prob): the label itself forecast, within 0..1."""
     out = covariate_forecast(history, future, {"need": covariates}, clip=(0.0, 1.0))

@@ -15,7 +15,7 @@ from ..operators import timeseries as ts
 from ..operators.reshape import to_long
 from ..streaming import stream as st
 from . import standins as si
-from .queries import holidays, query, r6
+from .queries import _LOOSE, _STATUS, _loose, holidays, query, r6
 from .standins import NOW, TYPES
 
 
@@ -121,6 +121,14 @@ def covariate_forecast(spark, d):
     return fc.run_variants(past, future, VARIANTS)
 
 
+@query(None)
+def ablation(spark, d):
+    """Scores of each covariate set over three cutoffs."""
+    past, _ = _covariates(spark, d)
+    cuts = bt.make_cutoffs(past.select("id", "ds"), 240, 24, 24).where(F.col("cutoff") > si.now() - F.expr("interval 4 days"))
+    return bt.score(fc.ablation(past, cuts, VARIANTS), ["metric", "model"])
+
+
 @query(None)
 def forecast_effects(spark, d):
     past, future = _covariates(spark, d)
@@ -232,6 +240,17 @@ def stream_upsert(spark, d):
     return spark.read.parquet(f"{out}/v={q.lastProgress['batchId']}")
 
 
+@query(f"WITH {_STATUS}, {_LOOSE} SELECT id, ds, metric, value, round(yhat_upper, 1) AS yhat_upper FROM loose WHERE value > yhat_upper", "ranges")
+def stream_alerts(spark, d):
+    """Alerts on arrival: one batch of hourly rows against static ranges."""
+    out = _scratch(spark)
+    si.long(spark, d).coalesce(1).write.parquet(f"{out}/rows")
+    rows = spark.readStream.schema("id string, ds timestamp_ntz, metric string, value double").parquet(f"{out}/rows")
+    q = st.start_alerts(rows, _loose(spark, d), f"{out}/alerts", f"{out}/checkpoint")
+    q.awaitTermination()
+    return spark.read.schema("id string, ds timestamp_ntz, metric string, value double, yhat_upper double").parquet(f"{out}/alerts/batch=0")
+
+
 @query(None)
 def stream_busy_blocks(spark, d):
     out = _scratch(spark)
