@@ -29,13 +29,14 @@ it is read three times.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import shared_dir, table, written
 
 LENGTH = 200
 # A perfect difference set; every difference mod 133 occurs exactly once.
@@ -110,15 +111,17 @@ class Group:
 
 def send(keys: np.ndarray, buckets: np.ndarray, known: np.ndarray | None = None):
     """(bucket, sorted distinct keys, more: seen twice here or known to repeat), bucket by bucket."""
+    if not len(keys):
+        return
     order = np.lexsort((keys, buckets))
     k, b = keys[order], buckets[order]
     first = np.ones(len(k), bool)
     first[1:] = (k[1:] != k[:-1]) | (b[1:] != b[:-1])
     index = np.flatnonzero(first)
     more = np.diff(np.append(index, len(k))) > 1
-    if known is not None and len(index):
+    if known is not None:
         more |= np.maximum.reduceat(known[order].astype(np.int8), index) > 0
-    cuts = np.flatnonzero(np.diff(b[index], prepend=-1)) if len(index) else np.zeros(0, int)
+    cuts = np.flatnonzero(np.diff(b[index], prepend=-1))
     for lo, hi in zip(cuts, np.append(cuts[1:], len(index)), strict=True):
         yield int(b[index[lo]]), k[index[lo:hi]], more[lo:hi]
 
@@ -128,7 +131,9 @@ def receive(keys: np.ndarray, buckets: np.ndarray, answers: dict[int, bytes]) ->
     order = np.lexsort((keys, buckets))
     k, b = keys[order], buckets[order]
     out = np.zeros(len(keys), bool)
-    cuts = np.flatnonzero(np.diff(b, prepend=-1)) if len(b) else np.zeros(0, int)
+    if not len(keys):
+        return out
+    cuts = np.flatnonzero(np.diff(b, prepend=-1))
     for lo, hi in zip(cuts, np.append(cuts[1:], len(b)), strict=True):
         if (bits := answers.get(int(b[lo]))) is not None:
             nth = np.cumsum(np.diff(k[lo:hi].astype(np.uint64), prepend=k[lo] ^ k[lo].dtype.type(1)) != 0) - 1
@@ -173,7 +178,11 @@ def _answer(kind: str):
 
 
 def groups(docs: DataFrame, key: str, text_col: str) -> DataFrame:
-    """Written (gid, hs, lens, copied, bytes): the distinct texts, packed."""
+    """(gid, hs, lens, copied, bytes): the distinct texts, packed, in a table bucketed by gid.
+
+    Answers join it by gid without moving the texts again.
+    """
+    spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(key).alias("k"), F.md5(text).alias("h"), text.alias("t"))
     one = rows.groupBy("h").agg(F.min("k").alias("k"), F.count("*").alias("n")).select("h", "k", (F.col("n") > 1).alias("copied"))
@@ -208,7 +217,10 @@ def groups(docs: DataFrame, key: str, text_col: str) -> DataFrame:
             yield flush()
 
     schema = "gid bigint, hs array<string>, lens array<bigint>, copied array<boolean>, bytes binary"
-    return written(picked.mapInArrow(pack, schema), "groups")
+    name = f"groups_{uuid.uuid4().hex}"
+    out = picked.mapInArrow(pack, schema).write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "gid").sortBy("gid")
+    out.option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
+    return spark.table(name)
 
 
 def _rows(batches):
