@@ -165,3 +165,18 @@ def test_same_answer_for_any_partitioning(spark, n):
         assert [r.v for r in got] == [float(h + 30) for h in range(30)]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_ablation_is_the_forecast_at_each_cutoff(spark):
+    r = np.random.default_rng(4)
+    rows = [("a", at(h), "t", float(h % 24 + r.normal()), float(h % 5 == 0)) for h in range(400)]
+    df = spark.createDataFrame(rows, "id string, ds timestamp_ntz, target_name string, value double, x double")
+    cuts = spark.createDataFrame([("a", at(300)), ("a", at(350))], "id string, cutoff timestamp_ntz")
+    variants = {"plain": [], "with": ["x"]}
+    got = {(x.model, x.ds): (x.y, x.yhat, x.horizon) for x in forecast.ablation(df, cuts, variants, 24).where(F.col("cutoff") == F.lit(at(300))).collect()}
+    past, future = filters.asof(df, "ds", F.lit(at(300))), filters.horizon(df, "ds", F.lit(at(300)), 24).select("id", "ds", "x")
+    want = forecast.covariate_forecast(past, future, variants).collect()
+    assert len(got) == len(want) == 48
+    for x in want:
+        y, yhat, h = got[x.model, x.ds]
+        assert yhat == pytest.approx(x.predictions) and at(300 + h) == x.ds and y == rows[300 + h][3]
