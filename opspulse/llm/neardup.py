@@ -6,10 +6,13 @@ shingles, takes the ``PICK`` least, and keeps them in text order; texts that sha
 stretches in the same order meet in a band's bucket. Exact copies are one node from the
 start, found by the digest of the text.
 
-In each bucket, members are compared with a few leaders (the least under several hashes),
-never with one another in pairs. Those that match no leader, in buckets where several
-classes are left, are parted by a second band and get new leaders, again and again until
-no part has two left, so no candidate is dropped for the size of its bucket.
+In each bucket, members are compared with a few leaders: first the least under two
+hashes, then those with the most links, which joins the copies of one original even if they
+are not like each other. A leader, tested with all of its bucket, leaves it; all other
+members stay, matched or not, until the bucket has one class. Large buckets with several
+classes are parted by a second band and by size, and after one more turn of leaders all
+pairs of different classes that are left are tested, so no candidate is dropped for the
+size of its bucket.
 Candidates are verified on whole texts: the chain of equal labelled shingles within the
 band that the threshold leaves open is the alignment; similarity is its length over the
 shingles of both texts counted once. Matches of 0.8 or more are links, classes are the
@@ -34,7 +37,7 @@ from .components import components
 
 WORDS, LEAST = 5, 0.8
 BANDS, PICK = 16, 3
-FIRST_LEADERS, LATER_LEADERS, NEXT_BANDS = 2, 6, 4
+LEADERS, HUBS, REFINED, SMALL = (2, 0, 6), 2, 2, 32  # by hash in each turn; by links; the turn that parts buckets above SMALL
 MOST_CACHED = 400_000
 _MIX = np.random.default_rng(20240501).integers(1, 1 << 63, (2, BANDS), dtype=np.uint64) | np.uint64(1)
 
@@ -164,53 +167,69 @@ def _pair(a: str, b: str) -> list:
 def links(docs: DataFrame, nodes: DataFrame, key: str, text_col: str) -> DataFrame:
     """(x, y) for verified links between distinct texts. nodes: written (h, rep, n, bands)."""
     placed = nodes.where("n > 0").select("h", "n", F.posexplode("bands").alias("band", "bucket"))
-    members = placed.select("h", "n", F.xxhash64("band", "bucket").alias("g"))
+    members = placed.select("h", "n", F.xxhash64("band", "bucket").alias("g"), F.col("h").alias("root"), F.lit(0).cast("bigint").alias("deg"))
     texts = tried = None
-    while True:
-        first = texts is None
-        least = [F.min(F.struct(F.xxhash64("h", F.lit(i)), "h", "n")) for i in range(FIRST_LEADERS if first else LATER_LEADERS)]
-        heads = members.groupBy("g").agg(F.array(*least).alias("heads"), F.count("*").alias("c")).where("c > 1")
-        heads = heads.select("g", F.array_distinct(F.transform("heads", lambda x: F.struct(x["h"].alias("h"), x["n"].alias("n")))).alias("heads"))
-        heads = written(heads, "heads")
-        if not first and heads.isEmpty():
-            return tried.where("link").select("x", "y")
+    for turn in range(len(LEADERS) + 1):
+        if turn == REFINED:
+            members = _refined(members, nodes)
+        one = F.struct("h", "n", "root")
+        # by hash at first, later the members with the most links too: the originals of many copies
+        picks = [F.min_by(one, F.xxhash64("h", F.lit(i))) for i in range(LEADERS[turn] if turn < len(LEADERS) else 0)]
+        if turn:
+            picks += [F.max_by(one, F.struct("deg", F.xxhash64("h", F.lit(-1 - i)))) for i in range(HUBS)]
+        several = F.min("root") != F.max("root")
+        heads = members.groupBy("g").agg(F.array_distinct(F.array(*picks)).alias("heads"), several.alias("several"))
+        heads = written(heads.where("several").drop("several"), "heads")
+        if turn and heads.isEmpty():
+            break
         led = members.join(heads, "g")
-        tests = written(led.select("g", "h", "n", F.explode("heads").alias("l")), "tests")
-        if first:
-            texts = _texts_of(docs, tests, nodes, key, text_col)
+        if turn < len(LEADERS):
+            tests = led.select("h", "n", "root", F.explode("heads").alias("l"))
+        else:  # whatever is still apart, each with each
+            rest = written(led.select("g", "h", "n", "root"), "rest")
+            tests = rest.join(rest.select("g", F.struct("h", "n", "root").alias("l")), "g").where(F.col("l.h") < F.col("h"))
+        if texts is None:
+            texts = _texts_of(docs, written(led.select("h").distinct(), "tested"), nodes, key, text_col)
         fits = F.least("l.n", "n") >= LEAST * F.greatest("l.n", "n")
-        pairs = tests.where((F.col("l.h") != F.col("h")) & fits).select(*_pair("l.h", "h")).distinct()
-        if not first:
+        pairs = tests.where((F.col("l.root") != F.col("root")) & fits).select(*_pair("l.h", "h")).distinct()
+        if tried is not None:
             pairs = pairs.join(tried.select("x", "y"), ["x", "y"], "left_anti")
         done = written(_verified(written(pairs, "pairs"), texts), "verified")
-        tried = done if first else tried.union(done)
-        # who is no leader and matches none stays for another round
-        seen = tests.select("g", "h", "n", (F.col("l.h") == F.col("h")).alias("leads"), *_pair("l.h", "h"))
-        seen = seen.join(tried.where("link"), ["x", "y"], "left")
-        left = seen.groupBy("g", "h", "n").agg(F.max(F.coalesce("link", "leads")).alias("done")).where("not done").drop("done")
-        if first:
-            left = _refined(_apart(written(left, "left"), components(done.where("link"), "x", "y")), nodes)
-        members = written(left, "members")
+        tried = done if tried is None else tried.union(done)
+        if turn < len(LEADERS):
+            # a leader has been tested with all of its bucket; everyone else stays while classes are apart
+            led = led.where(~F.exists("heads", lambda x: x["h"] == F.col("h"))).select("g", "h", "n")
+            members = written(_classed(led, tried.where("link").select("x", "y")), "members")
+    return tried.where("link").select("x", "y")
 
 
-def _apart(left: DataFrame, roots: DataFrame) -> DataFrame:
-    """The members of the buckets in which more than one class is left; elsewhere further links would join nothing."""
-    known = left.join(roots.withColumnRenamed("node", "h"), "h", "left").withColumn("root", F.coalesce("root", "h"))
-    several = known.groupBy("g").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("g")
-    return left.join(written(several, "several"), "g")
+def _classed(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """members with the root of their class and their number of links so far."""
+    edges = written(edges, "edges")
+    degree = edges.select(F.col("x").alias("h")).union(edges.select(F.col("y").alias("h"))).groupBy("h").agg(F.count("*").alias("deg"))
+    known = written(components(edges, "x", "y").withColumnRenamed("node", "h").join(degree, "h"), "roots")
+    return members.join(known, "h", "left").select("g", "h", "n", F.coalesce("root", "h").alias("root"), F.coalesce("deg", F.lit(0)).alias("deg"))
 
 
-def _refined(left: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The members of a bucket parted by each of the next bands.
+def _refined(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The members of buckets with several classes: small buckets as they are, others parted by each later band and by size.
 
-    A pair at the threshold meets in about half of the bands, so it meets again in some part of
-    some bucket; texts that merely share a passage seldom do.
+    A pair at the threshold meets in about half of the bands, so it meets again in some part; texts
+    that merely share a passage seldom do. A pair that shares two bands has both buckets here with
+    all that was not tested, so a bucket is parted by later bands only. A text is in two size
+    classes, and two texts whose sizes allow the threshold share one.
     """
-    parts = left.join(nodes.select("h", "bands"), "h").select("g", "h", "n", "bands", F.posexplode("bands").alias("band", "bucket"))
-    parts = parts.where(F.xxhash64("band", "bucket") == F.col("g"))  # the bucket's own band
-    others = F.explode(F.array(*[F.lit(i) for i in range(1, NEXT_BANDS + 1)])).alias("i")
-    parts = parts.select("g", "h", "n", "bands", "band", others).withColumn("band", F.pmod(F.col("band") + F.col("i"), F.lit(BANDS)))
-    return parts.select(F.xxhash64("g", "band", F.get("bands", F.col("band"))).alias("g"), "h", "n")
+    counts = members.groupBy("g").agg(F.count("*").alias("c"), (F.min("root") != F.max("root")).alias("several"))
+    known = members.join(written(counts.where("several").drop("several"), "several"), "g")
+    small = known.where(F.col("c") <= SMALL).select("g", "h", "n", "root", "deg")
+    size = F.floor(F.log(F.col("n").cast("double")) / float(-np.log(LEAST)))
+    own = known.where(F.col("c") > SMALL).join(nodes.select("h", "bands"), "h")
+    own = own.withColumn("keys", F.transform("bands", lambda x, i: F.xxhash64(i, x)))
+    own = own.withColumn("later", F.slice("keys", F.array_position("keys", F.col("g")).cast("int") + 1, BANDS))
+    own = own.select("g", "h", "n", "root", "deg", F.explode("later").alias("key"), F.array(size, size + 1).alias("size"))
+    own = own.select("g", "h", "n", "root", "deg", "key", F.explode("size").alias("size"))
+    parts = own.select(F.xxhash64("g", "size", "key").alias("g"), "h", "n", "root", "deg")
+    return written(small.unionByName(parts), "parts")
 
 
 def _texts_of(docs: DataFrame, tests: DataFrame, nodes: DataFrame, key: str, text_col: str) -> DataFrame:
@@ -221,22 +240,6 @@ def _texts_of(docs: DataFrame, tests: DataFrame, nodes: DataFrame, key: str, tex
     return written(own.groupBy("h").agg(F.first("text").alias("text")), "texts")
 
 
-def _refined(left: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The members of a bucket parted by each other band and by size.
-
-    A pair at the threshold meets in about half of the bands, so it meets again in some part; texts
-    that merely share a passage seldom do. A text is in two size classes, and two texts
-    whose sizes allow the threshold share one.
-    """
-    size = F.floor(F.log(F.col("n").cast("double")) / float(-np.log(LEAST)))
-    bins = F.explode(F.array(size, size + 1)).alias("size")
-    own = left.join(nodes.select("h", "bands"), "h").select("g", "h", "n", "bands", bins)
-    parts = own.select("g", "h", "n", "size", F.posexplode("bands").alias("band", "bucket"))
-    # the bucket's own band would part nothing: it is the one whose key gives g
-    parts = parts.where(F.xxhash64("band", "bucket") != F.col("g"))
-    return parts.select(F.xxhash64("g", "size", "band", "bucket").alias("g"), "h", "n")
-
-
 def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(key, class_id, n_links) for each row of docs; class_id is the least key of the class.
 

@@ -183,6 +183,25 @@ def test_near_duplicates_against_all_pairs(spark):
     assert kept == {root(i) for i in ids}
 
 
+def test_copies_like_their_original_only(spark):
+    r = random.Random(41)
+    words = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(3000)]
+    rows = []
+    for k in range(2):
+        origin = [r.choice(words) for _ in range(200)]
+        rows.append((1000 * k, " ".join(origin)))
+        for i in range(1, 151):
+            v = list(origin)
+            for j in range(4):
+                v[50 * j + r.randrange(5, 45)] = f"new{k}x{i}x{j}"
+            rows.append((1000 * k + i, " ".join(v)))
+    s = neardup.Shingler()
+    a, b, c = (s(rows[i][1]) for i in (0, 1, 2))
+    assert neardup.aligned_similarity(a, b) >= 0.8 > neardup.aligned_similarity(b, c)
+    got = {x.doc_id: x.class_id for x in neardup.near_duplicate_classes(docs_of(spark, rows)).collect()}
+    assert got == {i: i // 1000 * 1000 for i, _ in rows}
+
+
 def test_aligned_similarity():
     s = neardup.Shingler()
     t = " ".join(f"w{i}" for i in range(200))
