@@ -4,12 +4,12 @@
    sequence length and a rest. The pieces are written to the shared folder.
 2. The histogram of piece lengths (at most ``size`` rows, whatever the corpus) goes to
    the driver. Lengths are placed longest first, each into the pack that is shortest so
-   far; equal packs are handled together as (pattern, count), so the work depends on the
+   far (one just opened, if none had room); equal packs are handled together as (pattern, count), so the work depends on the
    number of lengths, not of documents.
 3. Each length's pieces are ranked. Ranks are dealt by (length, salt), so that one
    common length does not meet in one task, and shifted by the counts of lower salts.
    A slot (length, range of ranks, first sequence, offset) then says where a piece goes.
-   There are at most 2 * size patterns of at most sqrt(2 * size) distinct lengths, which
+   There are at most 3 * size patterns of at most sqrt(2 * size) distinct lengths, which
    bounds the slot table that is broadcast.
 
 Tokenising by words: the tokenizer drops white space and splits between letters, digits
@@ -138,8 +138,12 @@ def pack_histogram(counts: dict[int, int], size: int = SIZE) -> list[tuple[int,
             while top and not open_packs[top]:
                 top -= 1
             if top < length:  # no open pack has room
-                open_packs[size - length].append((left, ((length, 1),)))
-                top = max(top, size - length)
+                each = size // length  # shortest first: the next piece goes into the pack just opened
+                for n, times in ((left // each, each), (1, left % each)):
+                    if n and times:
+                        free = size - length * times
+                        open_packs[free].append((n, ((length, times),)))
+                        top = max(top, free)
                 break
             n, pattern = open_packs[top].pop()
             if n > left:

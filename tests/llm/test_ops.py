@@ -268,6 +268,20 @@ def test_histogram_packing_is_complete():
     assert tokens / (4096 * sum(n for n, _ in packs)) > 0.995 and len(packs) < 2 * 4096
 
 
+HOT = [({100: 1000}, 25), ({4000: 10, 90: 100_000}, 2232), ({4096: 3}, 3), ({2000: 7, 1000: 1, 33: 5}, 4), ({1: 4097}, 2)]
+
+
+@pytest.mark.parametrize(("counts", "packs"), HOT)
+def test_histogram_packing_with_a_hot_length(counts, packs):
+    patterns = packing.pack_histogram(counts, 4096)
+    placed = collections.Counter()
+    for n, pattern in patterns:
+        assert n > 0 and sum(length * times for length, times in pattern) <= 4096
+        for length, times in pattern:
+            placed[length] += n * times
+    assert placed == counts and sum(n for n, _ in patterns) == packs
+
+
 # --- op7
 
 
