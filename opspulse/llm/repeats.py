@@ -187,12 +187,16 @@ def groups(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(key).alias("k"), F.md5(text).alias("h"), text.alias("t"))
     one = rows.groupBy("h").agg(F.min("k").alias("k"), F.count("*").alias("n")).select("h", "k", (F.col("n") > 1).alias("copied"))
     one = written(one, "texts").withColumnsRenamed({"h": "_h", "k": "_k"})
-    picked = rows.join(one, (F.col("h") == F.col("_h")) & F.col("k").eqNullSafe(F.col("_k"))).select("h", "copied", F.encode("t", "utf-8").alias("t"))
+    # repeated rows of the least key may lie in any partition: one of them for each digest
+    picked = rows.join(one, (F.col("h") == F.col("_h")) & F.col("k").eqNullSafe(F.col("_k"))).groupBy("h").agg(
+        F.first("copied").alias("copied"), F.first("t").alias("t")
+    )
+    picked = picked.select("h", "copied", F.encode("t", "utf-8").alias("t"))
 
     def pack(batches):
         from pyspark import TaskContext
 
-        gid, seen, held, size = TaskContext.get().partitionId() << 33, set(), [], 0
+        gid, held, size = TaskContext.get().partitionId() << 33, [], 0
 
         def flush():
             return pa.RecordBatch.from_arrays(
@@ -204,11 +208,7 @@ def groups(docs: DataFrame, key: str, text_col: str) -> DataFrame:
 
         for batch in batches:
             for h, c, t in zip(*(batch.column(i) for i in range(3)), strict=True):
-                h = h.as_py()
-                if h in seen:  # a repeated row of the same key
-                    continue
-                seen.add(h)
-                held.append((h, c.as_py(), t.as_py()))
+                held.append((h.as_py(), c.as_py(), t.as_py()))
                 size += len(held[-1][2])
                 if size >= GROUP_BYTES:
                     yield flush()

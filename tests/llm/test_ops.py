@@ -362,6 +362,15 @@ def test_repeats_against_brute_force(spark):
 # --- op10
 
 
+def test_repeated_rows_in_several_partitions(spark):
+    long = " ".join(f"word{i}" for i in range(100))
+    rows = [(1, long)] * 40 + [(None, long + " x")] * 20 + [(3, "short")] * 8
+    docs = docs_of(spark, rows).repartition(8)
+    groups = repeats.repeated_spans(docs).collect()
+    assert len(groups) == len({x.h for x in groups}) == 3
+    assert all(x.n_removed == (x.n_bytes if x.n_bytes >= 200 else 0) for x in groups)
+
+
 def test_audio_round_trip(spark, edge_docs):
     rows = [(1, None), (2, ""), (3, "a" * 192), (4, "é" * 97), (5, "words " * 5000), (6, "a" * 192)]
     got = {x.doc_id: x for x in audio.audio_features(docs_of(spark, rows)).collect()}
