@@ -4,7 +4,8 @@ The standard library's parser is fed in slices and its events make *lines*, one
 block of text. Each line has its number of characters and of tags. The ratio of the two
 is smoothed along the page with a Gaussian kernel; lines at or above the threshold (the
 standard deviation of the smoothed ratios, at most half their maximum) form the content
-cluster. The region is the deepest element that holds nearly all text of that cluster,
+cluster. The deepest element that holds nearly all text of that cluster is widened to the
+article or main element around it, or else until it holds all of the cluster. This is the region,
 and every line of the region is kept, however short, except in parts that are never
 article text: by element (nav, aside, footer, form, ...) or by a word of class, id or
 role (ad, sidebar, comments, cookie, ...).
@@ -76,6 +77,7 @@ class Lines(HTMLParser):
         self.regions = [0]
         self.n_regions = 1
         self.parent = {0: -1}
+        self.articles: set[int] = set()
         self.in_article = 0
         self.lines: list[tuple[str, int, bool, int]] = []
         self.parts: list[str] = []
@@ -114,6 +116,8 @@ class Lines(HTMLParser):
             self.n_regions += 1
             self.parent[region] = self.regions[-1]
             self.regions.append(region)
+            if tag in ("article", "main"):
+                self.articles.add(region)
         self.in_article += tag in ("article", "main")
         self.skipped += skip
         self.stack.append((tag, skip, region))
@@ -143,6 +147,23 @@ def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return sums / np.convolve(np.pad(np.ones_like(ratio), r), kernel, "valid")
 
 
+def _whole(p: Lines, best: int, content: set[int]) -> int:
+    """The article or main element around the region; without one, the deepest element around it with all content lines."""
+    up = [best]
+    while p.parent[up[-1]] >= 0:
+        up.append(p.parent[up[-1]])
+    for region in up:
+        if region in p.articles:
+            return region
+
+    def holds(region: int, line: int) -> bool:
+        while line > region:  # children come after their parents
+            line = p.parent[line]
+        return line == region
+
+    return next(region for region in up if all(holds(region, line) for line in content))
+
+
 def main_text(html: str | None) -> str:
     """The article's blocks, joined by newlines."""
     p = Lines()
@@ -167,6 +188,7 @@ def main_text(html: str | None) -> str:
             up = p.parent[region]
             held[up] = held.get(up, 0) + held[region]
     best = max((r for r, n in held.items() if n >= HOLDS * total), default=0)
+    best = _whole(p, best, {region for (_, _, _, region), chosen in zip(kept, content, strict=True) if chosen})
     inside = {best}
     for r in range(best + 1, p.n_regions):
         if p.parent[r] in inside:

@@ -140,6 +140,19 @@ def test_main_text():
     assert html.main_text("<div>" * 3000 + "deep text here" + "</div>" * 3000) == "deep text here"
 
 
+def test_main_text_of_nested_and_several_sections():
+    long = ["Many words of the story stand in this long paragraph, number %d of all." % i for i in range(40)]
+    body = "".join(f"<p>{t}</p>" for t in long)
+    page = "<html><body><nav><a href=/>Home</a></nav>%s<footer>Imprint</footer></body></html>"
+    lead = "The lead says in one sentence what the story is about."
+    nested = f"<article><h1>Title</h1><p>{lead}</p><div class=body>{body}</div></article>"
+    assert html.main_text(page % nested) == "\n".join(["Title", lead, *long])
+    last = "A last section, with words enough to be content of the page, ends the story."
+    several = f"<section>{body}</section><section><p>{last}</p></section>"
+    assert html.main_text(page % f"<article>{several}</article>") == "\n".join([*long, last])
+    assert html.main_text(page % f"<div>{several}</div>") == "\n".join([*long, last])
+
+
 def test_pages(spark):
     df = spark.createDataFrame([(1, "u", PAGE, "clash"), (2, None, None, "c"), (None, "v", "x", "c")], "page_id long, url string, html string, text string")
     got = {x.page_id: x for x in html.extract_text(df).collect()}
