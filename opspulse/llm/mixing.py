@@ -11,6 +11,9 @@ All documents take part in each step, but a step only returns domains x (domains
 numbers: a document's rate follows from its posteriors and the steps so far, so the driver
 keeps steps x domains numbers and no rate is ever stored or shuffled.
 
+Documents whose most likely domain is the first keep a rate of 1 at least, so none of them
+is dropped; where targets then cannot be met in the steps allowed, the miss is logged.
+
 Targets of domains after the first are ceilings: a domain below its target keeps its share.
 
 Rates become whole copies by floor(rate + u), u uniform from the hash of the key, which
@@ -24,6 +27,8 @@ domain; an empty table gives an empty result; other columns pass through ``mixed
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,10 +37,12 @@ from pyspark.sql import functions as F
 from . import features as fx
 from .common import table, written
 
+_LOG = logging.getLogger(__name__)
 DOMAINS = ("clean", "toxic", "junk")
 #: Share of the mixed tokens; the total is such that clean tokens grow by HEADROOM, so that clean documents are kept.
 TARGETS = {"clean": 0.975, "toxic": 0.015, "junk": 0.010}
 HEADROOM = 1.01
+KEEP = 0  # documents most likely of this domain are never dropped
 MOST_STEPS, CLOSE, RIDGE = 25, 1e-6, 1e-7
 
 
@@ -70,16 +77,20 @@ def posteriors(docs: DataFrame, domain_labels: DataFrame, n_domains: int, key: s
     return found.select(key, "tokens", posterior("idx", "cnt").alias("p"))
 
 
-def rates(p: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
-    """Each document's rate after the steps taken so far: project after every one."""
+def rates(p: np.ndarray, steps: list[np.ndarray], keep: int | None = None) -> np.ndarray:
+    """Each document's rate after the steps taken so far: project after every one.
+
+    Documents whose most likely domain is ``keep`` stay at 1 at least.
+    """
     r = np.ones(len(p))
+    least = np.zeros(len(p)) if keep is None else (p.argmax(axis=1) == keep).astype(float)
     for s in steps:
-        np.maximum(0, r - p @ s, out=r)
+        np.maximum(least, r - p @ s, out=r)
     return r
 
 
-def fit_rates(members: DataFrame, targets: np.ndarray, tokens: str = "tokens", p: str = "p") -> list[np.ndarray]:
-    """The steps whose rates bring the domains' expected tokens to the targets. Reads members once a step."""
+def fit_rates(members: DataFrame, targets: np.ndarray, tokens: str = "tokens", p: str = "p", keep: int | None = None) -> list[np.ndarray]:
+    """The steps whose rates bring the domains' expected tokens to the targets, or near; a miss is logged. Reads members once a step."""
     n = len(targets)
     names = [f"m{i}" for i in range(n + n * n)]
 
@@ -93,7 +104,7 @@ def fit_rates(members: DataFrame, targets: np.ndarray, tokens: str = "tokens", p
             for b in batches:
                 t = b.column(0).to_numpy(zero_copy_only=False).astype(float)
                 q = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
-                r = rates(q, steps)
+                r = rates(q, steps, keep)
                 total[:n] += (t * r) @ q
                 total[n:] += ((q * (t * (r > 0))[:, None]).T @ q).ravel()
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total], names)
@@ -108,6 +119,8 @@ def fit_rates(members: DataFrame, targets: np.ndarray, tokens: str = "tokens", p
     while len(steps) < MOST_STEPS and np.abs(now - targets).max() > CLOSE * mass:
         steps.append(np.linalg.solve(gram + RIDGE * max(1.0, mass) * np.eye(n), now - targets))
         now, gram = sums(steps)
+    if np.abs(now - targets).max() > CLOSE * mass:
+        _LOG.warning("targets missed after %d steps, by shares of all tokens: %s", len(steps), ((now - targets) / mass).tolist())
     return steps
 
 
@@ -119,10 +132,10 @@ def target_totals(members: DataFrame, weights: list[float]) -> np.ndarray:
     return np.minimum(HEADROOM * mass[0] * np.array(weights) / weights[0], np.append(np.inf, mass[1:]))
 
 
-def with_rates(members: DataFrame, steps: list[np.ndarray]) -> DataFrame:
+def with_rates(members: DataFrame, steps: list[np.ndarray], keep: int | None = None) -> DataFrame:
     @F.pandas_udf("double")
     def rate(p: pd.Series) -> pd.Series:
-        return pd.Series(rates(np.stack(p.to_list()) if len(p) else np.zeros((0, len(DOMAINS))), steps))
+        return pd.Series(rates(np.stack(p.to_list()) if len(p) else np.zeros((0, len(DOMAINS))), steps, keep))
 
     return members.withColumn("rate", rate("p"))
 
@@ -135,8 +148,8 @@ def copies(key: str, seed: int = 11) -> Column:
 def mixture(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(key, tokens, p, rate, copies) for each row of docs."""
     members = written(posteriors(docs, label_domains(labels, key), len(DOMAINS), key, text_col), "mixing-members")
-    steps = fit_rates(members, target_totals(members, [TARGETS[d] for d in DOMAINS]))
-    return with_rates(members, steps).withColumn("copies", copies(key))
+    steps = fit_rates(members, target_totals(members, [TARGETS[d] for d in DOMAINS]), keep=KEEP)
+    return with_rates(members, steps, KEEP).withColumn("copies", copies(key))
 
 
 def mixed(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -311,6 +311,12 @@ def test_mixing_meets_targets(spark):
     assert [got[i] for i in range(500)] == pytest.approx(rates.tolist())
 
 
+def test_rates_keep_likely_clean_rows():
+    p = np.array([[0.9, 0.08, 0.02], [0.6, 0.3, 0.1], [0.1, 0.8, 0.1], [0.05, 0.05, 0.9]])
+    r = mixing.rates(p, [np.array([-0.02, 0.7, 0.9]), np.array([-0.01, 0.2, 0.3])], mixing.KEEP)
+    assert (r[:2] >= 1).all() and (r[2:] < 1).all()
+
+
 def test_softmax_fit():
     r = np.random.default_rng(2)
     x = np.column_stack([r.normal(size=(800, 3)), np.ones(800)]).astype(np.float32)
