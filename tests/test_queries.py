@@ -37,6 +37,25 @@ def test_every_sql_has_a_query():
     assert set(ORACLE_SQL) <= set(QUERIES)
 
 
+def test_every_oracle_is_sql():
+    import __spark_entry__ as e
+
+    assert all(isinstance(sql, str) for sql in e.oracle_sql().values())
+
+
+@pytest.mark.parametrize("name", ["op1_secret_scans", "op8_exact_topk"])
+def test_text_query_equals_sql(spark, name):
+    from opspulse.llm import registry
+
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    got = registry.QUERIES[name](spark, SF)
+    con.execute(registry.ORACLE_SQL[name])
+    names = [d[0] for d in con.description]
+    assert plain(got.collect(), got.columns) == plain(con.fetchall(), names)
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
