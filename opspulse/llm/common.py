@@ -13,12 +13,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which every executor can reach.
+    """The folder in spark.checkpoint.dir, which the driver and every executor must reach.
 
-    Where it is unset (tests, local sessions) a temporary folder is made and set.
+    Where it is unset, a local session (tests) gets a temporary folder; a cluster gets an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = f"file://{tempfile.mkdtemp(prefix='opspulse-')}"
         spark.conf.set("spark.checkpoint.dir", path)
     return path
@@ -34,3 +36,23 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     out = df.write.option("compression", "zstd")
     (out.partitionBy(partition_by) if partition_by else out).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Intermediate tables of one job, in one folder that is emptied once the job's result is written."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name = spark, name
+        self.path, self.count = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
+
+    def write(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        path = f"{self.path}/{self.count}"
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def result(self, df: DataFrame) -> DataFrame:
+        """df, written elsewhere; an empty table takes the place of the folder, which frees its space."""
+        out = written(df, self.name)
+        self.spark.range(0).write.mode("overwrite").parquet(self.path)
+        return out

@@ -1,23 +1,32 @@
 """Near-duplicate classes by Order MinHash and banded alignment.
 
 A text is its sequence of five-word shingles (all its words, if fewer), each labelled
-with its occurrence number so that repeats stay apart. A band hashes the labelled
-shingles, takes the ``PICK`` least, and keeps them in text order; texts that share long
-stretches in the same order meet in a band's bucket. Exact copies are one node from the
-start, found by the digest of the text.
-
-In each bucket, members are compared with a few leaders: first the least under two
-hashes, then those with the most links, which joins the copies of one original even if they
-are not like each other. A leader, tested with all of its bucket, leaves it; all other
-members stay, matched or not, until the bucket has one class. Large buckets with several
-classes are parted by a second band and by size, and after one more turn of leaders all
-pairs of different classes that are left are tested, so no candidate is dropped for the
-size of its bucket.
-Candidates are verified on whole texts: the chain of equal labelled shingles within the
-band that the threshold leaves open is the alignment; similarity is its length over the
+with its occurrence number so that repeats stay apart. Each of ``PERMUTATIONS`` hashes
+orders the labelled shingles and deals them to ``GROUPS`` groups; a band is the ``PICK``
+least of a group, kept in text order. Texts that share long stretches in the same order
+meet in a band's bucket. Exact copies are one node from the start, found by digest.
+
+Links are verified on whole texts: the chain of equal labelled shingles within the band
+that the threshold leaves open is the alignment; similarity is its length over the
 shingles of both texts counted once. Matches of 0.8 or more are links, classes are the
 connected components of links.
 
+Candidates in a bucket are never all pairs. They are settled in this order:
+
+1. Two leaders of each bucket, least by hash, are compared with its members, then a hub
+   (the member with the most links, as the original of many copies has) and one more
+   leader. Members already in one class are not compared again, and a bucket of one class is done.
+2. Texts of buckets that still have several classes are *open*. Two texts at 0.8 share a
+   shingle among the rarest fifth of the longer one, and the rarest ninth of the shorter, in
+   any common order of shingles (prefix filter), and the places of the first shared one
+   bound what they can share in all. So the open texts' shingles are counted, each text
+   keeps its rarest ones, and pairs of different classes that share one, and whose places
+   allow 0.8, are compared. Nothing is lost here: the filter only drops pairs that cannot
+   match. A passage that is everywhere is common, hence late in the order, and brings no pairs.
+
+So every pair at 0.8 that shares a band is in one class at the end; a pair at exactly 0.8
+shares none of the 24 bands with a probability of about 7 x 10^-5.
+
 Defined results: null texts count as empty, and all empty texts are copies of each other;
 rows with a null key get a null class and are never dropped; repeated rows share a class,
 and one of them stays; an empty table gives an empty result; only key and text are read.
@@ -29,17 +38,18 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import Scratch, table
 from .components import components
 
 WORDS, LEAST = 5, 0.8
-BANDS, PICK = 16, 3
-LEADERS, HUBS, REFINED, SMALL = (2, 0, 6), 2, 2, 32  # by hash in each turn; by links; the turn that parts buckets above SMALL
+PERMUTATIONS, GROUPS, PICK = 3, 8, 5
+TURNS = ((2, 0), (1, 1))  # leaders by hash, hubs by links
 MOST_CACHED = 400_000
-_MIX = np.random.default_rng(20240501).integers(1, 1 << 63, (2, BANDS), dtype=np.uint64) | np.uint64(1)
+_MIX = np.random.default_rng(20240501).integers(1, 1 << 63, (2, PERMUTATIONS), dtype=np.uint64) | np.uint64(1)
+_EDGES = np.arange(1, GROUPS, dtype=np.uint64) << np.uint64(61)  # GROUPS is 8: the top three bits name the group
 
 
 class Shingler:
@@ -77,17 +87,35 @@ class Shingler:
 
 
 def bands(shingles: np.ndarray) -> np.ndarray:
-    """One key for each band: the PICK least labelled shingles under its hash, in text order."""
+    """A key for each group of each permutation that has shingles: its PICK least, in text order."""
     n = len(shingles)
-    mixed = (shingles[None, :] ^ _MIX[0][:, None]) * _MIX[1][:, None]
-    mixed ^= mixed >> np.uint64(32)
-    take = min(PICK, n)
-    least = np.sort(np.argpartition(mixed, take - 1, axis=1)[:, :take], axis=1) if n > take else np.tile(np.arange(n), (BANDS, 1))
-    key = np.arange(BANDS, dtype=np.uint64) + np.uint64(n if n < PICK else PICK)
-    for i in range(least.shape[1]):
-        key = (key ^ shingles[least[:, i]]) * np.uint64(0xD6E8FEB86659FD93)
-        key ^= key >> np.uint64(31)
-    return key.view(np.int64)
+    last = np.append(shingles, np.uint64(0))
+    found = []
+    for p in range(PERMUTATIONS):
+        mixed = (shingles ^ _MIX[0, p]) * _MIX[1, p]
+        mixed ^= mixed >> np.uint64(32)
+        few = 4 * PICK * GROUPS
+        at = None
+        if n > 2 * few:  # the least of each group are among its low values, but for rare cases
+            at = np.flatnonzero((mixed << np.uint64(3)) < np.uint64(int(few / n * 2.0**64)))
+            if np.bincount(mixed[at] >> np.uint64(61), minlength=GROUPS).min() < PICK:
+                at = None
+        if at is None:
+            at = np.arange(n)
+        own = mixed[at]
+        order = np.argsort(own)
+        start = np.concatenate([[0], np.searchsorted(own[order], _EDGES), [len(own)]])
+        take = start[:-1, None] + np.arange(PICK)
+        real = take < start[1:, None]
+        place = np.where(real, at[order[np.minimum(take, len(own) - 1)]], n)
+        place.sort(axis=1)
+        size = real.sum(axis=1)
+        key = np.arange(p * GROUPS, (p + 1) * GROUPS, dtype=np.uint64) * np.uint64(PICK + 1) + size.astype(np.uint64)
+        for i in range(PICK):
+            key = (key ^ last[place[:, i]]) * np.uint64(0xD6E8FEB86659FD93)
+            key ^= key >> np.uint64(31)
+        found.append(key[size > 0])
+    return np.concatenate(found).view(np.int64)
 
 
 def aligned_similarity(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> float:
@@ -117,6 +145,16 @@ def aligned_similarity(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> fl
     return m / (total - m)
 
 
+def _digest(text_col: str) -> tuple[Column, Column]:
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return F.unhex(F.md5(text)), text
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64)))
+
+
 def sketches(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     """(key, h, n, bands): digest of the text, number of shingles and band keys. One pass, no shuffle."""
     kind = docs.schema[key].dataType.simpleString()
@@ -131,17 +169,29 @@ def sketches(docs: DataFrame, key: str, text_col: str) -> DataFrame:
                     s = shingle(text.as_py())
                     n.append(len(s))
                     keys.append(bands(s) if len(s) else np.zeros(0, np.int64))
-                ends = np.cumsum([0, *map(len, keys)])
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(n, pa.int64()), lists], [key, "h", "n", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(n, pa.int64()), _lists(keys)], [key, "h", "n", "bands"])
+
+    h, text = _digest(text_col)
+    picked = docs.where(F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`"), h.alias("h"), text.alias("t"))
+    return picked.mapInArrow(work, f"`{key}` {kind}, h binary, n bigint, bands array<bigint>")
 
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    picked = docs.where(F.col(key).isNotNull()).select(key, F.md5(text).alias("h"), text.alias("_t"))
-    return picked.mapInArrow(work, f"`{key}` {kind}, h string, n bigint, bands array<bigint>")
+
+def _shingle_rows(texts: DataFrame) -> DataFrame:
+    """(h, s): the labelled shingles of each text, as one array."""
+
+    def work(batches):
+        shingle = Shingler()
+        for batch in batches:
+            for i in range(0, batch.num_rows, 128):
+                part = batch.slice(i, 128)
+                own = [shingle(t.as_py()).view(np.int64) for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), _lists(own)], ["h", "s"])
+
+    return texts.select("h", "text").mapInArrow(work, "h binary, s array<bigint>")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(x, y, link): whether the two texts align; pairs and texts are written tables."""
+    """(x, y, link): whether the two texts align. The text joins stay merge joins at every size."""
     one = texts.select(F.col("h").alias("x"), F.col("text").alias("tx"))
     two = texts.select(F.col("h").alias("y"), F.col("text").alias("ty"))
 
@@ -156,88 +206,104 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 out.append(aligned_similarity(own, shingle(ty[i].as_py())) >= LEAST)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.bool_())], ["x", "y", "link"])
 
-    both = pairs.join(two, "y").join(one, "x").select("x", "y", "tx", "ty")
-    return both.mapInArrow(work, "x string, y string, link boolean")
+    both = pairs.join(two.hint("merge"), "y").join(one.hint("merge"), "x").select("x", "y", "tx", "ty")
+    return both.mapInArrow(work, "x binary, y binary, link boolean")
+
+
+def _fits(a: Column, b: Column) -> Column:
+    return F.least(a, b) >= LEAST * F.greatest(a, b)
+
+
+class _Links:
+    """The verified links found so far, with the classes and degrees that they make."""
+
+    def __init__(self, texts: DataFrame, scratch: Scratch):
+        self.texts, self.scratch, self.tried, self.known = texts, scratch, None, None
+
+    def test(self, pairs: DataFrame) -> None:
+        """pairs: (a, b) digests, in any order, repeated or tested before."""
+        own = pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
+        if self.tried is not None:
+            own = own.join(self.tried.select("x", "y"), ["x", "y"], "left_anti")
+        done = self.scratch.write(_verified(self.scratch.write(own), self.texts))
+        self.tried = done if self.tried is None else self.tried.union(done)
+        edges = self.found()
+        self.known = self.scratch.write(components(edges, "x", "y", self.scratch).withColumnRenamed("node", "h").join(degrees(edges), "h"))
+
+    def found(self) -> DataFrame:
+        return self.tried.where("link").select("x", "y")
+
+    def classed(self, members: DataFrame) -> DataFrame:
+        """members with the root of their class and their number of links so far."""
+        own = members.drop("root", "deg").join(self.known, "h", "left")
+        return own.withColumns({"root": F.coalesce("root", "h"), "deg": F.coalesce("deg", F.lit(0))})
 
 
-def _pair(a: str, b: str) -> list:
-    return [F.least(a, b).alias("x"), F.greatest(a, b).alias("y")]
+def degrees(edges: DataFrame) -> DataFrame:
+    both = edges.select(F.col("x").alias("h")).union(edges.select(F.col("y").alias("h")))
+    return both.groupBy("h").agg(F.count("*").alias("deg"))
 
 
-def links(docs: DataFrame, nodes: DataFrame, key: str, text_col: str) -> DataFrame:
-    """(x, y) for verified links between distinct texts. nodes: written (h, rep, n, bands)."""
-    placed = nodes.where("n > 0").select("h", "n", F.posexplode("bands").alias("band", "bucket"))
-    members = placed.select("h", "n", F.xxhash64("band", "bucket").alias("g"), F.col("h").alias("root"), F.lit(0).cast("bigint").alias("deg"))
-    texts = tried = None
-    for turn in range(len(LEADERS) + 1):
-        if turn == REFINED:
-            members = _refined(members, nodes)
+def links(docs: DataFrame, nodes: DataFrame, key: str, text_col: str, scratch: Scratch) -> _Links:
+    """The links between distinct texts, and their classes. nodes: written (h, rep, n, bands)."""
+    placed = nodes.where("n > 0").select("h", "n", F.explode("bands").alias("g"))
+    shared = placed.groupBy("g").agg(F.count("*").alias("c")).where("c > 1").select("g")
+    members = scratch.write(placed.join(scratch.write(shared), "g"))
+    links = _Links(_texts_of(docs, members.select("h").distinct(), nodes, key, text_col, scratch), scratch)
+    members = members.withColumns({"root": F.col("h"), "deg": F.lit(0).cast("bigint")})
+    for turn, (leaders, hubs) in enumerate(TURNS):
         one = F.struct("h", "n", "root")
-        # by hash at first, later the members with the most links too: the originals of many copies
-        picks = [F.min_by(one, F.xxhash64("h", F.lit(i))) for i in range(LEADERS[turn] if turn < len(LEADERS) else 0)]
-        if turn:
-            picks += [F.max_by(one, F.struct("deg", F.xxhash64("h", F.lit(-1 - i)))) for i in range(HUBS)]
-        several = F.min("root") != F.max("root")
-        heads = members.groupBy("g").agg(F.array_distinct(F.array(*picks)).alias("heads"), several.alias("several"))
-        heads = written(heads.where("several").drop("several"), "heads")
-        if turn and heads.isEmpty():
-            break
-        led = members.join(heads, "g")
-        if turn < len(LEADERS):
-            tests = led.select("h", "n", "root", F.explode("heads").alias("l"))
-        else:  # whatever is still apart, each with each
-            rest = written(led.select("g", "h", "n", "root"), "rest")
-            tests = rest.join(rest.select("g", F.struct("h", "n", "root").alias("l")), "g").where(F.col("l.h") < F.col("h"))
-        if texts is None:
-            texts = _texts_of(docs, written(led.select("h").distinct(), "tested"), nodes, key, text_col)
-        fits = F.least("l.n", "n") >= LEAST * F.greatest("l.n", "n")
-        pairs = tests.where((F.col("l.root") != F.col("root")) & fits).select(*_pair("l.h", "h")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried.select("x", "y"), ["x", "y"], "left_anti")
-        done = written(_verified(written(pairs, "pairs"), texts), "verified")
-        tried = done if tried is None else tried.union(done)
-        if turn < len(LEADERS):
-            # a leader has been tested with all of its bucket; everyone else stays while classes are apart
-            led = led.where(~F.exists("heads", lambda x: x["h"] == F.col("h"))).select("g", "h", "n")
-            members = written(_classed(led, tried.where("link").select("x", "y")), "members")
-    return tried.where("link").select("x", "y")
-
-
-def _classed(members: DataFrame, edges: DataFrame) -> DataFrame:
-    """members with the root of their class and their number of links so far."""
-    edges = written(edges, "edges")
-    degree = edges.select(F.col("x").alias("h")).union(edges.select(F.col("y").alias("h"))).groupBy("h").agg(F.count("*").alias("deg"))
-    known = written(components(edges, "x", "y").withColumnRenamed("node", "h").join(degree, "h"), "roots")
-    return members.join(known, "h", "left").select("g", "h", "n", F.coalesce("root", "h").alias("root"), F.coalesce("deg", F.lit(0)).alias("deg"))
-
-
-def _refined(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The members of buckets with several classes: small buckets as they are, others parted by each later band and by size.
-
-    A pair at the threshold meets in about half of the bands, so it meets again in some part; texts
-    that merely share a passage seldom do. A pair that shares two bands has both buckets here with
-    all that was not tested, so a bucket is parted by later bands only. A text is in two size
-    classes, and two texts whose sizes allow the threshold share one.
+        picks = [F.min_by(one, F.xxhash64("h", F.lit(10 * turn + i))) for i in range(leaders)]
+        picks += [F.max_by(one, F.struct("deg", F.xxhash64("h", F.lit(-1 - i)))) for i in range(hubs)]
+        heads = members.groupBy("g").agg(F.array_distinct(F.array(*picks)).alias("heads"), (F.min("root") != F.max("root")).alias("several"))
+        led = members.join(scratch.write(heads.where("several").drop("several")), "g")
+        tests = led.select("h", "n", "root", F.explode("heads").alias("l"))
+        links.test(tests.where((F.col("l.root") != F.col("root")) & _fits(F.col("l.n"), F.col("n"))).select(F.col("l.h").alias("a"), F.col("h").alias("b")))
+        # a leader has been compared with all of its bucket; the others stay while classes are apart
+        led = led.where(~F.exists("heads", lambda x: x["h"] == F.col("h"))).select("g", "h", "n")
+        members = scratch.write(links.classed(led))
+    apart = members.groupBy("g").agg((F.min("root") != F.max("root")).alias("several")).where("several").select("g")
+    open_texts = scratch.write(members.join(apart, "g", "left_semi").select("h", "n").distinct())
+    if not open_texts.isEmpty():
+        links.test(_rare_pairs(links.classed(_rarest(links.texts, open_texts, scratch)), scratch))
+    return links
+
+
+def _rarest(texts: DataFrame, own: DataFrame, scratch: Scratch) -> DataFrame:
+    """(s, h, n, i): for each text in own, its shingles in order of rarity up to the prefix that LEAST asks for.
+
+    i counts from 1, shingles that no other text in own has (never listed) included.
     """
-    counts = members.groupBy("g").agg(F.count("*").alias("c"), (F.min("root") != F.max("root")).alias("several"))
-    known = members.join(written(counts.where("several").drop("several"), "several"), "g")
-    small = known.where(F.col("c") <= SMALL).select("g", "h", "n", "root", "deg")
-    size = F.floor(F.log(F.col("n").cast("double")) / float(-np.log(LEAST)))
-    own = known.where(F.col("c") > SMALL).join(nodes.select("h", "bands"), "h")
-    own = own.withColumn("keys", F.transform("bands", lambda x, i: F.xxhash64(i, x)))
-    own = own.withColumn("later", F.slice("keys", F.array_position("keys", F.col("g")).cast("int") + 1, BANDS))
-    own = own.select("g", "h", "n", "root", "deg", F.explode("later").alias("key"), F.array(size, size + 1).alias("size"))
-    own = own.select("g", "h", "n", "root", "deg", "key", F.explode("size").alias("size"))
-    parts = own.select(F.xxhash64("g", "size", "key").alias("g"), "h", "n", "root", "deg")
-    return written(small.unionByName(parts), "parts")
-
-
-def _texts_of(docs: DataFrame, tests: DataFrame, nodes: DataFrame, key: str, text_col: str) -> DataFrame:
+    sets = scratch.write(_shingle_rows(texts.join(own.select("h"), "h", "left_semi")))
+    rows = sets.select("h", F.explode("s").alias("s"))
+    common = rows.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
+    known = rows.join(scratch.write(common), "s").join(own, "h")
+    text = Window.partitionBy("h")
+    at = F.col("n") - F.count("*").over(text) + F.row_number().over(text.orderBy("df", "s"))
+    placed = known.withColumn("i", at.cast("bigint")).select("s", "h", "n", "i")
+    return scratch.write(placed.where(F.col("i") <= F.col("n") - F.ceil(LEAST * F.col("n") - 1e-9) + 1))
+
+
+def _rare_pairs(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b) of different classes that share a rare shingle and, by its places, may reach LEAST."""
+    apart = rows.groupBy("s").agg((F.min("root") != F.max("root")).alias("several")).where("several").select("s")
+    rows = scratch.write(rows.join(apart, "s").select("s", "h", "n", "i", "root"))
+    share = LEAST / (1 + LEAST)
+    short = rows.where(F.col("i") <= F.col("n") - F.ceil(2 * share * F.col("n") - 1e-9) + 1)
+    short = short.select("s", *[F.col(c).alias(f"{c}2") for c in ("h", "n", "i", "root")])
+    most = 1 + F.least(F.col("n") - F.col("i"), F.col("n2") - F.col("i2"))
+    order = (F.col("n") > F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("h") > F.col("h2")))
+    fits = order & _fits(F.col("n"), F.col("n2")) & (most >= share * (F.col("n") + F.col("n2")) - 1e-9)
+    both = rows.join(short, (rows["s"] == short["s"]) & (rows["root"] != short["root2"]) & fits)
+    return both.select(F.col("h").alias("a"), F.col("h2").alias("b"))
+
+
+def _texts_of(docs: DataFrame, tests: DataFrame, nodes: DataFrame, key: str, text_col: str, scratch: Scratch) -> DataFrame:
     """Written (h, text), once for each text in tests: that of the row whose key is the text's least."""
-    ids = tests.select("h").distinct().join(nodes.select("h", F.col("rep").alias(key)), "h")
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    own = docs.select(key, F.md5(text).alias("h"), text.alias("text")).join(written(ids, "ids"), ["h", key], "left_semi")
-    return written(own.groupBy("h").agg(F.first("text").alias("text")), "texts")
+    ids = tests.join(nodes.select("h", F.col("rep").alias("k")), "h")
+    h, text = _digest(text_col)
+    own = docs.select(F.col(f"`{key}`").alias("k"), h.alias("h"), text.alias("text")).join(scratch.write(ids), ["h", "k"], "left_semi")
+    return scratch.write(own.groupBy("h").agg(F.first("text").alias("text")))
 
 
 def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,31 +311,30 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text_col: str =
 
     n_links counts the verified links that made the class, not all similar texts.
     """
-    known = written(sketches(docs, key, text_col), "sketches")
-    nodes = known.groupBy("h").agg(
-        F.min(key).alias("rep"), F.count("*").alias("rows"), F.max("n").alias("n"), F.first("bands").alias("bands")
-    )
-    nodes = written(nodes, "nodes")
-    edges = written(links(docs, nodes, key, text_col), "links")
-    roots = components(edges, "x", "y")
-    degree = edges.select(F.col("x").alias("h")).union(edges.select(F.col("y").alias("h"))).groupBy("h").count()
-    classed = nodes.select("h", "rep").join(roots.withColumnRenamed("node", "h"), "h", "left").join(degree, "h", "left")
-    classed = written(classed.select("h", "rep", F.coalesce("root", "h").alias("root"), F.coalesce("count", F.lit(0)).alias("n_links")), "classed")
-    least = written(classed.groupBy("root").agg(F.min("rep").alias("class_id")), "classes")
-    of_text = written(classed.join(least, "root").select("h", "class_id", "n_links"), "class-of-text")
+    scratch = Scratch(docs.sparkSession, "near")
+    known = scratch.write(sketches(docs, key, text_col))
+    nodes = known.groupBy("h").agg(F.min(key).alias("rep"), F.max("n").alias("n"), F.first("bands").alias("bands"))
+    nodes = scratch.write(nodes)
+    classed = links(docs, nodes, key, text_col, scratch).classed(nodes.select("h", "rep"))
+    classed = scratch.write(classed.select("h", "rep", "root", F.col("deg").alias("n_links")))
+    least = scratch.write(classed.groupBy("root").agg(F.min("rep").alias("class_id")))
+    of_text = scratch.write(classed.join(least, "root").select("h", "class_id", "n_links"))
     out = known.select(key, "h").join(of_text, "h").select(key, "class_id", F.col("n_links").cast("bigint"))
     kind = docs.schema[key].dataType.simpleString()
     lost = docs.where(F.col(key).isNull()).select(key, F.lit(None).cast(kind).alias("class_id"), F.lit(0).cast("bigint").alias("n_links"))
-    return out.unionAll(lost)
+    return scratch.result(out.unionAll(lost))
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each class: that of its least key."""
     classes = near_duplicate_classes(docs, key, text_col)
-    stay = written(classes.where(F.col(key) == F.col("class_id")).select(key).distinct(), "stay")
-    kept = docs.join(stay, key, "left_semi")
-    one = kept.withColumn("_row", F.row_number().over(Window.partitionBy(key).orderBy(F.length(text_col), text_col))).where("_row = 1")
-    return one.drop("_row").unionByName(docs.where(F.col(key).isNull()))
+    stay = classes.where(F.col(key) == F.col("class_id")).groupBy(F.col(key).alias("k")).agg(F.count("*").alias("c"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"), F.col(f"`{key}`").alias("k"))
+    kept = whole.join(stay, "k")
+    text = F.col(f"r.`{text_col}`")
+    order = Window.partitionBy("k").orderBy(F.length(text), text)
+    again = kept.where("c > 1").withColumn("row", F.row_number().over(order)).where("row = 1").select("r")  # repeated keys
+    return kept.where("c = 1").select("r").union(again).union(whole.where("k is null").select("r")).select("r.*")
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

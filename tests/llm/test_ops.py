@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from opspulse.llm import audio, features, html, mixing, neardup, packing, quality, repeats, secrets, topk, toxicity
+from opspulse.llm.common import Scratch
 from opspulse.llm.components import components
 
 
@@ -163,18 +164,7 @@ def test_pages(spark):
 # --- op5
 
 
-def test_near_duplicates_against_all_pairs(spark):
-    r, words, rows = texts(4, 60)
-    more = []
-    for i, t in rows[:25]:
-        w = t.split()
-        for _ in range(2):
-            v = list(w)
-            for _ in range(len(w) // 60 + (r.random() < 0.5)):
-                v[r.randrange(len(v))] = r.choice(words)
-            more.append((100 + len(more), " ".join(v)))
-    more += [(200 + i, t) for i, t in rows[:5]] + [(300, "one two"), (301, "one two"), (302, ""), (303, None)]
-    rows = rows + more
+def classes_by_all_pairs(rows):
     s = neardup.Shingler()
     sh = {i: s(t) for i, t in rows}
     up = {i: i for i in sh}
@@ -187,13 +177,29 @@ def test_near_duplicates_against_all_pairs(spark):
     ids = sorted(sh)
     for a in ids:
         for b in ids:
-            if a < b and neardup.aligned_similarity(sh[a], sh[b]) >= 0.8:
+            if a < b and root(a) != root(b) and neardup.aligned_similarity(sh[a], sh[b]) >= 0.8:
                 x, y = root(a), root(b)
                 up[max(x, y)] = min(x, y)
+    return {i: root(i) for i in ids}
+
+
+def test_near_duplicates_against_all_pairs(spark):
+    r, words, rows = texts(4, 60)
+    more = []
+    for i, t in rows[:25]:
+        w = t.split()
+        for _ in range(2):
+            v = list(w)
+            for _ in range(len(w) // 60 + (r.random() < 0.5)):
+                v[r.randrange(len(v))] = r.choice(words)
+            more.append((100 + len(more), " ".join(v)))
+    more += [(200 + i, t) for i, t in rows[:5]] + [(300, "one two"), (301, "one two"), (302, ""), (303, None)]
+    rows = rows + more
+    want = classes_by_all_pairs(rows)
     got = {x.doc_id: x.class_id for x in neardup.near_duplicate_classes(docs_of(spark, rows)).collect()}
-    assert got == {i: root(i) for i in ids}
+    assert got == want
     kept = {x.doc_id for x in neardup.deduplicated(docs_of(spark, rows)).collect()}
-    assert kept == {root(i) for i in ids}
+    assert kept == set(want.values())
 
 
 def test_copies_like_their_original_only(spark):
@@ -215,6 +221,38 @@ def test_copies_like_their_original_only(spark):
     assert got == {i: i // 1000 * 1000 for i, _ in rows}
 
 
+def test_drifting_chains_and_a_common_passage(spark):
+    r = random.Random(43)
+    words = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(3000)]
+    some = lambda n: [r.choice(words) for _ in range(n)]
+    rows, passage = [], some(120)
+    for k in range(25):  # each step changes one word; the ends are unlike each other
+        v = some(50)
+        for i in range(12):
+            rows.append((100 * k + i, " ".join(v)))
+            v = list(v)
+            v[(4 * i + 2) % 50] = f"new{k}x{i}"
+    for i in range(150):  # unlike texts that meet in every bucket of the passage, and a few near copies among them
+        own = some(60)
+        rows.append((5000 + i, " ".join(own[:30] + passage + own[30:])))
+        if i % 15 == 0:
+            own[3] = "changed"
+            rows.append((6000 + i, " ".join(own[:30] + passage + own[30:])))
+    want = classes_by_all_pairs(rows)
+    assert len({want[i] for i in want if i < 5000}) == 25 and len({want[i] for i in want if i >= 5000}) == 150
+    got = {x.doc_id: x.class_id for x in neardup.near_duplicate_classes(docs_of(spark, rows)).collect()}
+    assert got == want
+
+
+def test_deduplicated_keeps_clashing_columns(spark):
+    rows = [(1, "same text", 5), (1, "same text", 6), (2, "same text", 7), (3, "other words here", 8), (None, "same text", 9)]
+    docs = spark.createDataFrame(rows, "k long, text string, row int").withColumns({c: F.lit(c) for c in ("r", "c", "h", "_row")})
+    got = neardup.deduplicated(docs, key="k")
+    assert got.columns == docs.columns
+    assert sorted((x.k or 0, x.c) for x in got.collect()) == [(0, "c"), (1, "c"), (3, "c")]
+    assert neardup.deduplicated(docs.limit(0), key="k").count() == 0
+
+
 def test_aligned_similarity():
     s = neardup.Shingler()
     t = " ".join(f"w{i}" for i in range(200))
@@ -240,7 +278,7 @@ def test_components(spark):
     for a, b in edges:
         x, y = sorted((root(a), root(b)))
         up[y] = x
-    got = {x.node: x.root for x in components(spark.createDataFrame(edges, "a string, b string")).collect()}
+    got = {x.node: x.root for x in components(spark.createDataFrame(edges, "a string, b string"), "a", "b", Scratch(spark, "test")).collect()}
     assert all(got.get(x, x) == root(x) for x in up)
 
 
