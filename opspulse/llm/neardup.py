@@ -191,7 +191,7 @@ def _shingle_rows(texts: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(x, y, link): whether the two texts align. The text joins stay merge joins at every size."""
+    """(x, y, link): whether the two texts align. Joins that carry texts or all bands are merge joins at every size."""
     one = texts.select(F.col("h").alias("x"), F.col("text").alias("tx"))
     two = texts.select(F.col("h").alias("y"), F.col("text").alias("ty"))
 
@@ -248,7 +248,7 @@ def links(docs: DataFrame, nodes: DataFrame, key: str, text_col: str, scratch: S
     """The links between distinct texts, and their classes. nodes: written (h, rep, n, bands)."""
     placed = nodes.where("n > 0").select("h", "n", F.explode("bands").alias("g"))
     shared = placed.groupBy("g").agg(F.count("*").alias("c")).where("c > 1").select("g")
-    members = scratch.write(placed.join(scratch.write(shared), "g"))
+    members = scratch.write(placed.join(scratch.write(shared).hint("merge"), "g"))
     links = _Links(_texts_of(docs, members.select("h").distinct(), nodes, key, text_col, scratch), scratch)
     members = members.withColumns({"root": F.col("h"), "deg": F.lit(0).cast("bigint")})
     for turn, (leaders, hubs) in enumerate(TURNS):
@@ -302,7 +302,7 @@ def _texts_of(docs: DataFrame, tests: DataFrame, nodes: DataFrame, key: str, tex
     """Written (h, text), once for each text in tests: that of the row whose key is the text's least."""
     ids = tests.join(nodes.select("h", F.col("rep").alias("k")), "h")
     h, text = _digest(text_col)
-    own = docs.select(F.col(f"`{key}`").alias("k"), h.alias("h"), text.alias("text")).join(scratch.write(ids), ["h", "k"], "left_semi")
+    own = docs.select(F.col(f"`{key}`").alias("k"), h.alias("h"), text.alias("text")).join(scratch.write(ids).hint("merge"), ["h", "k"], "left_semi")
     return scratch.write(own.groupBy("h").agg(F.first("text").alias("text")))
 
 
@@ -330,7 +330,7 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -
     classes = near_duplicate_classes(docs, key, text_col)
     stay = classes.where(F.col(key) == F.col("class_id")).groupBy(F.col(key).alias("k")).agg(F.count("*").alias("c"))
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"), F.col(f"`{key}`").alias("k"))
-    kept = whole.join(stay, "k")
+    kept = whole.join(stay.hint("merge"), "k")
     text = F.col(f"r.`{text_col}`")
     order = Window.partitionBy("k").orderBy(F.length(text), text)
     again = kept.where("c > 1").withColumn("row", F.row_number().over(order)).where("row = 1").select("r")  # repeated keys
