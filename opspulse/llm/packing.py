@@ -27,6 +27,7 @@ import os
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,6 +40,7 @@ MOST_CHUNKS, MOST_WORDS = 500_000, 700_000  # entries kept by a worker
 
 _PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:-@\[-`{-~]+")
 _SPLIT = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+_MARKS = frozenset(".,;:!?")
 _ODD = re.compile("[\x1c-\x1f]")  # white space to str.split, but not to the tokenizer
 
 
@@ -51,32 +53,56 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocab = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a word
+        self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [b"".join(i.to_bytes(4, "little") for i in e.ids) for e in found]
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def together(self, words: list[str]) -> list[bytes]:
+        """Ids of words that the tokenizer does not split: encoded as one text, cut where a word ends."""
+        if not words:
+            return []
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = (4 * np.flatnonzero(self.closes[ids]) + 4).tolist()
+        if len(ends) != len(words):
+            return self.whole(words)
+        data = ids.tobytes()
+        return [data[i:j] for i, j in zip([0, *ends], ends, strict=False)]
 
     def learn(self, missing: set[str]) -> None:
         if len(self.chunks) > MOST_CHUNKS:
             self.chunks.clear()
         if len(self.words) > MOST_WORDS:
             self.words.clear()
-        split = {c: _SPLIT.findall(c.lower()) if _PLAIN.fullmatch(c) else [c] for c in missing}
-        words = self.words
+        words, split, odd = self.words, {}, []
+        for c in missing:
+            stem = c[:-1]
+            if c.isascii() and c.isalpha():
+                split[c] = (c.lower(),)
+            elif c[-1] in _MARKS and stem.isascii() and stem.isalpha():
+                split[c] = (stem.lower(), c[-1])
+            elif _PLAIN.fullmatch(c):
+                split[c] = (c.lower(),) if c.isalpha() else _SPLIT.findall(c.lower())
+            else:
+                odd.append(c)
         new = list({w for parts in split.values() for w in parts if w not in words})
-        words.update(zip(new, self.whole(new), strict=True))
-        self.chunks.update((c, b"".join([words[w] for w in parts])) for c, parts in split.items())
+        words.update(zip(new, self.together(new), strict=True))
+        self.chunks.update((c, words[p[0]] if len(p) == 1 else b"".join([words[w] for w in p])) for c, p in split.items())
+        self.chunks.update(zip(odd, self.whole(odd), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if _ODD.search(t) else t.split() for t in texts]
         known = self.chunks
-        missing = {c for s in split if s for c in s if c not in known}
+        used = set().union(*[s for s in split if s])
+        missing = used.difference(known)
         if missing:
             # an overflow empties the table, so the other words of these texts are learnt again
-            full = len(known) > MOST_CHUNKS
-            self.learn({c for s in split if s for c in s} if full else missing)
+            self.learn(used if len(known) > MOST_CHUNKS else missing)
         return [
             self.whole([t])[0] if s is None else b"".join([known[c] for c in s]) for t, s in zip(texts, split, strict=True)
         ]
@@ -109,8 +135,8 @@ def tokenized_pieces(
     def work(batches):
         enc = encoder(path)
         for batch in batches:
-            for i in range(0, batch.num_rows, 64):
-                keys, out, texts = [], [], batch.column(1).slice(i, 64).to_pylist()
+            for i in range(0, batch.num_rows, 256):
+                keys, out, texts = [], [], batch.column(1).slice(i, 256).to_pylist()
                 for j, ids in enumerate(enc.encode([t or "" for t in texts])):
                     ids += closing
                     for a in range(0, len(ids), 4 * size):
