@@ -8,7 +8,8 @@
    number of lengths, not of documents.
 3. Each length's pieces are ranked. Ranks are dealt by (length, salt), so that one
    common length does not meet in one task, and shifted by the counts of lower salts.
-   A slot (length, range of ranks, first sequence, offset) then says where a piece goes.
+   A slot (length, range of ranks, first sequence, offset) then says where a piece goes;
+   slots are looked up by (length, block of ranks).
    There are at most 3 * size patterns of at most sqrt(2 * size) distinct lengths, which
    bounds the slot table that is broadcast.
 
@@ -23,6 +24,7 @@ give repeated pieces; an empty table gives an empty result; only key and text ar
 
 from __future__ import annotations
 
+import collections
 import os
 import re
 import zlib
@@ -196,6 +198,19 @@ def slots(patterns: list, size: int = SIZE) -> list[tuple[int, int, int, int, in
     return out
 
 
+def slot_blocks(rows: list, counts: dict[int, int]) -> tuple[list[tuple[int, int]], list[tuple]]:
+    """(length, width) and slots by (length, rank // width, ...), so that a rank meets few slots.
+
+    A length's ranks are cut into about as many blocks as it has slots, so blocks at most double the table.
+    """
+    many = collections.Counter(r[0] for r in rows)
+    widths = {n: max(1, -(-counts[n] // many[n])) for n in many}
+    placed = []
+    for n, first, last, *rest in rows:
+        placed += [(n, b, first, last, *rest) for b in range(first // widths[n], (last - 1) // widths[n] + 1)]
+    return list(widths.items()), placed
+
+
 def pack(pieces: DataFrame, size: int = SIZE, keys: tuple[str, ...] = ("doc_id", "start")) -> DataFrame:
     """pieces (with length and ids_crc32) + sequence_id, offset. Reads pieces three times: pass a written table."""
     spark = pieces.sparkSession
@@ -206,22 +221,23 @@ def pack(pieces: DataFrame, size: int = SIZE, keys: tuple[str, ...] = ("doc_id",
         "_before", F.sum("count").over(Window.partitionBy("length").orderBy("_salt")) - F.col("count")
     ).drop("count")
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most size rows
-    table_of = spark.createDataFrame(
-        slots(pack_histogram(histogram, size), size) or [(0, 0, 0, 0, 0, 1)],
-        "_length bigint, _from bigint, _to bigint, _sequence bigint, _offset bigint, _times bigint",
+    widths, blocks = slot_blocks(slots(pack_histogram(histogram, size), size), histogram)
+    width_of = spark.createDataFrame(widths, "length bigint, _width bigint")  # at most size rows
+    slot_of = spark.createDataFrame(
+        blocks, "length bigint, _block bigint, _from bigint, _to bigint, _sequence bigint, _offset bigint, _times bigint"
     )
     own = Window.partitionBy("length", "_salt").orderBy(*keys, "ids_crc32")
     ranked = (
         salted.withColumn("_n", F.row_number().over(own) - 1)
         .join(lower, ["length", "_salt"])
         .withColumn("_rank", F.col("_n") + F.col("_before"))
+        .join(F.broadcast(width_of), "length")
+        .withColumn("_block", F.floor(F.col("_rank") / F.col("_width")))
     )
     at = F.col("_rank") - F.col("_from")
     return (
-        ranked.join(
-            F.broadcast(table_of),
-            (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")),
-        )
+        ranked.join(F.broadcast(slot_of), ["length", "_block"])
+        .where((F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
         .withColumn("sequence_id", F.col("_sequence") + F.floor(at / F.col("_times")).cast("bigint"))
         .withColumn("offset", F.col("_offset") + F.pmod(at, F.col("_times")) * F.col("length"))
         .select(*pieces.columns, "sequence_id", "offset")
