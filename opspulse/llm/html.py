@@ -7,8 +7,12 @@ standard deviation of the smoothed ratios, at most half their maximum) form the
 cluster. The deepest element that holds nearly all text of that cluster is widened to the
 article or main element around it, or else until it holds all of the cluster. This is the region,
 and every line of the region is kept, however short, except in parts that are never
-article text: by element (nav, aside, footer, form, ...) or by a word of class, id or
-role (ad, sidebar, comments, cookie, ...).
+article text: elements such as nav, aside, footer or hidden ones, and *marked* elements
+(forms, and those with a word such as ad, sidebar, comments or cookie in class, id or role).
+A mark never removes the article itself: marked elements around the article or main element
+(without one, around the first heading) are wrappers, and so is a marked element that holds
+nearly all text of the page. Outside an article or main element, lines that are nothing but
+links, with a ratio below the threshold, are menus and go too.
 
 Inside a block white space becomes one space (a line break element counts as white
 space); blocks are joined by one newline.
@@ -20,8 +24,10 @@ are read whole.
 
 from __future__ import annotations
 
+import collections
 import re
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +40,10 @@ SLICE = 1 << 16  # characters fed at a time
 SIGMA = 1.5  # lines
 HOLDS = 0.9  # share of the cluster's text that the region must hold
 
+BARE = 100  # characters; less text than this outside marked elements is no article
+
 # Elements by role.
-SKIPPED = frozenset("head nav aside footer form script style noscript template iframe svg canvas object button select textarea dialog menu".split())
+SKIPPED = frozenset("head nav aside footer script style noscript template iframe svg canvas object button select textarea dialog menu".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol option p pre section summary table tbody td tfoot th "
@@ -44,63 +52,91 @@ BLOCK = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that end of themselves when a block or one of their own kind begins.
 LOOSE = frozenset("p li dt dd tr td th option".split())
-REGIONS = frozenset("article main section div td body html".split())
+REGIONS = frozenset("article main section div td body html form".split())
 HINTS = frozenset(
     "ad ads adv advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
     "footer masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted "
     "related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: A name with one of these tells what surrounds or lacks the thing: has-sidebar, no-ads.
+AROUND = frozenset("has no not with without hide".split())
 ROLES = frozenset("navigation banner complementary contentinfo search form dialog alert menu menubar".split())
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
-def _hinted(attrs: list) -> bool:
+def _marked(attrs: list) -> bool:
+    """Whether class, id or role tells of a part that is no article text."""
     for name, value in attrs:
-        if not value:
-            continue
-        if name in ("class", "id") and any(w.lower() in HINTS for w in _WORDS.findall(value)):
-            return True
-        if name == "role" and value.strip().lower() in ROLES:
-            return True
-        if name in ("hidden",) or (name == "aria-hidden" and value == "true"):
+        if name in ("class", "id"):
+            for token in (value or "").split():
+                words = {w.lower() for w in _WORDS.findall(token)}
+                if words & HINTS and not words & AROUND:
+                    return True
+        if name == "role" and (value or "").strip().lower() in ROLES:
             return True
     return False
 
 
+def _unseen(attrs: list) -> bool:
+    return any(
+        n == "hidden" or n == "aria-hidden" and v == "true" or n == "style" and v and _UNSEEN.search(v.lower()) for n, v in attrs
+    )
+
+
+class Line(NamedTuple):
+    text: str
+    tags: int
+    skipped: bool
+    region: int
+    mark: int  # innermost marked element, 0 for none
+    linked: bool  # nothing but link text
+    heading: bool
+
+
 class Lines(HTMLParser):
-    """Parser events -> lines of [text parts, tags, skipped, path of open region elements]."""
+    """Parser events -> lines, with the trees of region elements and of marked elements."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int]] = []  # tag, skipped from here on, region or -1
+        self.stack: list[tuple[str, bool, int, bool]] = []  # tag, skipped from here on, region or -1, marked
         self.skipped = 0
         self.regions = [0]
-        self.n_regions = 1
         self.parent = {0: -1}
-        self.articles: set[int] = set()
-        self.in_article = 0
-        self.lines: list[tuple[str, int, bool, int]] = []
+        self.marks = [0]
+        self.mark_parent = {0: -1}
+        self.articles: dict[int, int] = {}  # article and main elements without a mark of their own -> mark around them
+        self.inside = collections.Counter()  # open article, main, a and h1 elements
+        self.lines: list[Line] = []
         self.parts: list[str] = []
         self.tags = 0
+        self.unlinked = 0
+
+    @property
+    def n_regions(self) -> int:
+        return len(self.parent)
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, self.tags, self.skipped > 0, self.regions[-1]))
+            self.lines.append(Line(text, self.tags, self.skipped > 0, self.regions[-1], self.marks[-1], not self.unlinked, self.inside["h1"] > 0))
             self.tags = 0
-        self.parts = []
+        self.parts, self.unlinked = [], 0
 
     def _pop(self) -> None:
-        tag, skip, region = self.stack.pop()
+        tag, skip, region, mark = self.stack.pop()
         self.skipped -= skip
         if region >= 0:
             self.regions.pop()
-        self.in_article -= tag in ("article", "main")
+        if mark:
+            self.marks.pop()
+        if tag in self.inside:
+            self.inside[tag] -= 1
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
             self.flush()
-            while self.stack and self.stack[-1][0] not in BLOCK and any(t in LOOSE for t, _, _ in self.stack[-3:]):
+            while self.stack and self.stack[-1][0] not in BLOCK and any(x[0] in LOOSE for x in self.stack[-3:]):
                 self._pop()  # inline elements left open in a paragraph end with it
             if self.stack and (self.stack[-1][0] == "p" or self.stack[-1][0] == tag and tag in LOOSE):
                 self._pop()
@@ -109,18 +145,22 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        skip = tag in SKIPPED or _hinted(attrs) and tag not in ("html", "body") or tag == "header" and not self.in_article
+        skip = tag in SKIPPED or _unseen(attrs) or tag == "header" and not (self.inside["article"] or self.inside["main"])
+        mark = (tag == "form" or _marked(attrs)) and tag not in ("html", "body")
         region = -1
         if tag in REGIONS:
             region = self.n_regions
-            self.n_regions += 1
             self.parent[region] = self.regions[-1]
             self.regions.append(region)
-            if tag in ("article", "main"):
-                self.articles.add(region)
-        self.in_article += tag in ("article", "main")
+            if tag in ("article", "main") and not mark:
+                self.articles[region] = self.marks[-1]
+        if mark:
+            self.mark_parent[len(self.mark_parent)] = self.marks[-1]
+            self.marks.append(len(self.mark_parent) - 1)
+        if tag in ("article", "main", "a", "h1"):
+            self.inside[tag] += 1
         self.skipped += skip
-        self.stack.append((tag, skip, region))
+        self.stack.append((tag, skip, region, mark))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -131,13 +171,47 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in BLOCK:
             self.flush()
-        if any(t == tag for t, _, _ in self.stack):
+        if any(x[0] == tag for x in self.stack):
             while self.stack[-1][0] != tag:
                 self._pop()
             self._pop()
 
     def handle_data(self, data):
         self.parts.append(data)
+        if not self.inside["a"]:
+            self.unlinked += bool(data.strip())
+
+
+def _wrappers(p: Lines, seen: list[Line]) -> set[int]:
+    """The marked elements that stand around the article, 0 (no mark) among them."""
+    chain: dict[int, tuple[int, ...]] = {0: (0,)}
+    for m in range(1, len(p.mark_parent)):  # children come after their parents
+        chain[m] = (*chain[p.mark_parent[m]], m)
+    size = collections.Counter()
+    for x in seen:
+        size.update(dict.fromkeys(_up(x.region, p.parent), len(x.text)))
+    starts = [(size[r], m) for r, m in p.articles.items() if size[r]] or [(1, x.mark) for x in seen if x.heading][:1]
+    around = {0}
+    if starts and all(m for _, m in starts):
+        around |= set(chain[max(starts)[1]])
+    held = collections.Counter()
+    for x in seen:
+        held.update(dict.fromkeys(chain[x.mark], len(x.text)))
+    while True:  # a marked element that holds nearly all text
+        outside = sum(len(x.text) for x in seen if around.issuperset(chain[x.mark]))
+        inner = [m for m, up in p.mark_parent.items() if up in around and m not in around]
+        largest = max(inner, key=lambda m: held[m], default=0)
+        told = any(not x.heading and around.issuperset(chain[x.mark]) and not p.articles.keys().isdisjoint(_up(x.region, p.parent)) for x in seen)
+        if told or outside >= BARE or held[largest] <= 3 * outside:
+            return {m for m in chain if around.issuperset(chain[m])}
+        around.add(largest)
+
+
+def _up(region: int, parent: dict[int, int]) -> list[int]:
+    out = [region]
+    while parent[out[-1]] >= 0:
+        out.append(parent[out[-1]])
+    return out
 
 
 def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -172,28 +246,36 @@ def main_text(html: str | None) -> str:
         p.feed(html[i : i + SLICE])
     p.close()
     p.flush()
-    kept = [x for x in p.lines if not x[2]]
+    kept = [x for x in p.lines if not x.skipped]
+    if any(x.mark for x in kept):
+        around = _wrappers(p, kept)
+        kept = [x for x in kept if x.mark in around]
     if not kept:
         return ""
-    ratio = smoothed(np.array([len(text) / max(1, tags) for text, tags, _, _ in kept]))
-    content = ratio >= min(ratio.std(), ratio.max() / 2)
+    own = np.array([len(x.text) / max(1, x.tags) for x in kept])
+    ratio = smoothed(own)
+    least = min(ratio.std(), ratio.max() / 2)
+    content = ratio >= least
     held: dict[int, int] = {}
     total = 0
-    for (text, _, _, region), chosen in zip(kept, content, strict=True):
+    for x, chosen in zip(kept, content, strict=True):
         if chosen:
-            total += len(text)
-            held[region] = held.get(region, 0) + len(text)
+            total += len(x.text)
+            held[x.region] = held.get(x.region, 0) + len(x.text)
     for region in range(p.n_regions - 1, 0, -1):  # children come after their parents
         if region in held:
             up = p.parent[region]
             held[up] = held.get(up, 0) + held[region]
     best = max((r for r, n in held.items() if n >= HOLDS * total), default=0)
-    best = _whole(p, best, {region for (_, _, _, region), chosen in zip(kept, content, strict=True) if chosen})
+    best = _whole(p, best, {x.region for x, chosen in zip(kept, content, strict=True) if chosen})
     inside = {best}
     for r in range(best + 1, p.n_regions):
         if p.parent[r] in inside:
             inside.add(r)
-    return "\n".join(text for text, _, _, region in kept if region in inside)
+    menus = best not in p.articles
+    return "\n".join(
+        x.text for x, dense in zip(kept, own >= least, strict=True) if x.region in inside and not (menus and x.linked and not dense)
+    )
 
 
 def extract_text(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

@@ -154,6 +154,42 @@ def test_main_text_of_nested_and_several_sections():
     assert html.main_text(page % f"<div>{several}</div>") == "\n".join([*long, last])
 
 
+def plain_article(page):
+    """What a plain reading of the generated pages below gives: the blocks between the article's markers."""
+    body = page.split("<!--A-->")[1].split("<!--Z-->")[0]
+    blocks = re.split(r"</?(?:p|h1|h2|div|section|ul|li)[^>]*>", body)
+    return "\n".join(t for b in blocks if (t := " ".join(re.sub(r"<[^>]+>", "", b).split())))
+
+
+def test_marks_never_remove_the_article():
+    r, words, _ = texts(51, 1)
+    line = lambda n: " ".join(r.choice(words) for _ in range(n))
+    other = '<div class="sidebar"><p>%s</p></div><div class="comments"><article class="comment"><p>%s</p></article></div>'
+    wrappers = [
+        '<div class="layout has-sidebar">%s</div>', '<div id="post-with-comments">%s</div>', '<div class="no-ads">%s</div>',
+        '<article class="related-content">%s</article>', '<form id="aspnet" action="/">%s</form>', '<div class="widget">%s</div>',
+        '<article>%s</article>', '<main><div class="newsletter-layout">%s</div></main>', '<div class="ad"><article>%s</article></div>', "%s",
+    ]
+    for i, wrap in enumerate(wrappers):
+        for heading in (f"<h1>{line(4)}</h1>", ""):
+            paras = "".join(f"<p>{line(r.randint(20, 90))}</p>" for _ in range(8)) + f"<h2>{line(2)}</h2><section><p>{line(30)}</p></section>"
+            page = "<html><body><nav><a href=/>Home</a></nav>" + wrap % f"<!--A-->{heading}{paras}<!--Z-->" + other % (line(9), line(25)) + "</body></html>"
+            assert html.main_text(page) == plain_article(page), (i, heading)
+
+
+def test_comments_longer_than_the_article_and_hidden_text():
+    p = "<p>Some thirty words of an opinion on what was said above, and more.</p>"
+    page = '<body><article><h1>T</h1><p>A short article.</p></article><div id="comments">%s</div></body>' % (p * 60)
+    assert html.main_text(page) == "T\nA short article."
+    page = '<article><p>Seen text of the article.</p><p hidden>not seen</p><p style="display: none">nor this</p><p aria-hidden=true>nor that</p></article>'
+    assert html.main_text(page) == "Seen text of the article."
+    menu = "<ul>" + "".join(f"<li><a href=/{i}>Item {i}</a></li>" for i in range(9)) + "</ul>"
+    story = "".join(f"<p>Paragraph {i} of a story that has no element of its own but words enough.</p>" for i in range(9))
+    assert "Item" not in html.main_text(f"<body>{menu}{story}{menu}</body>")
+    long = "<article>" + "<p>one two three</p>" * 30_000 + "</article>"
+    assert html.main_text(long).count("\n") == 29_999
+
+
 def test_pages(spark):
     df = spark.createDataFrame([(1, "u", PAGE, "clash"), (2, None, None, "c"), (None, "v", "x", "c")], "page_id long, url string, html string, text string")
     got = {x.page_id: x for x in html.extract_text(df).collect()}
