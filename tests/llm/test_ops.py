@@ -378,13 +378,41 @@ def test_mixing_meets_targets(spark):
     t = r.integers(1, 500, 500)
     members = spark.createDataFrame([(i, int(t[i]), p[i].tolist()) for i in range(500)], "doc_id long, tokens long, p array<double>").cache()
     goal = mixing.target_totals(members, [0.9, 0.05, 0.05])
-    steps = mixing.fit_rates(members, goal)
-    rates = mixing.rates(p, steps)
+    fit = mixing.fit_rates(members, goal)
+    rates = mixing.rates(p, fit.steps)
+    assert fit.residual <= mixing.CLOSE and np.allclose(goal / goal.sum(), [0.9, 0.05, 0.05])
     assert rates.min() >= 0 and (t * rates) @ p == pytest.approx(goal, rel=1e-4)
-    got = {x.doc_id: x.rate for x in mixing.with_rates(members, steps).collect()}
+    got = {x.doc_id: x.rate for x in mixing.with_rates(members, fit).collect()}
     assert [got[i] for i in range(500)] == pytest.approx(rates.tolist())
 
 
+def test_infeasible_targets_are_reported(spark, caplog):
+    members = spark.createDataFrame([(i, 10, [0.6, 0.4]) for i in range(50)], "doc_id long, tokens long, p array<double>")
+    fit = mixing.fit_rates(members, np.array([450.0, 50.0]))  # all rows are alike, so shares cannot change
+    best = min(((r * 300 - 450) ** 2 + (r * 200 - 50) ** 2, r) for r in np.linspace(0, 2, 20001))[1]
+    assert fit.residual == pytest.approx(max(abs(best * 300 - 450), abs(best * 200 - 50)) / 500, abs=1e-3)
+    assert "targets missed" in caplog.text
+
+
+def test_mixing_query_on_unlabelled_rows(spark, tmp_path):
+    r, words, _ = texts(61, 1)
+    tails = {"clean": "", "toxic": " you idiot you scum you moron", "junk": " buy*** now$$$ cheap***"}
+    kinds = [r.choices(list(tails), [8, 1, 1])[0] for _ in range(600)]
+    rows = [(i, " ".join(r.choice(words) for _ in range(r.randint(20, 120))) + tails[k]) for i, k in enumerate(kinds)]
+    labels = [(i, int(k != "junk"), int(k == "toxic")) for i, k in enumerate(kinds) if i < 300]
+    docs_of(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = mixing.op7_mixing(spark, str(tmp_path)).toPandas().sort_values("doc_id")
+    p = got[[f"p_{d}" for d in mixing.DOMAINS]].to_numpy()
+    unseen = got.doc_id >= 300
+    right = np.array([mixing.DOMAINS[j] == k for j, k in zip(p.argmax(axis=1), kinds, strict=True)])
+    assert np.allclose(p.sum(axis=1), 1) and right[unseen].mean() >= 0.97
+    assert list(got.tokens) == [len(t.split()) for _, t in rows]
+    mix = (got.rate * got.tokens).to_numpy() @ p
+    assert np.abs(mix / mix.sum() - [mixing.TARGETS[d] for d in mixing.DOMAINS]).max() <= got.residual.max() + 1e-6 and got.residual.max() < 1e-5
+    assert (got.rate[p.argmax(axis=1) == 0] >= 1).all() and (abs(got.copies - got.rate) < 1).all()
+
+
 def test_rates_keep_likely_clean_rows():
     p = np.array([[0.9, 0.08, 0.02], [0.6, 0.3, 0.1], [0.1, 0.8, 0.1], [0.05, 0.05, 0.9]])
     r = mixing.rates(p, [np.array([-0.02, 0.7, 0.9]), np.array([-0.01, 0.2, 0.3])], mixing.KEEP)
