@@ -3,8 +3,8 @@
 Only equality of 200-byte prefixes of suffixes matters here, so a suffix's rank is the
 class of its prefix, and sorting is by prefix hash.
 
-1. Distinct texts are packed into *groups* of a few MB, written to the shared folder; exact
-   copies are one text with a count. Matches never cross documents.
+1. Distinct texts are packed by digest into *groups* of a few MB, in a bucketed table that is
+   dropped at the end; exact copies are one text with a count. Matches never cross documents.
 2. Cover sample: positions whose residue mod 133 lies in a perfect difference set of 12
    residues. For any two positions some shift below 133 moves both onto the sample, so a
    repeated 200-byte string contains a 68-byte string that starts at a sample position in
@@ -17,17 +17,19 @@ class of its prefix, and sorting is by prefix hash.
 
 A group sends each key once with a bit for more than one place, so a passage that is
 everywhere costs a bucket one key for each group. The number of buckets grows with the
-bytes, so a bucket's size does not. Keys of the second deal are 64 bits within a bucket that
-is chosen by other bits; the first deal's 32-bit keys are only a filter.
+bytes, so a bucket's size does not. Keys of the second deal are 64 bits of one hash within a
+bucket that an independent hash chooses: with 4 million keys a bucket, about 4 x 10^-7 pairs a
+bucket meet by chance. The first deal's 32-bit keys are only a filter.
 
 Defined results: null texts count as empty; texts under 200 bytes lose nothing; repeated
 rows are copies and lose everything from 200 bytes on; an empty table gives an empty
-result; only key and text are read. The input should be a table or a written result, since
+result; only the text is read. The input should be a table or a written result, since
 it is read three times.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import uuid
 
@@ -36,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir, table, written
+from .common import table, written
 
 LENGTH = 200
 # A perfect difference set; every difference mod 133 occurs exactly once.
@@ -46,8 +48,9 @@ PREFIX = LENGTH - MODULUS + 1
 GROUP_BYTES = 2_000_000
 SEGMENT = 1 << 20
 BUCKET_KEYS = 4_000_000
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+MOST_SEEN = 200_000  # digests of texts with copies that a task remembers
+BUCKET_BYTES = 64_000_000  # of texts, in one bucket of the group table
+_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)  # of two independent string hashes
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -56,12 +59,17 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def string_hashes(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+@functools.cache
+def _powers(base: int) -> tuple[np.ndarray, np.ndarray]:
+    n = SEGMENT + LENGTH
+    return tuple(np.cumprod(np.full(n, b, np.uint64)) for b in (base, pow(base, -1, 1 << 64)))
+
+
+def string_hashes(data: np.ndarray, at: np.ndarray, length: int, base: int = _BASES[0]) -> np.ndarray:
     """64-bit hashes of data[i:i+length] for the sorted positions i, by prefix sums over segments."""
     out = np.empty(len(at), np.uint64)
     n = SEGMENT + length
-    power = np.cumprod(np.full(min(n, len(data)), _BASE, np.uint64)) if len(at) else None
-    inverse = np.cumprod(np.full(min(n, len(data)), _INVERSE, np.uint64)) if len(at) else None
+    power, inverse = _powers(base)
     for start in range(0, len(data), SEGMENT):
         lo, hi = np.searchsorted(at, (start, start + SEGMENT))
         if lo == hi:
@@ -104,9 +112,10 @@ class Group:
 
     def windows(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Keys, buckets, and whether the window's text has copies."""
-        h = string_hashes(self.data, at, LENGTH)
+        keys = string_hashes(self.data, at, LENGTH, _BASES[1])
+        deal = string_hashes(self.data, at, LENGTH, _BASES[0])
         copied = self.copied[np.searchsorted(self.ends, at, side="right")]
-        return _mix(h + np.uint64(0x51ED270B)), (h >> np.uint64(20)).astype(np.int64) % self.window_buckets, copied
+        return keys, (deal >> np.uint64(20)).astype(np.int64) % self.window_buckets, copied
 
 
 def send(keys: np.ndarray, buckets: np.ndarray, known: np.ndarray | None = None):
@@ -177,26 +186,36 @@ def _answer(kind: str):
     return work
 
 
-def groups(docs: DataFrame, key: str, text_col: str) -> DataFrame:
-    """(gid, hs, lens, copied, bytes): the distinct texts, packed, in a table bucketed by gid.
+def groups(docs: DataFrame, text_col: str) -> tuple[DataFrame, str]:
+    """(gid, hs, lens, copied, bytes): the distinct texts, packed, in a table bucketed by gid; and the table's name.
 
-    Answers join it by gid without moving the texts again.
+    Answers join it by gid without moving the texts again. The number of buckets grows with the bytes.
     """
     spark = docs.sparkSession
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(key).alias("k"), F.md5(text).alias("h"), text.alias("t"))
-    one = rows.groupBy("h").agg(F.min("k").alias("k"), F.count("*").alias("n")).select("h", "k", (F.col("n") > 1).alias("copied"))
-    one = written(one, "texts").withColumnsRenamed({"h": "_h", "k": "_k"})
-    # repeated rows of the least key may lie in any partition: one of them for each digest
-    picked = rows.join(one, (F.col("h") == F.col("_h")) & F.col("k").eqNullSafe(F.col("_k"))).groupBy("h").agg(
-        F.first("copied").alias("copied"), F.first("t").alias("t")
-    )
-    picked = picked.select("h", "copied", F.encode("t", "utf-8").alias("t"))
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    rows = docs.select(F.md5(text).alias("h"), F.encode(text, "utf-8").alias("t"))
+    total = rows.agg(F.sum(F.octet_length("t").cast("bigint"))).first()[0] or 0
+    n_groups = max(1, -(-total // GROUP_BYTES))
+    n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
+
+    def first_in_task(batches):
+        """Copies may be a large share of all rows: a task sends each text once, and once more if it comes again."""
+        sent: dict[str, bool] = {}
+        for batch in batches:
+            seen: dict[str, int] = {}
+            again = np.zeros(batch.num_rows, bool)
+            for i, h in enumerate(batch.column(0).to_pylist()):
+                again[seen.setdefault(h, i)] |= h in sent or seen[h] != i
+            fresh = [i for h, i in seen.items() if h not in sent or not sent[h] and again[i]]
+            if len(sent) > MOST_SEEN:
+                sent.clear()
+            sent.update((h, bool(again[i])) for h, i in seen.items())
+            own = batch.take(pa.array(fresh, pa.int64()))
+            yield pa.RecordBatch.from_arrays([own.column(0), pa.array(again[fresh]), own.column(1)], ["h", "copied", "t"])
 
     def pack(batches):
-        from pyspark import TaskContext
-
-        gid, held, size = TaskContext.get().partitionId() << 33, [], 0
+        """Rows come by gid and digest: one group for each gid, each text once."""
+        gid, held = None, []
 
         def flush():
             return pa.RecordBatch.from_arrays(
@@ -207,20 +226,27 @@ def groups(docs: DataFrame, key: str, text_col: str) -> DataFrame:
             )
 
         for batch in batches:
-            for h, c, t in zip(*(batch.column(i) for i in range(3)), strict=True):
-                held.append((h.as_py(), c.as_py(), t.as_py()))
-                size += len(held[-1][2])
-                if size >= GROUP_BYTES:
+            for g, h, c, t in zip(*(batch.column(i) for i in range(4)), strict=True):
+                g, h = g.as_py(), h.as_py()
+                if held and g != gid:
                     yield flush()
-                    gid, held, size = gid + 1, [], 0
+                    held = []
+                gid = g
+                if held and held[-1][0] == h:  # the same text from elsewhere
+                    held[-1] = (h, True, held[-1][2])
+                else:
+                    held.append((h, c.as_py(), t.as_py()))
         if held:
             yield flush()
 
-    schema = "gid bigint, hs array<string>, lens array<bigint>, copied array<boolean>, bytes binary"
+    own = rows.mapInArrow(first_in_task, "h string, copied boolean, t binary")
+    placed = own.select(F.pmod(F.xxhash64("h"), F.lit(n_groups)).alias("gid"), "h", "copied", "t")
+    packed = placed.repartition(n_buckets, "gid").sortWithinPartitions("gid", "h").mapInArrow(
+        pack, "gid bigint, hs array<string>, lens array<bigint>, copied array<boolean>, bytes binary"
+    )
     name = f"groups_{uuid.uuid4().hex}"
-    out = picked.mapInArrow(pack, schema).write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "gid").sortBy("gid")
-    out.option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
-    return spark.table(name)
+    packed.write.bucketBy(n_buckets, "gid").sortBy("gid").option("compression", "zstd").saveAsTable(name)
+    return spark.table(name), name
 
 
 def _rows(batches):
@@ -246,10 +272,10 @@ def _release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def repeated_spans(docs: DataFrame, key: str = "doc_id", text_col: str = "text", keep_text: bool = True) -> DataFrame:
+def repeated_spans(docs: DataFrame, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """(h, n_bytes, n_removed, n_spans, kept_sha256, kept) for each distinct text; h is md5 of the text."""
     spark = docs.sparkSession
-    found = groups(docs, key, text_col)
+    found, name = groups(docs, text_col)
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = found.agg(F.sum(F.length("bytes"))).first()[0] or 0
     n = max(2 * least, -(-total * len(COVER) // MODULUS // BUCKET_KEYS))
@@ -306,11 +332,13 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text_col: str = "text",
 
     both = _with_answers(_with_answers(found, samples, "samples"), windows, "windows")
     schema = "h string, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
-    return both.mapInArrow(mark, schema)
+    out = written(both.mapInArrow(mark, schema), "repeats")
+    spark.sql(f"DROP TABLE {name}")
+    return out
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    of_text = written(repeated_spans(docs, keep_text=False).drop("kept"), "of-text")
+    of_text = repeated_spans(docs, keep_text=False).drop("kept")
     keys = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("h"))
     return keys.join(of_text, "h").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
