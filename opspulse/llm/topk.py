@@ -1,9 +1,9 @@
 """Exact top-k search: tiled matrix products, selection in each tile, tree merging.
 
-Vectors are packed into blocks of a fixed number of rows. Every block of queries is
-dealt to every shard of candidates (the queries are the stated small share of the
-rows), so one task multiplies small matrices only. A tile keeps the k best of each
-query; the lists then merge in two levels, first within a group of tiles, then over all.
+Vectors are packed into blocks of a fixed number of bytes. Candidates are dealt to shards and
+queries (the stated small share of the rows) to strips, both of bounded bytes; every shard
+meets every strip, and one task multiplies small matrices only. A tile keeps the k best of
+each query; the lists then merge in two levels, first within a group of tiles, then over all.
 
 Scores are integers: each component becomes floor(1024 * x). Products run as float64
 where their exact bound is below 2^53, else as Python integers; a score beyond a long
@@ -11,7 +11,8 @@ is held at the long's limit.
 
 Defined results: a null vector, or one with a null or non-finite component, takes no
 part; vectors of unequal length are not compared; ties go to the smaller vec_id, and
-repeated rows of one vec_id count as separate candidates (never the query's own id);
+repeated rows of one vec_id count as separate candidates (never the query's own id), and
+as one query, by the least of their vectors;
 an empty table gives an empty result; other columns are not read.
 """
 
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from .common import table
 
 BLOCK_BYTES = 1 << 18
+SHARD_BYTES, STRIP_BYTES = 1 << 26, 1 << 24
 FAN = 16  # tiles merged together at the first level
 SCALE = 1024
 
@@ -112,21 +114,32 @@ def _tiles(k: int):
     return work
 
 
+def _parts(df: DataFrame, most: int) -> int:
+    """How many parts of ``most`` bytes the vectors make."""
+    size = df.agg(F.sum(8 * F.size("v").cast("bigint"))).first()[0] or 0
+    return max(1, -(-size // most))
+
+
 def exact_top_k(
     candidates: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding",
     shards: int | None = None,
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k candidates of highest integer inner product for each query row."""
+    """(query_id, rank, vec_id, score): the k candidates of highest integer inner product for each query id."""
     spark = candidates.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    c = usable(candidates, id_col, vec_col).mapInArrow(_pack, _BLOCKS)
-    q = usable(queries, id_col, vec_col).mapInArrow(_pack, _BLOCKS)
-    c = c.withColumn("shard", F.pmod(F.xxhash64("block"), F.lit(shards)))
-    q = q.select(
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))).alias("shard"), "dim",
+    c = usable(candidates, id_col, vec_col)
+    q = usable(queries, id_col, vec_col).groupBy("vec_id").agg(F.min("v").alias("v"))
+    shards = shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), _parts(c, SHARD_BYTES))
+    strips = _parts(q, STRIP_BYTES)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+    c = c.mapInArrow(_pack, _BLOCKS).select(
+        F.pmod(F.xxhash64("block"), F.lit(shards)).alias("shard"), every(strips).alias("strip"), "block", "dim", "ids", "comps"
+    )
+    q = q.mapInArrow(_pack, _BLOCKS).select(
+        every(shards).alias("shard"), F.pmod(F.xxhash64("block"), F.lit(strips)).alias("strip"), "dim",
         F.col("ids").alias("q_ids"), F.col("comps").alias("q_comps"),
     )
-    tiles = c.join(q.hint("shuffle_hash"), ["shard", "dim"]).select("block", "dim", "ids", "comps", "q_ids", "q_comps")
+    # a merge join buffers the queries of one strip, never all of them
+    tiles = c.join(q.hint("merge"), ["shard", "strip", "dim"]).select("block", "dim", "ids", "comps", "q_ids", "q_comps")
     part = tiles.mapInArrow(_tiles(k), "query_id bigint, vec_id bigint, score bigint, tile bigint")
     order = [F.col("score").desc(), F.col("vec_id")]
     near = Window.partitionBy("query_id", F.pmod(F.xxhash64("tile"), F.lit(FAN))).orderBy(*order)
@@ -144,16 +157,20 @@ def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP8_SQL = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+WITH u AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS d
   FROM embeddings
-  WHERE embedding IS NOT NULL
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), v AS (
+  SELECT vec_id, list_transform(d, lambda x: CAST(floor(1024 * x) AS BIGINT)) AS c FROM u
+), q AS (
+  SELECT vec_id, list_transform(min(d), lambda x: CAST(floor(1024 * x) AS BIGINT)) AS c FROM u WHERE vec_id % 100 = 0 GROUP BY vec_id
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-         CAST(list_sum(list_transform(list_zip(q.c, c.c), lambda p: p[1] * p[2])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id
-  WHERE q.vec_id % 100 = 0 AND len(q.c) = len(c.c)
+  SELECT q.vec_id AS query_id, v.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.c, v.c), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM q JOIN v ON q.vec_id <> v.vec_id
+  WHERE len(q.c) = len(v.c)
 ), r AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
 )

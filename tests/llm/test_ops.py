@@ -446,6 +446,39 @@ def test_top_k_against_brute_force(spark):
     assert topk.exact_top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_top_k_in_strips_with_repeats_and_clashing_columns(spark, monkeypatch):
+    monkeypatch.setattr(topk, "STRIP_BYTES", 256)  # several strips, and blocks, of a few queries each
+    r = np.random.default_rng(4)
+    rows = [(i, r.integers(-3, 4, 4).astype(float).tolist()) for i in range(120)]
+    rows += [(0, rows[0][1]), (7, rows[7][1]), (None, rows[1][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({c: F.lit(1) for c in ("v", "shard", "strip", "block", "rank", "score")})
+    got = collections.defaultdict(list)
+    for x in topk.exact_top_k(df, df.where("vec_id % 10 = 0"), 5).orderBy("query_id", "rank").collect():
+        got[x.query_id].append((x.rank, x.vec_id, x.score))
+    for q in range(0, 120, 10):
+        own = [1024 * np.array(v) for i, v in rows if i == q][0]
+        want = sorted((-int(own @ (1024 * np.array(v))), i) for i, v in rows if i not in (q, None))[:5]
+        assert got[q] == [(n + 1, i, -s) for n, (s, i) in enumerate(want)]
+
+
+def test_sql_of_this_subpackage_is_sql_and_agrees(spark):
+    import duckdb
+
+    from opspulse.llm import registry
+
+    sf = "/root/testdata/sf0.001"
+    for name, sql in registry.ORACLE_SQL.items():
+        assert isinstance(sql, str)
+        db = duckdb.connect()
+        for t in ("documents", "embeddings"):
+            db.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+        want = db.sql(sql).df()
+        got = registry.QUERIES[name](spark, sf).toPandas()
+        assert sorted(got.columns) == sorted(want.columns)
+        rows = lambda x: sorted(map(tuple, x[sorted(x.columns)].astype(object).to_numpy().tolist()), key=str)
+        assert rows(got) == rows(want), name
+
+
 # --- op9
 
 
