@@ -147,6 +147,11 @@ def read_tensors(stored: bytes) -> pa.RecordBatch:
     return next(iter(pa.ipc.open_stream(stored)))
 
 
+def patches(stored: bytes) -> np.ndarray:
+    """The stored tensors as an array (patches, PATCH, MELS)."""
+    return read_tensors(stored).column(0).to_numpy_ndarray()
+
+
 SCHEMA = (
     "n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, "
     "media_sha256 string, feature string, spans array<struct<start_s:double,end_s:double>>, media binary, tensors binary"
@@ -163,7 +168,8 @@ def _one(text: str | None, keep: bool) -> dict:
     runs = segments(energy)
     stored = tensors(mel)
     step = HOP * DOWN / (RATE * UP)
-    head = mel.mean(axis=0)[:: MELS // 4]
+    kept = patches(stored).reshape(-1, MELS)[: len(mel)]  # the features come from what is stored
+    head = kept.mean(axis=0)[:: MELS // 4]
     return {
         "n_bytes": len((text or "").encode()), "payload_bytes": len(back),
         "payload_sha256": hashlib.sha256(back).hexdigest(), "tail_crc32": zlib.crc32(back[-16:]),
@@ -171,12 +177,12 @@ def _one(text: str | None, keep: bool) -> dict:
         "feature": f"frames={len(mel)};segments={len(runs)};active={int((runs[:, 1] - runs[:, 0]).sum())};"
         f"energy={energy.mean():.2f};mel={','.join(f'{v:.2f}' for v in head)}",
         "spans": [{"start_s": a * step, "end_s": b * step} for a, b in runs.tolist()],
-        "media": media if keep else None, "tensors": stored if keep else None,
+        "media": media if keep else None, "tensors": stored,
     }
 
 
 def audio_features(docs: DataFrame, key: str = "doc_id", text_col: str = "text", keep_media: bool = True) -> DataFrame:
-    """key + SCHEMA for each row. keep_media=False leaves the stored bytes out of the result."""
+    """key + SCHEMA for each row. keep_media=False leaves the WAV out of the result, which 44 bytes and the text make again."""
     kind = docs.schema[key].dataType
 
     def work(batches):
@@ -185,7 +191,7 @@ def audio_features(docs: DataFrame, key: str = "doc_id", text_col: str = "text",
             done, rows, size = 0, [], 0
             for i, text in enumerate(texts):
                 rows.append(_one(text.as_py(), keep_media))
-                size += rows[-1]["payload_bytes"] * (8 if keep_media else 0) + 1000
+                size += len(rows[-1]["tensors"]) + rows[-1]["payload_bytes"] + 1000
                 if size > 4_000_000 or i == len(texts) - 1:
                     own = pa.Table.from_pylist(rows, schema).select(schema.names)
                     cols = [keys.slice(done, len(rows)), *(c.combine_chunks() for c in own.columns)]
@@ -206,5 +212,5 @@ def op10_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return audio_features(docs, keep_media=False).select(
         "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature",
-        F.size("spans").cast("bigint").alias("n_spans"),
+        F.size("spans").cast("bigint").alias("n_spans"), "spans", "tensors",
     )
