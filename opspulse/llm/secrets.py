@@ -168,10 +168,11 @@ def find_secrets(docs: DataFrame, text_col: str = "text", window: int = WINDOW)
         F.lit("entropy").alias("kind"),
         (x["start"] + x["hot"]["first"]).cast("bigint").alias("start"),
         (x["start"] + x["hot"]["last"] + window).cast("bigint").alias("end")))
-    out = docs.withColumn("base", ordered(base)).withColumn("_added", added)
-    fresh = F.filter(F.col("_added"), lambda a: ~F.exists(
-        F.col("base"), lambda b: (a["start"] < b["end"]) & (b["start"] < a["end"])))
-    return out.withColumn("spans", ordered(F.concat(F.col("base"), fresh))).drop("_added")
+    helper = "_" + max(docs.columns, key=len)  # a name that docs has not
+    out = docs.withColumn("base", ordered(base)).withColumn(helper, added)
+    fresh = F.filter(F.col(f"`{helper}`"), lambda a: ~F.exists(
+        F.col("base"), lambda b: (a["start"] >= b["start"]) & (a["end"] <= b["end"])))
+    return out.withColumn("spans", ordered(F.concat(F.col("base"), fresh))).drop(helper)
 
 
 def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:

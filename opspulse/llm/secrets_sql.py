@@ -42,7 +42,7 @@ ent AS (SELECT rid, run, s, most, o, sum(({entropy_terms()})[c + 1]) AS terms FR
 hot AS (SELECT rid, run, min(s + o) AS s, max(s + o) + {WINDOW} AS e FROM ent WHERE terms <= most GROUP BY 1, 2),
 added AS (
   SELECT rid, 'entropy' AS kind, 4 AS rank, s, e FROM hot h
-  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = h.rid AND h.s < b.e AND b.s < h.e)
+  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = h.rid AND h.s >= b.s AND h.e <= b.e)
 ),
 spans AS (SELECT * FROM base UNION ALL SELECT * FROM added),
 agg AS (
