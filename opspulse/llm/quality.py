@@ -6,10 +6,11 @@ model counts every document. A document's log weight is the sum over its n-grams
 log p_target - log p_raw, plus a correction for the bias of logs of small counts.
 
 Documents are then drawn without replacement in proportion to their weights: Gumbel noise
-from the hash of the key is added to the log weight and the k highest keys stay. k is the
-number of documents whose log weight reaches ``MARGIN``, so the size of the sample follows
-the corpus, and the noise decides only among documents near the margin. The k-th key is
-found by counting in narrowing bins, never by sorting all rows in one place.
+from the hash of the key is added to the log weight and the k highest keys stay. A caller may
+give k; as a filter, k is the number of documents whose log weight reaches ``MARGIN``, so the
+size of the sample follows the corpus. Weights of whole texts spread over hundreds, so there
+the noise decides among documents near the margin only. The k-th key is found by counting
+in narrowing bins, never by sorting all rows in one place.
 
 Defined results: null and empty texts have log weight 0; repeated rows share their fate
 (ties with the k-th key all stay); without good labels every weight is 0 and all rows stay;
@@ -140,9 +141,10 @@ def kth_largest(df: DataFrame, col: str, k: int, most: int = 20_000) -> float |
     return found.agg(F.min("x")).first()[0]
 
 
-def cut(scored: DataFrame, margin: float = MARGIN) -> float | None:
-    """The least sample_key of the k drawn, k = number of rows whose log weight reaches the margin."""
-    k = scored.where(F.col("log_weight") >= margin).count()
+def cut(scored: DataFrame, k: int | None = None, margin: float = MARGIN) -> float | None:
+    """The least sample_key of the k drawn; k is by default the number of rows whose log weight reaches the margin."""
+    if k is None:
+        k = scored.where(F.col("log_weight") >= margin).count()
     return kth_largest(scored, "sample_key", k)
 
 
@@ -151,11 +153,13 @@ def good_sample(labels: DataFrame, key: str = "doc_id") -> DataFrame:
     return written(fx.labelled_sample(good, key), "quality-sample")
 
 
-def resample(docs: DataFrame, labels: DataFrame, keep_text: bool, key: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The drawn rows of docs, with log_weight and sample_key; keep_text=False returns key and weights alone."""
+def resample(
+    docs: DataFrame, labels: DataFrame, keep_text: bool, key: str = "doc_id", text_col: str = "text", k: int | None = None
+) -> DataFrame:
+    """The k drawn rows of docs, with log_weight and sample_key; keep_text=False returns key and weights alone."""
     scored = weighted(docs, good_sample(labels, key), key, text_col)
     compact = written(scored if keep_text else scored.select(key, "log_weight", "sample_key"), "quality-scores")
-    least = cut(compact)
+    least = cut(compact, k)
     return compact if least is None else compact.where(F.col("sample_key") >= least)
 
 
