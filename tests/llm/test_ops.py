@@ -626,4 +626,4 @@ def test_empty_tables(spark, edge_docs, edge_labels):
     assert mixing.mixture(docs, labels).count() == 0
     assert repeats.repeated_spans(docs).count() == 0
     assert audio.audio_features(docs).count() == 0
-    assert toxicity.toxicity_scores(edge_docs, labels).where("score = 0 or score < 0.01").count() == 8
+    assert toxicity.toxicity_scores(edge_docs, labels).where("score = 0").count() == 8
