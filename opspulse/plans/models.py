@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,15 +76,22 @@ def score_by_weekday(spark, d):
     return out.select("metric", "weekday_name", "cutoffs", *r6("mse", "rmse"))
 
 
-@query(None)
+@query(f"WITH {_REG}, p AS (SELECT id, metric, cutoff, avg((y - yhat) ** 2) AS m, avg(abs(y - yhat) / greatest(abs(y), 2.220446049250313e-16)) AS a FROM bt GROUP BY 1, 2, 3) SELECT id, metric, dayname(cutoff) AS weekday_name, count(*) AS cutoffs, round(avg(m), 6) AS mse, round(avg(sqrt(m)), 6) AS rmse, round(avg(a) / 1e12, 3) AS mape FROM p GROUP BY 1, 2, 3", "hourly")
 def score_by_cutoff(spark, d):
-    return bt.score_by_cutoff(_backtest(spark, d), weekday=True)
+    out = bt.score_by_cutoff(_backtest(spark, d), weekday=True)
+    return out.select("id", "metric", "weekday_name", "cutoffs", *r6("mse", "rmse"), F.round(F.col("mape") / 1e12, 3).alias("mape"))
 
 
-@query(None)
+_WEEKLY = """, two AS (SELECT id, metric, 'daily' AS model, y, yhat FROM bt UNION ALL
+SELECT c.id, g.metric, 'weekly', g.value, (SELECT avg(p.value) FROM reg p WHERE p.id = g.id AND p.metric = g.metric AND p.ds <= cutoff AND hour(p.ds) = hour(g.ds) AND dayofweek(p.ds) = dayofweek(g.ds))
+  FROM cut c JOIN reg g ON c.id = g.id AND g.ds > cutoff AND g.ds <= cutoff + INTERVAL 24 HOUR),
+sc AS (SELECT id, metric, model, sqrt(avg((y - yhat) ** 2)) AS rmse FROM two GROUP BY 1, 2, 3)"""
+
+
+@query(f"WITH {_REG}{_WEEKLY} SELECT id, metric, arg_min(model, rmse) AS model, round(min(rmse), 6) AS rmse FROM sc GROUP BY 1, 2", "hourly")
 def compare_models(spark, d):
     x = regular(spark, d)
-    return bt.compare_models(x, bt.make_cutoffs(x, 240, 48, 24), {"daily": 24, "weekly": 168})[1]
+    return bt.compare_models(x, bt.make_cutoffs(x, 240, 48, 24), {"daily": 24, "weekly": 168})[1].select("id", "metric", "model", *r6("rmse"))
 
 
 @query(None)
@@ -151,13 +159,19 @@ def multiplicative_forecast(spark, d):
 
 @query(None)
 def oncall_what_if(spark, d):
+    """Four and eight hours on call against none."""
     past, future = _covariates(spark, d)
-    rows = an.scenarios(future, {"tbs_no_oncall": 0, "tbs_with_oncall": 8, "tbs_with_4h": 4})
-    out = None
-    for name in ("tbs_no_oncall", "tbs_with_oncall", "tbs_with_4h"):
-        own = fc.covariate_forecast(past, rows.where(F.col("scenario") == name), {name: ["oncall_busy"]}).withColumnRenamed("model", "scenario")
-        out = own if out is None else out.unionByName(own)
-    return an.what_if(out, "tbs_no_oncall", "tbs_with_oncall")
+    hours = {"tbs_no_oncall": 0, "tbs_with_oncall": 8, "tbs_with_4h": 4}
+    rows = an.scenarios(future, hours)
+    parts = [
+        fc.covariate_forecast(past, rows.where(F.col("scenario") == name), {name: ["oncall_busy"]}).withColumnRenamed("model", "scenario")
+        for name in hours
+    ]
+    out = functools.reduce(DataFrame.unionByName, parts)
+    return functools.reduce(
+        DataFrame.unionByName,
+        [an.what_if(out, "tbs_no_oncall", name).withColumn("against_none", F.lit(hours[name])).withColumnRenamed(name, "with_oncall") for name in ("tbs_with_oncall", "tbs_with_4h")],
+    )
 
 
 @query(None)
@@ -185,7 +199,7 @@ def holiday_sets(spark, d):
     return fc.holiday_sets(_daily_series(spark, d), both, sets, {"weekly": 3, "yearly": 10})
 
 
-@query(None)
+@query(f"WITH {_REG} SELECT id, metric, ds + INTERVAL 1 DAY AS ds, value AS predictions FROM (SELECT *, row_number() OVER (PARTITION BY id, metric ORDER BY ds DESC) AS k FROM reg) WHERE k <= 24", "hourly")
 def user_model(spark, d):
     def last_day(key, g):
         import pandas as pd
@@ -203,7 +217,11 @@ def _scratch(spark: SparkSession) -> str:
     """A new folder that all executors share where the session names one."""
     import uuid
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='opspulse-')}"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='opspulse-')}"
     return f"{base}/stream-{uuid.uuid4().hex}"
 
 
@@ -244,17 +262,43 @@ def stream_upsert(spark, d):
 def stream_alerts(spark, d):
     """Alerts on arrival: one batch of hourly rows against static ranges."""
     out = _scratch(spark)
-    si.long(spark, d).coalesce(1).write.parquet(f"{out}/rows")
+    si.long(spark, d).write.parquet(f"{out}/rows")
     rows = spark.readStream.schema("id string, ds timestamp_ntz, metric string, value double").parquet(f"{out}/rows")
     q = st.start_alerts(rows, _loose(spark, d), f"{out}/alerts", f"{out}/checkpoint")
     q.awaitTermination()
-    return spark.read.schema("id string, ds timestamp_ntz, metric string, value double, yhat_upper double").parquet(f"{out}/alerts/batch=0")
+    found = spark.read.schema("id string, ds timestamp_ntz, metric string, value double, yhat_upper double").parquet(f"{out}/alerts/batch=*")
+    return found
 
 
-@query(None)
+_BLOCKS = """WITH a AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 2 HOUR THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+b AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM a)
+SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 2 HOUR AS "end", count(*) AS n FROM b GROUP BY user_id, k"""
+
+
+@query(_BLOCKS)
 def stream_busy_blocks(spark, d):
+    """Sessions of activity; a last row without a user moves the watermark, so that open sessions are emitted too."""
     out = _scratch(spark)
-    q = st.busy_blocks_stream(_event_stream(spark, d)).writeStream.format("parquet").outputMode("append")
+    own = _event_stream(spark, d).select("user_id", "ts")
+    last = si.events(spark, d).agg((F.max("ts") + F.expr("interval 30 days")).alias("ts")).select(F.lit(None).cast(own.schema["user_id"].dataType).alias("user_id"), "ts")
+    last.write.parquet(f"{out}/last")
+    rows = own.unionByName(spark.readStream.schema(last.schema).parquet(f"{out}/last"))
+    q = st.busy_blocks_stream(rows).writeStream.format("parquet").outputMode("append")
     q = q.option("checkpointLocation", f"{out}/checkpoint").option("path", f"{out}/blocks").trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.schema("user_id long, start timestamp, end timestamp, n long").parquet(f"{out}/blocks")
+    found = spark.read.schema("user_id long, start timestamp, end timestamp, n long").parquet(f"{out}/blocks").where("user_id is not null")
+    return found.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "n")
+
+
+@query("SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS ds, count(*) AS n FROM events GROUP BY 1")
+def stream_inflow_daily(spark, d):
+    """Daily inflow by Structured Streaming, in append mode: each day is emitted once, when the watermark has passed it."""
+    out = _scratch(spark)
+    own = _event_stream(spark, d).select("ts")
+    last = si.events(spark, d).agg((F.max("ts") + F.expr("interval 30 days")).alias("ts"))
+    last.write.parquet(f"{out}/last")
+    rows = own.unionByName(spark.readStream.schema(last.schema).parquet(f"{out}/last"))
+    q = st.inflow_stream(rows, window="1 day").writeStream.format("parquet").outputMode("append")
+    q = q.option("checkpointLocation", f"{out}/checkpoint").option("path", f"{out}/days").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema("ds timestamp, n long").parquet(f"{out}/days").select(F.col("ds").cast("timestamp_ntz").alias("ds"), "n")
