@@ -27,14 +27,20 @@ def slot(ts: Column | str, season: str) -> Column:
     return F.weekday(ts) * 24 + F.hour(ts) if season == "hour_of_week" else F.weekday(ts)
 
 
-def seasonal_ranges(long: DataFrame, horizon: int = 48, keep: int | None = 336, z: float = Z95, season: str = "hour_of_week") -> DataFrame:
-    """(id, ds, metric, yhat, yhat_lower, yhat_upper): mean +/- z sd of the slot, over history and ``horizon`` hours more."""
+def seasonal_ranges(long: DataFrame, horizon: int = 48, keep: int | None = 336, z: float = Z95, season: str = "hour_of_week", at: DataFrame | None = None) -> DataFrame:
+    """(id, ds, metric, yhat, yhat_lower, yhat_upper): mean +/- z sd of the slot, over history and ``horizon`` hours more.
+
+    at: (id, ds), the only hours wanted; the axis is then not built.
+    """
     keys = ["id", "metric"]
     stats = long.withColumn("slot", slot("ds", season)).groupBy(*keys, "slot").agg(F.avg("value").alias("yhat"), F.stddev_samp("value").alias("sd"))
-    history = long.select("id", "ds").distinct()
-    ahead = history.unionByName(extend(history, horizon)) if horizon else history
-    if keep is not None:
-        ahead = last_n(ahead, keep, ["id"], "ds")
+    if at is not None:
+        ahead = at.select("id", "ds")
+    else:
+        history = long.select("id", "ds").distinct()
+        ahead = history.unionByName(extend(history, horizon)) if horizon else history
+        if keep is not None:
+            ahead = last_n(ahead, keep, ["id"], "ds")
     half = z * F.col("sd")
     rows = ahead.withColumn("slot", slot("ds", season)).join(stats, ["id", "slot"])
     return rows.select("id", "ds", "metric", "yhat", (F.col("yhat") - half).alias("yhat_lower"), (F.col("yhat") + half).alias("yhat_upper"))
@@ -121,6 +127,18 @@ def ar_forecast(long: DataFrame, lags: int = 48, steps: int = 24, quantiles: tup
     return ar_score(long, ar_fit(long, lags, steps, quantiles), lags)
 
 
+def chained_forecast(long: DataFrame, first: str, then: str, lags: int = 48, steps: int = 24) -> DataFrame:
+    """Two stages: ``first`` is forecast from its own lags, and its forecast is a future regressor of ``then``.
+
+    (id, ds, target_name, model, predictions, q20, q50, q80) of ``then``; long is hourly and regular.
+    """
+    own = long.where(F.col("metric") == first)
+    lead = own.select("id", "ds", F.col("value").alias("lead"))
+    past = long.where(F.col("metric") == then).join(lead, ["id", "ds"]).withColumnRenamed("metric", "target_name")
+    future = ar_forecast(own, lags, steps).select("id", "ds", F.col("predictions").alias("lead"))
+    return covariate_forecast(past, future, {"chained": ["lead"]})
+
+
 def _design(g: pd.DataFrame, covariates: list[str], value: str) -> np.ndarray:
     """Hour of day, weekday, the value a week before (its slot's mean where unknown), and the covariates."""
     ts = pd.to_datetime(g["ds"])
@@ -153,7 +171,9 @@ def covariate_forecast(
     history: DataFrame, future: DataFrame, variants: dict[str, list[str]], targets: list[str] | None = None,
     multiplicative: bool = False, clip: tuple[float, float] | None = None, future_fill: float | None = None,
 ) -> DataFrame:
-    """(id, ds, target_name, model, predictions, q20, q50, q80) for the future rows, all variants in one job.
+    """(id, ds, target_name, model, predictions, q20, q50, q80) for the future rows.
+
+    One series is one group, shuffled once; its task fits all variants.
 
     history: (id, ds, target_name, value, covariates...); future: (id, ds, covariates...), the same columns.
     A variant is a list of covariate columns (numbers or 0/1). future_fill replaces future covariates.
@@ -164,48 +184,56 @@ def covariate_forecast(
     if targets:
         past = past.where(F.col("target_name").isin(targets))
     ahead = future.select("id", "ds", *[(F.lit(future_fill) if future_fill is not None else F.col(c)).alias(c) for c in names])
-    series = past.select("id", "target_name").distinct()
+    known = history.where(F.col("target_name").isin(targets)) if targets else history
+    series = known.select("id", "target_name").distinct()
     rows = past.withColumn("future", F.lit(False)).unionByName(
         ahead.join(series, "id").withColumns({"value": F.lit(None).cast("double"), "future": F.lit(True)})
     )
-    models = F.explode(F.array(*map(F.lit, variants))).alias("model")
-    rows = rows.select("*", models)
 
     def fit(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        ds, out = _fit_and_score(g, variants[key[2]], multiplicative, clip)
-        return pd.concat([pd.DataFrame({"id": key[0], "ds": ds, "target_name": key[1], "model": key[2]}), out], axis=1)
+        parts = []
+        for model, cols in variants.items():
+            ds, out = _fit_and_score(g, cols, multiplicative, clip)
+            parts.append(out.assign(id=key[0], ds=ds, target_name=key[1], model=model))
+        return pd.concat(parts)
 
     kind = history.schema["id"].dataType.simpleString()
     schema = f"id {kind}, ds timestamp_ntz, target_name string, model string, predictions double, q20 double, q50 double, q80 double"
-    return rows.groupBy("id", "target_name", "model").applyInPandas(fit, schema)
+    return rows.groupBy("id", "target_name").applyInPandas(fit, schema)
 
 
 run_variants = covariate_forecast
 
 
 def ablation(rows: DataFrame, cutoffs: DataFrame, variants: dict[str, list[str]], steps: int = 24, history: int = 24 * 90) -> DataFrame:
-    """(id, metric, model, cutoff, ds, horizon, y, yhat): rolling-origin scores' input for each variant, in one grouped job.
+    """(id, metric, model, cutoff, ds, horizon, y, yhat): rolling-origin scores' input for each variant.
 
     rows: (id, ds, target_name, value, covariates...), with actual covariates; cutoffs: (id, cutoff). Each
-    cutoff reads the ``history`` hours before it, so a group is bounded.
+    cutoff reads the ``history`` hours before it, so a group is bounded; cutoffs meet rows by the days that
+    they read, so no pair of a row and a cutoff outside these is made. A group's task fits all variants.
     """
     names = sorted({c for cols in variants.values() for c in cols})
     hour = lambda n: F.make_dt_interval(hours=F.lit(n))
-    near = rows.select("id", "target_name", "ds", F.col("value").cast("double"), *names).join(cutoffs, "id")
-    near = near.where((F.col("ds") > F.col("cutoff") - hour(history)) & (F.col("ds") <= F.col("cutoff") + hour(steps)))
+    day = lambda c: F.unix_date(F.to_date(c))
+    days = F.sequence(day(F.col("cutoff") - hour(history)), day(F.col("cutoff") + hour(steps)))
+    spans = cutoffs.select("id", "cutoff", F.explode(days).alias("_day"))
+    near = rows.select("id", "target_name", "ds", F.col("value").cast("double"), *names, day(F.col("ds")).alias("_day")).join(spans, ["id", "_day"])
+    near = near.drop("_day").where((F.col("ds") > F.col("cutoff") - hour(history)) & (F.col("ds") <= F.col("cutoff") + hour(steps)))
     near = near.withColumns({"future": F.col("ds") > F.col("cutoff"), "y": F.col("value")})
-    near = near.withColumn("value", F.when(~F.col("future"), F.col("value"))).select("*", F.explode(F.array(*map(F.lit, variants))).alias("model"))
+    near = near.withColumn("value", F.when(~F.col("future"), F.col("value")))
 
     def fit(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        ds, out = _fit_and_score(g, variants[key[2]])
-        head = pd.DataFrame({"id": key[0], "metric": key[1], "model": key[2], "cutoff": key[3], "ds": ds})
-        head["horizon"] = ((head["ds"] - head["cutoff"]) / pd.Timedelta(hours=1)).astype("int32")
-        y = g.set_index("ds")["y"]
-        return head.assign(y=y.reindex(ds).to_numpy(), yhat=out["predictions"].to_numpy())
+        y, parts = g.set_index("ds")["y"], []
+        for model, cols in variants.items():
+            ds, out = _fit_and_score(g, cols)
+            head = pd.DataFrame({"id": key[0], "metric": key[1], "model": model, "cutoff": key[2], "ds": ds})
+            head["horizon"] = ((head["ds"] - head["cutoff"]) / pd.Timedelta(hours=1)).astype("int32")
+            parts.append(head.assign(y=y.reindex(ds).to_numpy(), yhat=out["predictions"].to_numpy()))
+        return pd.concat(parts)
 
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"id {kind}, metric string, model string, cutoff timestamp_ntz, ds timestamp_ntz, horizon int, y double, yhat double"
-    return near.groupBy("id", "target_name", "model", "cutoff").applyInPandas(fit, schema)
+    return near.groupBy("id", "target_name", "cutoff").applyInPandas(fit, schema)
 
 
 def oncall_need(history: DataFrame, future: DataFrame, covariates: list[str]) -> DataFrame:
@@ -273,13 +301,13 @@ def holiday_sets(series: DataFrame, holidays: DataFrame, sets: dict[str, list[st
     return grid_search(series, [base | {"holidays": cols} for cols in sets.values()], holidays)
 
 
-def forecast_with(long: DataFrame, fn: Callable[[tuple, pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """Any user model, one (id, metric) series a task: fn(key, frame sorted by ds) -> rows of schema."""
+def forecast_with(long: DataFrame, fn: Callable[[tuple, pd.DataFrame], pd.DataFrame], schema: str, history: int = HISTORY) -> DataFrame:
+    """Any user model, one (id, metric) series a task: fn(key, its newest ``history`` rows sorted by ds) -> rows of schema."""
 
     def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
         return fn(key, g.sort_values("ds"))
 
-    return long.groupBy("id", "metric").applyInPandas(run, schema)
+    return last_n(long, history, ["id", "metric"], "ds").groupBy("id", "metric").applyInPandas(run, schema)
 
 
 def holiday_days(spark, years: tuple[int, int]) -> DataFrame:

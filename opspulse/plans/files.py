@@ -111,9 +111,10 @@ def stream_report_files(spark, d):
     """New report files through the stream and the batch cleaning code."""
     path, out = _report_files(spark, d), _scratch(spark)
     stream = st.report_stream(spark, f"{path}/*", _TEXT)
-    q = st.start_ingest(stream, out, f"{out}/checkpoint", ["id", "ds"], _with_site)
+    q = st.start_ingest(stream, out, f"{out}/checkpoint", ["id", "ds"], _with_site, F.unix_date(F.to_date("ds")))
     q.awaitTermination()
-    return spark.read.parquet(f"{out}/v={q.lastProgress['batchId']}")
+    schema = spark.read.parquet(f"{out}/v={q.lastProgress['batchId']}").schema
+    return st.newest_version(spark, out, schema).drop("v", "part")
 
 
 @query("SELECT id, ds, metric, CASE WHEN metric = 'error' AND hour(ds) = 5 THEN value + 100 ELSE value END AS value FROM long", "long")
@@ -124,9 +125,9 @@ def stream_corrections(spark, d):
     stream = lambda: spark.readStream.schema(rows.schema).parquet(f"{out}/in/*")
     newest = lambda batch: batch.withColumn("_order", F.lit(1))
     rows.write.parquet(f"{out}/in/first")
-    st.start_ingest(stream(), out, f"{out}/checkpoint", ["id", "ds", "metric"], newest).awaitTermination()
+    day = F.unix_date(F.to_date("ds"))
+    st.start_ingest(stream(), out, f"{out}/checkpoint", ["id", "ds", "metric"], newest, day).awaitTermination()
     late = rows.where("metric = 'error' and hour(ds) = 5").withColumn("value", F.col("value") + 100)
     late.write.parquet(f"{out}/in/second")
-    q = st.start_ingest(stream(), out, f"{out}/checkpoint", ["id", "ds", "metric"], newest)
-    q.awaitTermination()
-    return spark.read.parquet(f"{out}/v={q.lastProgress['batchId']}")
+    st.start_ingest(stream(), out, f"{out}/checkpoint", ["id", "ds", "metric"], newest, day).awaitTermination()
+    return st.newest_version(spark, out, rows.schema).drop("v", "part")

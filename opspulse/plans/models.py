@@ -21,29 +21,32 @@ from .standins import NOW, TYPES
 
 
 def regular(spark: SparkSession, d: str) -> DataFrame:
-    """The error and view counts of each site on a full hourly axis."""
-    h = si.hourly(spark, d).select("id", "ds", "error", "view")
-    return to_long(ts.regularize(h, ["error", "view"]), ["error", "view"])
+    """The counts of each site on a full hourly axis."""
+    h = si.hourly(spark, d).select("id", "ds", *TYPES)
+    return to_long(ts.regularize(h, TYPES), TYPES)
 
 
-_REG = """fa AS (SELECT id, unnest(generate_series(min(ds), max(ds), INTERVAL 1 HOUR)) AS ds FROM hourly GROUP BY id),
-fj AS (SELECT a.id, a.ds, last_value(error IGNORE NULLS) OVER w AS error, last_value("view" IGNORE NULLS) OVER w AS "view" FROM fa a LEFT JOIN hourly h ON a.id = h.id AND a.ds = h.ds
+_FILLED = ", ".join(f"last_value({t} IGNORE NULLS) OVER w AS {t}" for t in TYPES)
+_LONG = " UNION ALL ".join(f"SELECT id, ds, '{t}' AS metric, CAST({t} AS DOUBLE) AS value FROM fj" for t in TYPES)
+_REG = f"""fa AS (SELECT id, unnest(generate_series(min(ds), max(ds), INTERVAL 1 HOUR)) AS ds FROM hourly GROUP BY id),
+fj AS (SELECT a.id, a.ds, {_FILLED} FROM fa a LEFT JOIN hourly h ON a.id = h.id AND a.ds = h.ds
   WINDOW w AS (PARTITION BY a.id ORDER BY a.ds ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-reg AS (SELECT id, ds, 'error' AS metric, CAST(error AS DOUBLE) AS value FROM fj UNION ALL SELECT id, ds, 'view', CAST("view" AS DOUBLE) FROM fj),
-cut AS (SELECT id, unnest(generate_series(b - INTERVAL 24 HOUR, a + INTERVAL 240 HOUR, INTERVAL '-48 hours')) AS cutoff FROM (SELECT id, min(ds) AS a, max(ds) AS b FROM fa GROUP BY id)),
+reg AS ({_LONG}),
+cut AS (SELECT id, unnest(generate_series(b - INTERVAL 24 HOUR, a + INTERVAL 240 HOUR, INTERVAL '-1 hours')) AS cutoff FROM (SELECT id, min(ds) AS a, max(ds) AS b FROM fa GROUP BY id)),
 bt AS (SELECT c.id, g.metric, cutoff, g.ds, CAST(date_diff('hour', cutoff, g.ds) AS INTEGER) AS horizon, g.value AS y,
   (SELECT avg(p.value) FROM reg p WHERE p.id = g.id AND p.metric = g.metric AND p.ds <= cutoff AND hour(p.ds) = hour(g.ds)) AS yhat
   FROM cut c JOIN reg g ON c.id = g.id AND g.ds > cutoff AND g.ds <= cutoff + INTERVAL 24 HOUR)"""
 
 
 def _backtest(spark, d):
+    """Each hour after ten days of history is a cutoff."""
     x = regular(spark, d)
-    return bt.backtest_seasonal(x, bt.make_cutoffs(x, 240, 48, 24))
+    return bt.backtest_seasonal(x, bt.make_cutoffs(x, 240, 1, 24))
 
 
 @query(f"WITH {_REG} SELECT id, cutoff FROM cut", "hourly")
 def make_cutoffs(spark, d):
-    return bt.make_cutoffs(regular(spark, d), 240, 48, 24)
+    return bt.make_cutoffs(regular(spark, d), 240, 1, 24)
 
 
 @query(f"WITH {_REG} SELECT id, metric, cutoff, ds, horizon, y, round(yhat, 6) AS yhat FROM bt", "hourly")
@@ -91,13 +94,13 @@ sc AS (SELECT id, metric, model, sqrt(avg((y - yhat) ** 2)) AS rmse FROM two GRO
 @query(f"WITH {_REG}{_WEEKLY} SELECT id, metric, arg_min(model, rmse) AS model, round(min(rmse), 6) AS rmse FROM sc GROUP BY 1, 2", "hourly")
 def compare_models(spark, d):
     x = regular(spark, d)
-    return bt.compare_models(x, bt.make_cutoffs(x, 240, 48, 24), {"daily": 24, "weekly": 168})[1].select("id", "metric", "model", *r6("rmse"))
+    return bt.compare_models(x, bt.make_cutoffs(x, 240, 1, 24), {"daily": 24, "weekly": 168})[1].select("id", "metric", "model", *r6("rmse"))
 
 
 @query(None)
 def trend_season_ranges(spark, d):
     days = fc.holiday_days(spark, (1994, 2003))
-    return fc.trend_season_ranges(si.daily(spark, d), holidays=days)
+    return fc.trend_season_ranges(si.daily(spark, d, F.col("o_orderpriority")), holidays=days)
 
 
 @query(None)
@@ -105,6 +108,11 @@ def ar_forecast(spark, d):
     return fc.ar_forecast(regular(spark, d))
 
 
+@query(None)
+def chained_forecast(spark, d):
+    return fc.chained_forecast(regular(spark, d), "error", "view")
+
+
 def _covariates(spark, d):
     """History before NOW and the 24 hours after, with holiday, staffing and weather columns."""
     from ..functions.calendar import add_holidays
@@ -116,7 +124,7 @@ def _covariates(spark, d):
     x = add_holidays(x, "ds", holidays(spark)).withColumn("holiday", (F.col("is_qc_holiday") == "yes").cast("double"))
     cols = ["staff", "temperature", "holiday", "oncall_busy"]
     hist = x.where(F.col("ds") <= si.now())
-    past = to_long(hist, ["error", "view"], ["id", "ds", *cols]).withColumnRenamed("metric", "target_name")
+    past = to_long(hist, TYPES, ["id", "ds", *cols]).withColumnRenamed("metric", "target_name")
     return past, fl.horizon(x, "ds", si.now(), 24).select("id", "ds", *cols)
 
 
@@ -131,9 +139,9 @@ def covariate_forecast(spark, d):
 
 @query(None)
 def ablation(spark, d):
-    """Scores of each covariate set over three cutoffs."""
+    """Scores of each covariate set over daily cutoffs."""
     past, _ = _covariates(spark, d)
-    cuts = bt.make_cutoffs(past.select("id", "ds"), 240, 24, 24).where(F.col("cutoff") > si.now() - F.expr("interval 4 days"))
+    cuts = bt.make_cutoffs(past.select("id", "ds"), 240, 24, 24)
     return bt.score(fc.ablation(past, cuts, VARIANTS), ["metric", "model"])
 
 
@@ -162,25 +170,27 @@ def oncall_what_if(spark, d):
     """Four and eight hours on call against none."""
     past, future = _covariates(spark, d)
     hours = {"tbs_no_oncall": 0, "tbs_with_oncall": 8, "tbs_with_4h": 4}
-    rows = an.scenarios(future, hours)
-    parts = [
-        fc.covariate_forecast(past, rows.where(F.col("scenario") == name), {name: ["oncall_busy"]}).withColumnRenamed("model", "scenario")
-        for name in hours
-    ]
-    out = functools.reduce(DataFrame.unionByName, parts)
+    rows = an.scenarios(future, hours).groupBy("id", "ds").pivot("scenario", list(hours)).agg(F.first("oncall_busy"))
+    past = past.withColumns({name: F.col("oncall_busy") for name in hours})
+    out = fc.run_variants(past, rows, {name: [name] for name in hours}).withColumnRenamed("model", "scenario")
     return functools.reduce(
         DataFrame.unionByName,
         [an.what_if(out, "tbs_no_oncall", name).withColumn("against_none", F.lit(hours[name])).withColumnRenamed(name, "with_oncall") for name in ("tbs_with_oncall", "tbs_with_4h")],
     )
 
 
-@query(None)
+_SWEEP = """j AS (SELECT y.id, x.metric AS regressor, y.value AS v, lag(y.value) OVER w AS v1, lag(x.value) OVER w AS x1
+  FROM long y JOIN long x ON y.id = x.id AND y.ds = x.ds WHERE y.metric = 'error' WINDOW w AS (PARTITION BY y.id, x.metric ORDER BY y.ds)),
+c AS (SELECT id, regressor, count(*) AS n, var_pop(v) AS var, corr(v, v1) AS a, corr(v, x1) AS b, corr(v1, x1) AS ab FROM j WHERE v1 IS NOT NULL GROUP BY 1, 2)"""
+
+
+@query(f"WITH {_SWEEP} SELECT id, regressor, n, round(sqrt(var * (1 - CASE WHEN 1 - ab * ab < 1e-9 THEN a * a ELSE (a * a + b * b - 2 * a * b * ab) / (1 - ab * ab) END)), 4) AS rmse FROM c", "long")
 def regressor_sweep(spark, d):
-    return fc.regressor_sweep(si.long(spark, d), "error", TYPES)
+    return fc.regressor_sweep(si.long(spark, d), "error", TYPES).withColumn("rmse", F.round("rmse", 4))
 
 
 def _daily_series(spark, d):
-    return si.daily(spark, d).select("id", F.col("date").cast("timestamp_ntz").alias("ds"), "value")
+    return si.daily(spark, d, F.col("o_orderpriority")).select("id", F.col("date").cast("timestamp_ntz").alias("ds"), "value")
 
 
 @query(None)
@@ -253,9 +263,9 @@ def stream_upsert(spark, d):
     def newest(batch):
         return batch.groupBy("user_id").agg(F.max("ts").alias("ds"), F.count("*").alias("events")).withColumn("_order", F.col("ds"))
 
-    q = st.start_ingest(rows, out, f"{out}/checkpoint", ["user_id"], newest)
+    q = st.start_ingest(rows, out, f"{out}/checkpoint", ["user_id"], newest, F.pmod(F.hash("user_id"), F.lit(16)))
     q.awaitTermination()
-    return spark.read.parquet(f"{out}/v={q.lastProgress['batchId']}")
+    return st.newest_version(spark, out, newest(rows).drop("_order").schema).drop("v", "part")
 
 
 @query(f"WITH {_STATUS}, {_LOOSE} SELECT id, ds, metric, value, round(yhat_upper, 1) AS yhat_upper FROM loose WHERE value > yhat_upper", "ranges")

@@ -616,30 +616,30 @@ _STATUS = "status AS (SELECT l.id, l.ds, l.metric, value, yhat, yhat_lower, yhat
 
 @query(f"WITH {_STATUS} SELECT id, ds, metric, value, round(yhat, 6) AS yhat, round(yhat_lower, 6) AS yhat_lower, round(yhat_upper, 6) AS yhat_upper, critical FROM status", "ranges")
 def kpi_status(spark, d):
-    return an.kpi_status(si.long(spark, d), si.ranges(spark, d)).select("id", "ds", "metric", "value", *r6("yhat", "yhat_lower", "yhat_upper"), "critical")
+    return an.kpi_status(si.long(spark, d), si.ranges(spark, d, newest=True)).select("id", "ds", "metric", "value", *r6("yhat", "yhat_lower", "yhat_upper"), "critical")
 
 
 _LOOSE = "loose AS (SELECT id, ds, metric, value, yhat / 4 AS yhat_upper FROM status)"
 
 
-def _loose(spark, d):
+def _loose(spark, d, newest=False):
     """Ranges with a low upper bound, so that alerts exist."""
-    return si.ranges(spark, d).withColumn("yhat_upper", F.col("yhat") / 4)
+    return si.ranges(spark, d, newest).withColumn("yhat_upper", F.col("yhat") / 4)
 
 
 @query(f"WITH {_STATUS}, {_LOOSE} SELECT id, ds, metric, value, round(yhat_upper, 1) AS yhat_upper FROM loose WHERE value > yhat_upper AND metric <> 'view'", "ranges")
 def latest_alerts(spark, d):
-    return an.latest_alerts(si.long(spark, d), _loose(spark, d), TYPES[:4])
+    return an.latest_alerts(si.long(spark, d), _loose(spark, d, True), TYPES[:4])
 
 
 @query(f"WITH {_STATUS}, {_LOOSE} SELECT id, metric, ds, CASE WHEN value > yhat_upper THEN '{{\"type\":\"AdaptiveCard\",\"body\":[{{\"type\":\"TextBlock\",\"text\":\"' || metric || ' is ' || CAST(value AS VARCHAR) || ', expected at most ' || CAST(round(yhat_upper, 1) AS VARCHAR) || '\"}}]}}' ELSE '{{}}' END AS payload FROM loose", "ranges")
 def alert_payload(spark, d):
-    return sk.alert_payload(an.kpi_status(si.long(spark, d), _loose(spark, d)))
+    return sk.alert_payload(an.kpi_status(si.long(spark, d), _loose(spark, d, True)))
 
 
 @query(f"WITH {_STATUS}, {_LOOSE} SELECT id, ds, string_agg(metric || '=' || CAST(value AS VARCHAR), ',' ORDER BY metric) AS facts FROM loose WHERE value > yhat_upper GROUP BY 1, 2", "ranges")
 def alert_facts(spark, d):
-    facts = sk.alert_facts(an.latest_alerts(si.long(spark, d), _loose(spark, d)))
+    facts = sk.alert_facts(an.latest_alerts(si.long(spark, d), _loose(spark, d, True)))
     return facts.select("id", "ds", F.array_join(F.transform("facts", lambda x: F.concat(x["name"], F.lit("="), x["value"])), ",").alias("facts"))
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import floor_hour
+from ..operators.filters import latest_ts
 from ..operators.forecast import seasonal_ranges
 from ..operators.reshape import to_long
 
@@ -38,8 +39,10 @@ def long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_long(hourly(spark, sf_dir), TYPES)
 
 
-def ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return seasonal_ranges(long(spark, sf_dir), horizon=24, keep=None, season="hour_of_day")
+def ranges(spark: SparkSession, sf_dir: str, newest: bool = False) -> DataFrame:
+    """Ranges of all hours, or of each site's newest hour alone."""
+    at = latest_ts(hourly(spark, sf_dir)).withColumnRenamed("max_ds", "ds") if newest else None
+    return seasonal_ranges(long(spark, sf_dir), horizon=24, keep=None, season="hour_of_day", at=at)
 
 
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,8 +66,9 @@ def shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orders(spark, sf_dir).groupBy(F.lit("all").alias("id"), F.to_date("o_orderdate").alias("date")).agg(F.count("*").alias("value"))
+def daily(spark: SparkSession, sf_dir: str, by: Column | None = None) -> DataFrame:
+    """Orders of each day, for each value of ``by`` or for all."""
+    return orders(spark, sf_dir).groupBy((F.lit("all") if by is None else by).alias("id"), F.to_date("o_orderdate").alias("date")).agg(F.count("*").alias("value"))
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,16 +32,16 @@ ALERT_METRICS = (
     "RAZ_TBS AMBVERTTBS QTrack_TBS RAZ_CONS_MORE2H RAZ_IMCONS_MORE4H RAZ_XRAY_MORE2H RAZ_CT_MORE2H1"
 ).split()
 
-# Shift codes by type.
+# The type of each shift code.
 SHIFT_TYPES = {
-    "flow": "W1 V1".split(),
-    "pod": "X1 X3 X5 Y1 Y3 Y5 D1 R1 A1 E1 R2 A2".split(),
-    "vertical": "X4 X2 Y4 Y2 P1 D2 G1 P2 E2 B1 B2".split(),
-    "oncall": "WOC1 WOC2 WOC3 OC1 OC2".split(),
-    "overlap": "W3 L2 L4 L1 W5 L6".split(),
-    "night": "Z1 Z2 N1 N2".split(),
-    "teaching": ["H1"],
-}
+    "W1": "flow", "X1": "pod", "X3": "pod", "X4": "vertical", "X2": "vertical", "WOC1": "oncall",
+    "WOC2": "oncall", "WOC3": "oncall", "X5": "pod", "W3": "overlap", "Y1": "pod", "Y3": "pod",
+    "Y4": "vertical", "Y2": "vertical", "Y5": "pod", "Z1": "night", "Z2": "night", "D1": "pod",
+    "R1": "pod", "P1": "vertical", "D2": "vertical", "OC1": "oncall", "OC2": "oncall", "V1": "flow",
+    "A1": "pod", "G1": "vertical", "E1": "pod", "R2": "pod", "A2": "pod", "P2": "vertical",
+    "E2": "vertical", "N1": "night", "N2": "night", "L2": "overlap", "L4": "overlap", "H1": "teaching",
+    "B1": "vertical", "L1": "overlap", "W5": "overlap", "L6": "overlap", "B2": "vertical",
+}
 
 REPORT_RAW = T.StructType([T.StructField(c, T.StringType()) for c in ["dateflg", "timeflg", *METRICS]])
 SHIFTS = T.StructType([
@@ -54,5 +54,4 @@ SHIFTS = T.StructType([
 
 def shift_types(spark: SparkSession) -> DataFrame:
     """(shift_short_name, shift_type): a dimension of 41 rows."""
-    rows = [(code, kind) for kind, codes in SHIFT_TYPES.items() for code in codes]
-    return spark.createDataFrame(rows, "shift_short_name string, shift_type string")
+    return spark.createDataFrame(list(SHIFT_TYPES.items()), "shift_short_name string, shift_type string")

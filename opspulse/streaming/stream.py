@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.cleaning import fill_down, hour_ending, to_int
 from ..operators.anomaly import latest_alerts
-from ..operators.upsert import dedupe, upsert
+from ..operators.upsert import dedupe, touched_partitions, upsert
 from ..schema import METRICS, REPORT_RAW
 
 
@@ -29,23 +29,41 @@ def clean_report(df: DataFrame, metrics: list[str] = METRICS, id: str = "site")
     return to_int(rows, metrics).select(F.lit(id).alias("id"), "ds", *metrics, F.col("line_no").alias("_order"))
 
 
-def versioned_upsert(path: str, keys: list[str], clean: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """foreachBatch writer: history of version n is written from that of the last lower version; a replay writes it again."""
+def newest_version(spark: SparkSession, path: str, schema: T.StructType, below: int | None = None) -> DataFrame:
+    """The table that versioned_upsert keeps: of each part, the rows of its highest version (below ``below``)."""
+    full = T.StructType([*[f for f in schema if f.name not in ("v", "part")], T.StructField("v", T.IntegerType()), T.StructField("part", T.IntegerType())])
+    rows = spark.read.schema(full).option("basePath", path).parquet(f"{path}/v=*")
+    if below is not None:
+        rows = rows.where(F.col("v") < below)
+    top = rows.groupBy("part").agg(F.max("v").alias("v"))  # reads no column of the files
+    return rows.join(top, ["v", "part"], "left_semi")
+
+
+def versioned_upsert(path: str, keys: list[str], clean: Callable[[DataFrame], DataFrame], part: Column | None = None) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer: version n holds the parts that batch n touches, made from these parts' last lower versions.
+
+    part: an int made of the keys, such as the day of ds; without it a version is the whole history. A replay
+    reads versions below n alone and writes version n again. newest_version reads the table; the
+    column names ``v`` and ``part`` are its own.
+    """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        new = clean(batch)
-        new = dedupe(new, keys, ["_order"]).drop("_order")
-        older = f"{path}/v={epoch - 1}"
-        hist = spark.read.schema(new.schema).parquet(older) if epoch else new.limit(0)
-        upsert(hist, new, keys).write.mode("overwrite").parquet(f"{path}/v={epoch}")
+        new = dedupe(clean(batch), keys, ["_order"]).drop("_order")
+        new = new.withColumn("part", F.coalesce(part, F.lit(-1)).cast("int") if part is not None else F.lit(0)).persist()
+        hist = new.limit(0)
+        if epoch:
+            hist = newest_version(batch.sparkSession, path, new.schema, epoch).drop("v")
+            hist = touched_partitions(hist, new, "part") if part is not None else hist
+        out = upsert(hist, new, keys).hint("rebalance", "part")
+        out.write.mode("overwrite").partitionBy("part").parquet(f"{path}/v={epoch}")
+        new.unpersist()
 
     return write
 
 
-def start_ingest(stream: DataFrame, path: str, checkpoint: str, keys: list[str] = ["id", "ds"], clean: Callable = clean_report) -> StreamingQuery:  # noqa: B006
+def start_ingest(stream: DataFrame, path: str, checkpoint: str, keys: list[str] = ["id", "ds"], clean: Callable = clean_report, part: Column | None = None) -> StreamingQuery:  # noqa: B006
     """Clean and upsert each batch; late or corrected hours replace old ones, with no bound on lateness."""
-    out = stream.writeStream.foreachBatch(versioned_upsert(path, keys, clean)).option("checkpointLocation", checkpoint)
+    out = stream.writeStream.foreachBatch(versioned_upsert(path, keys, clean, part)).option("checkpointLocation", checkpoint)
     return out.trigger(availableNow=True).start()
 
 
