@@ -73,5 +73,9 @@ def compare_models(long: DataFrame, cutoffs: DataFrame, seasons: dict[str, int],
         one = backtest_seasonal(long, cutoffs, steps, season).withColumn("model", F.lit(name))
         out = one if out is None else out.unionByName(one)
     scores = score(out, ["id", "metric", "model"])
-    best = scores.groupBy("id", "metric").agg(F.min_by("model", F.struct("rmse", "model")).alias("model"), F.min("rmse").alias("rmse"))
-    return scores, best
+    return scores, best_model(scores)
+
+
+def best_model(scores: DataFrame) -> DataFrame:
+    """(id, metric, model, rmse): the candidate of least rmse for each series, ties to the first name."""
+    return scores.groupBy("id", "metric").agg(F.min_by("model", F.struct("rmse", "model")).alias("model"), F.min("rmse").alias("rmse"))

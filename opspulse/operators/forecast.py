@@ -89,6 +89,17 @@ def trend_season_ranges(
     return rows.groupBy("id").applyInPandas(fit, f"id {kind}, date date, yhat double, yhat_lower double, yhat_upper double")
 
 
+def _ar_step(y: np.ndarray, lags: int, h: int) -> tuple[np.ndarray | None, np.ndarray | None]:
+    """Weights (intercept, oldest lag first) of the value h hours ahead, and the residuals; None if the series is too short."""
+    n = len(y) - lags - h + 1
+    if n < 2:
+        return None, None
+    x = np.column_stack([np.ones(n), np.lib.stride_tricks.sliding_window_view(y, lags)[:n]])
+    goal = y[lags + h - 1 : lags + h - 1 + n]
+    w = least_squares(x, goal)
+    return w, goal - x @ w
+
+
 def ar_fit(long: DataFrame, lags: int = 48, steps: int = 24, quantiles: tuple[float, ...] = (0.2, 0.5, 0.8)) -> DataFrame:
     """Coefficients (id, metric, step, intercept, coef oldest lag first, offsets: residual quantiles), one row a step."""
     rows = last_n(long.select("id", "metric", "ds", "value"), HISTORY, ["id", "metric"], "ds")
@@ -97,13 +108,9 @@ def ar_fit(long: DataFrame, lags: int = 48, steps: int = 24, quantiles: tuple[fl
         y = g.sort_values("ds")["value"].ffill().bfill().to_numpy(float)
         out = []
         for h in range(1, steps + 1):
-            n = len(y) - lags - h + 1
-            if n < 2:
-                continue
-            x = np.column_stack([np.ones(n), np.lib.stride_tricks.sliding_window_view(y, lags)[:n]])
-            goal = y[lags + h - 1 : lags + h - 1 + n]
-            w = least_squares(x, goal)
-            out.append((*key, h, w[0], w[1:].tolist(), np.quantile(goal - x @ w, quantiles).tolist()))
+            w, e = _ar_step(y, lags, h)
+            if w is not None:
+                out.append((*key, h, w[0], w[1:].tolist(), np.quantile(e, quantiles).tolist()))
         return pd.DataFrame(out, columns=["id", "metric", "step", "intercept", "coef", "offsets"])
 
     kind = long.schema["id"].dataType.simpleString()
@@ -205,6 +212,34 @@ def covariate_forecast(
 run_variants = covariate_forecast
 
 
+def _near(rows: DataFrame, cutoffs: DataFrame, steps: int, history: int) -> DataFrame:
+    """Each row once for each cutoff of its id that reads it: from ``history`` hours before to ``steps`` after."""
+    hour = lambda n: F.make_dt_interval(hours=F.lit(n))
+    day = lambda c: F.unix_date(F.to_date(c))
+    days = F.sequence(day(F.col("cutoff") - hour(history)), day(F.col("cutoff") + hour(steps)))
+    spans = cutoffs.select("id", "cutoff", F.explode(days).alias("_day"))
+    near = rows.withColumn("_day", day(F.col("ds"))).join(spans, ["id", "_day"]).drop("_day")
+    return near.where((F.col("ds") > F.col("cutoff") - hour(history)) & (F.col("ds") <= F.col("cutoff") + hour(steps)))
+
+
+def ar_backtest(long: DataFrame, cutoffs: DataFrame, lags: int = 48, steps: int = 24, history: int = 24 * 90) -> DataFrame:
+    """(id, metric, cutoff, ds, horizon, y, yhat) of the autoregression fitted before each cutoff; long is hourly and regular."""
+    rows = _near(long.select("id", "metric", "ds", F.col("value").cast("double")), cutoffs, steps, history)
+
+    def fit(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("ds")
+        before = g[g["ds"] <= key[2]]["value"].ffill().bfill().to_numpy(float)
+        after = g[g["ds"] > key[2]]
+        horizon = ((after["ds"] - key[2]) / pd.Timedelta(hours=1)).astype("int32").to_numpy()
+        step = {h: _ar_step(before, lags, h) for h in set(horizon)}
+        yhat = [w[0] + before[-lags:] @ w[1:] if w is not None else np.nan for w, _ in map(step.get, horizon)]
+        return pd.DataFrame({"id": key[0], "metric": key[1], "cutoff": key[2], "ds": after["ds"], "horizon": horizon, "y": after["value"], "yhat": np.asarray(yhat, float)})
+
+    kind = long.schema["id"].dataType.simpleString()
+    schema = f"id {kind}, metric string, cutoff timestamp_ntz, ds timestamp_ntz, horizon int, y double, yhat double"
+    return rows.groupBy("id", "metric", "cutoff").applyInPandas(fit, schema)
+
+
 def ablation(rows: DataFrame, cutoffs: DataFrame, variants: dict[str, list[str]], steps: int = 24, history: int = 24 * 90) -> DataFrame:
     """(id, metric, model, cutoff, ds, horizon, y, yhat): rolling-origin scores' input for each variant.
 
@@ -213,12 +248,7 @@ def ablation(rows: DataFrame, cutoffs: DataFrame, variants: dict[str, list[str]]
     they read, so no pair of a row and a cutoff outside these is made. A group's task fits all variants.
     """
     names = sorted({c for cols in variants.values() for c in cols})
-    hour = lambda n: F.make_dt_interval(hours=F.lit(n))
-    day = lambda c: F.unix_date(F.to_date(c))
-    days = F.sequence(day(F.col("cutoff") - hour(history)), day(F.col("cutoff") + hour(steps)))
-    spans = cutoffs.select("id", "cutoff", F.explode(days).alias("_day"))
-    near = rows.select("id", "target_name", "ds", F.col("value").cast("double"), *names, day(F.col("ds")).alias("_day")).join(spans, ["id", "_day"])
-    near = near.drop("_day").where((F.col("ds") > F.col("cutoff") - hour(history)) & (F.col("ds") <= F.col("cutoff") + hour(steps)))
+    near = _near(rows.select("id", "target_name", "ds", F.col("value").cast("double"), *names), cutoffs, steps, history)
     near = near.withColumns({"future": F.col("ds") > F.col("cutoff"), "y": F.col("value")})
     near = near.withColumn("value", F.when(~F.col("future"), F.col("value")))
 

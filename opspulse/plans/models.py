@@ -97,6 +97,19 @@ def compare_models(spark, d):
     return bt.compare_models(x, bt.make_cutoffs(x, 240, 1, 24), {"daily": 24, "weekly": 168})[1].select("id", "metric", "model", *r6("rmse"))
 
 
+@query(None)
+def compare_candidates(spark, d):
+    """Slot means, autoregression and regressions with and without covariates over the same cutoffs: the best for each series."""
+    past, _ = _covariates(spark, d)
+    x = past.select("id", F.col("target_name").alias("metric"), "ds", "value")
+    cuts = bt.make_cutoffs(x, 240, 48, 24)
+    cols = ["id", "metric", "model", "y", "yhat"]
+    parts = [fc.ablation(past, cuts, {"calendar": [], "covariates": VARIANTS["all"]}).select(cols)]
+    parts += [bt.backtest_seasonal(x, cuts, season=n).withColumn("model", F.lit(name)).select(cols) for name, n in (("daily", 24), ("weekly", 168))]
+    parts += [fc.ar_backtest(x, cuts).withColumn("model", F.lit("autoregression")).select(cols)]
+    return bt.best_model(bt.score(functools.reduce(DataFrame.unionByName, parts), ["id", "metric", "model"]))
+
+
 @query(None)
 def trend_season_ranges(spark, d):
     days = fc.holiday_days(spark, (1994, 2003))

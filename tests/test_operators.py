@@ -180,3 +180,47 @@ def test_ablation_is_the_forecast_at_each_cutoff(spark):
     for x in want:
         y, yhat, h = got[x.model, x.ds]
         assert yhat == pytest.approx(x.predictions) and at(300 + h) == x.ds and y == rows[300 + h][3]
+
+
+def _hours(n, value, metric="a", first=0):
+    return [("s", metric, at(h), float(value(h))) for h in range(first, first + n)]
+
+
+def test_ar_backtest_equals_the_forecast_from_the_history(spark):
+    df = spark.createDataFrame(_hours(400, lambda h: h % 24 + h % 7), "id string, metric string, ds timestamp_ntz, value double")
+    cuts = spark.createDataFrame([("s", at(350))], "id string, cutoff timestamp_ntz")
+    got = {x.ds: (x.horizon, x.y, round(x.yhat, 6)) for x in forecast.ar_backtest(df, cuts).collect()}
+    own = forecast.ar_forecast(df.where(F.col("ds") <= F.lit(at(350)))).collect()
+    true = {x.ds: x.value for x in df.collect()}
+    assert got == {x.ds: (x.step, true[x.ds], round(x.predictions, 6)) for x in own} and len(got) == 24
+
+
+def test_chained_forecast_uses_the_first_stage(spark):
+    rows = _hours(400, lambda h: h % 24) + _hours(400, lambda h: 3 * (h % 24) + 1, "b")
+    df = spark.createDataFrame(rows, "id string, metric string, ds timestamp_ntz, value double")
+    got = forecast.chained_forecast(df, "a", "b").collect()
+    assert len(got) == 24 and all(x.target_name == "b" and abs(x.predictions - (3 * x.ds.hour + 1)) < 0.1 for x in got)
+
+
+def test_ranges_at_given_hours_are_those_of_all_hours(spark):
+    df = spark.createDataFrame(_hours(200, lambda h: h % 24 + h % 5), "id string, metric string, ds timestamp_ntz, value double")
+    at_last = filters.latest_ts(df).withColumnRenamed("max_ds", "ds")
+    some = forecast.seasonal_ranges(df, at=at_last).collect()
+    assert some == [x for x in forecast.seasonal_ranges(df).collect() if x.ds == at(199)] and len(some) == 1
+
+
+def test_upsert_writes_only_touched_parts_and_replays(spark, tmp_path):
+    from opspulse.streaming import stream
+
+    path, kinds = f"file://{tmp_path}/t", "id string, ds timestamp_ntz, v1 int, _order int"
+    write = stream.versioned_upsert(path, ["id", "ds"], lambda b: b, F.unix_date(F.to_date("ds")))
+    write(spark.createDataFrame([("s", at(h), h, 0) for h in range(72)] + [("s", None, 7, 0)], kinds), 0)
+    late = spark.createDataFrame([("s", at(30), 99, 0), ("s", at(30), 100, 1), ("s", at(200), 5, 0)], kinds)
+    want = {at(h): h for h in range(72)} | {None: 7, at(30): 100, at(200): 5}
+    for _ in range(2):
+        write(late, 1)
+        rows = stream.newest_version(spark, path, late.drop("_order").schema)
+        assert {x.ds: x.v1 for x in rows.collect()} == want and rows.count() == len(want)
+    assert spark.read.parquet(f"{path}/v=1").select("part").distinct().count() == 2
+    write(late.limit(0), 2)
+    assert {x.ds: x.v1 for x in stream.newest_version(spark, path, late.drop("_order").schema).collect()} == want

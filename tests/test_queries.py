@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the given tables are not here")
 SOME = ["clean_report", "rollups", "kpi_status", "flag_anomalies", "regularize", "expand_shifts", "upsert", "backtest", "stream_upsert", "holiday_flags"]
 SOME += ["read_report_files", "read_csv_coerced", "read_many_files", "read_shift_json", "replace_partitions", "stream_report_files", "stream_corrections"]
-SOME += ["stream_busy_blocks", "stream_inflow_daily", "stream_alerts", "score_by_cutoff", "compare_models", "user_model"]
+SOME += ["stream_busy_blocks", "stream_inflow_daily", "stream_alerts", "score_by_cutoff", "compare_models", "user_model", "latest_alerts", "regressor_sweep"]
 
 
 @pytest.fixture(scope="module")
