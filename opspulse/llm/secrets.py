@@ -7,7 +7,7 @@ and the threshold. A window slides over the run, and the symbol counts and the
 sum of c*log2(c) are updated for the one symbol that enters and the one that
 leaves. That sum is kept in integers (scaled by 2^20), so it never drifts. The
 span runs from the first to the last window at or above the threshold. Runs on
-the allow-list, and runs that overlap a base span, add nothing.
+the allow-list, and spans that lie within a base span, add nothing.
 
 Defined results: null text counts as empty; repeated rows give repeated results;
 an empty table gives an empty result; only the named columns are read, and on
