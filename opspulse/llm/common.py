@@ -12,6 +12,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """The name, with as many leading underscores as keep it apart from those taken."""
+    known = {t.lower() for t in taken}
+    while name.lower() in known:
+        name = f"_{name}"
+    return name
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which the driver and every executor must reach.
 

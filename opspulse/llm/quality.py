@@ -14,8 +14,8 @@ in narrowing bins, never by sorting all rows in one place.
 
 Defined results: null and empty texts have log weight 0; repeated rows share their fate
 (ties with the k-th key all stay); without good labels every weight is 0 and all rows stay;
-an empty table gives an empty result; other columns pass through untouched, and columns
-called log_weight or sample_key are replaced.
+an empty table gives an empty result; other columns pass through untouched. Where docs has
+columns called log_weight or sample_key, they stay and the new ones get a leading underscore.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import features as fx
-from .common import table, written
+from .common import free_name, table, written
 
 BUCKETS = 1 << 15
 SMOOTHING = 1.0
@@ -96,8 +96,14 @@ def gumbel(key: str, seed: int) -> Column:
     return -F.log(-F.log((bits + 0.5) / float(1 << 53)))
 
 
+def weight_names(docs: DataFrame) -> tuple[str, str]:
+    """The names of the two weights beside docs' own columns."""
+    return free_name("log_weight", docs.columns), free_name("sample_key", docs.columns)
+
+
 def weighted(docs: DataFrame, good: DataFrame, key: str = "doc_id", text_col: str = "text", seed: int = 7) -> DataFrame:
     """docs + log_weight, sample_key. good: (key, cls) rows of the bounded sample; cls 1 is the target."""
+    weight, drawn = weight_names(docs)
     flagged = docs.select(key, text_col).join(F.broadcast(good.where("cls = 1")), key, "left")
     ratios = log_ratios(ngram_counts(flagged, text_col, F.coalesce(F.col("cls") == 1, F.lit(False))))
     shared = docs.sparkSession.sparkContext.broadcast(ratios.astype(np.float64))
@@ -109,9 +115,8 @@ def weighted(docs: DataFrame, good: DataFrame, key: str = "doc_id", text_col: st
         grams, ratio = Hasher(), shared.value
         return pd.Series([float(ratio[grams(t)].sum()) for t in texts], dtype="float64")
 
-    return docs.withColumn("log_weight", weigh(F.col(text_col).cast("string"))).withColumn(
-        "sample_key", F.col("log_weight") + gumbel(key, seed)
-    )
+    scored = docs.withColumn(weight, weigh(F.col(text_col).cast("string")))
+    return scored.withColumn(drawn, F.col(weight) + gumbel(key, seed))
 
 
 def kth_largest(df: DataFrame, col: str, k: int, most: int = 20_000) -> float | None:
@@ -141,11 +146,12 @@ def kth_largest(df: DataFrame, col: str, k: int, most: int = 20_000) -> float |
     return found.agg(F.min("x")).first()[0]
 
 
-def cut(scored: DataFrame, k: int | None = None, margin: float = MARGIN) -> float | None:
+def cut(scored: DataFrame, k: int | None = None, margin: float = MARGIN, names: tuple[str, str] = ("log_weight", "sample_key")) -> float | None:
     """The least sample_key of the k drawn; k is by default the number of rows whose log weight reaches the margin."""
+    weight, drawn = names
     if k is None:
-        k = scored.where(F.col("log_weight") >= margin).count()
-    return kth_largest(scored, "sample_key", k)
+        k = scored.where(F.col(weight) >= margin).count()
+    return kth_largest(scored, drawn, k)
 
 
 def good_sample(labels: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -157,10 +163,11 @@ def resample(
     docs: DataFrame, labels: DataFrame, keep_text: bool, key: str = "doc_id", text_col: str = "text", k: int | None = None
 ) -> DataFrame:
     """The k drawn rows of docs, with log_weight and sample_key; keep_text=False returns key and weights alone."""
+    names = weight_names(docs)
     scored = weighted(docs, good_sample(labels, key), key, text_col)
-    compact = written(scored if keep_text else scored.select(key, "log_weight", "sample_key"), "quality-scores")
-    least = cut(compact, k)
-    return compact if least is None else compact.where(F.col("sample_key") >= least)
+    compact = written(scored if keep_text else scored.select(key, *names), "quality-scores")
+    least = cut(compact, k, names=names)
+    return compact if least is None else compact.where(F.col(names[1]) >= least)
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -88,3 +88,39 @@ def test_run_is_the_stages_in_order(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir)
     assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     assert out.where(F.col("doc_id").isNotNull()).count() > 0
+
+
+CLASHING = ["_row", "_key", "_copy", "_copies", "_added", "cls", "class_id", "rate", "spans", "h", "t", "start", "length", "sequence_id"]
+
+
+def clashing(df):
+    """Names that the stages use themselves, as columns of the user."""
+    return df.withColumns({c: F.lit("clash") for c in CLASHING if c not in df.columns})
+
+
+def test_stages_on_edge_rows(spark, sf_dir, edge_docs):
+    """Nulls, empty and long texts, repeated rows, ties and clashing names, through every stage."""
+    docs = clashing(edge_docs)
+    counts = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = written(stage(spark, docs, sf_dir), "edge")
+        assert out.columns == docs.columns, name
+        assert out.schema.simpleString() == docs.schema.simpleString(), name
+        assert all(r[c] == "clash" for r in out.select(*CLASHING).collect() for c in CLASHING), name
+        counts.append(out.count())
+        given = {(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()}
+        assert {(r.doc_id, r.text) for r in out.select("doc_id", "text").collect()} <= given, name  # edge_docs have no secrets
+    assert counts[0] >= 1 and counts[2] == 8
+    near = {r.text for r in corpus_pipeline.STAGES[1][1](spark, docs, sf_dir).select("text").collect()}
+    texts = [r.text for r in docs.select("text").collect()]
+    assert near >= {t for t in texts if t and t.strip()}  # one document of each group stays
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    assert pieces.select("doc_id").distinct().count() == 7 and pieces.agg(F.max("length")).first()[0] <= 4096
+
+
+def test_stages_on_an_empty_table(spark, sf_dir, edge_docs):
+    docs = clashing(edge_docs).limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf_dir)
+        assert out.count() == 0, name
+        assert name == "packing" or out.columns == docs.columns, name
