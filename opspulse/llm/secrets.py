@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from .common import table
 
 WINDOW = 20
+BLOCK = 256  # matches or spans that are gone through one by one
 SCALE = 1 << 20
 
 # The base patterns of the contract, by kind.
@@ -61,6 +62,23 @@ def most_terms(window: int, least_bits: float) -> int:
     return math.floor(window * (math.log2(window) - least_bits) * SCALE)
 
 
+def _blocks(items: Column) -> Column:
+    """An array in slices of BLOCK items."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size(items) - 1, F.lit(0)), F.lit(BLOCK))
+    return F.transform(starts, lambda i: F.slice(items, i + 1, F.lit(BLOCK)))
+
+
+def _outside(added: Column, base: Column) -> Column:
+    """The spans of added that lie in no span of base (ordered by start); a block of base is entered only where it can hold the span."""
+    blocks = F.transform(_blocks(base), lambda b: F.struct(
+        b.alias("spans"), F.array_min(F.transform(b, lambda x: x["start"])).alias("start"),
+        F.array_max(F.transform(b, lambda x: x["end"])).alias("end")))
+    holds = lambda b, a: (a["start"] >= b["start"]) & (a["end"] <= b["end"])
+    inside = lambda bs, a: F.exists(bs, lambda b: F.coalesce(
+        holds(b, a) & F.exists(b["spans"], lambda x: holds(x, a)), F.lit(False)))
+    return F.transform(F.array(blocks), lambda bs: F.filter(added, lambda a: ~inside(bs, a)))[0]
+
+
 def _positions(text: Column, pattern: str) -> Column:
     """Array of (m, start, end): matches of the pattern with code point offsets."""
     lit = F.lit(pattern)
@@ -72,14 +90,27 @@ def _positions(text: Column, pattern: str) -> Column:
         F.slice(pieces, F.lit(1), F.size(matches)),
         lambda m, p: F.struct(m.alias("m"), F.length(p).cast("bigint").alias("gap")),
     )
+
     def step(acc, x):
         start = acc["at"] + x["gap"]
         end = start + F.length(x["m"])
         one = F.struct(x["m"].alias("m"), start.alias("start"), end.alias("end"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
-    found = F.aggregate(
-        zipped, F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("out")), step, lambda acc: acc["out"]
-    )
+
+    def by_block(all_matches):
+        """Offsets within blocks of matches, then blocks end to end: an array that grows one by one stays short."""
+        blocks = _blocks(all_matches)
+        zero = F.lit(0).cast("bigint")
+        lengths = F.transform(blocks, lambda b: F.aggregate(b, zero, lambda n, x: n + x["gap"] + F.length(x["m"])))
+        begins = F.aggregate(
+            lengths, F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("out")),
+            lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+            lambda acc: acc["out"],
+        )
+        return F.flatten(F.zip_with(blocks, begins, lambda b, at: F.aggregate(
+            b, F.struct(at.alias("at"), empty.alias("out")), step, lambda acc: acc["out"])))
+
+    found = F.transform(F.array(zipped), by_block)[0]  # an array of one names the matches, so they are found once
     return F.when(text.rlike(pattern), found).otherwise(empty)
 
 
@@ -170,8 +201,7 @@ def find_secrets(docs: DataFrame, text_col: str = "text", window: int = WINDOW)
         (x["start"] + x["hot"]["last"] + window).cast("bigint").alias("end")))
     helper = "_" + max(docs.columns, key=len)  # a name that docs has not
     out = docs.withColumn("base", ordered(base)).withColumn(helper, added)
-    fresh = F.filter(F.col(f"`{helper}`"), lambda a: ~F.exists(
-        F.col("base"), lambda b: (a["start"] >= b["start"]) & (a["end"] <= b["end"])))
+    fresh = _outside(F.col(f"`{helper}`"), F.col("base"))
     return out.withColumn("spans", ordered(F.concat(F.col("base"), fresh))).drop(helper)
 
 

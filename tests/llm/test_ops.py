@@ -68,6 +68,20 @@ def test_entropy_beyond_a_base_span_stays(spark):
     assert key not in secrets.redact_secrets(docs).first().text
 
 
+def test_thousands_of_secrets_in_one_text(spark):
+    """Offsets and the search for enclosing spans run over several blocks."""
+    r = random.Random(8)
+    part = lambda i: [f"{r.getrandbits(96):024x}", f"token=ñ{i}", f"token={r.getrandbits(128):x}", "x" * 20 + f"{i:04d}", "q7Zt0Wm3Kx9Lp2Vb8Rn5Yc1D"][i % 5]
+    text = " ".join(map(part, range(5 * secrets.BLOCK)))
+    x = secrets.find_secrets(docs_of(spark, [(1, text)])).first()
+    assign = [("assign", m.start(), m.end()) for m in re.finditer(r"token=([A-Za-z0-9+/_.=-]+)", text) if len(m[1]) >= 6]
+    hexes = [("hex", m.start(), m.end()) for m in re.finditer("[0-9a-f]{24,}", text)]
+    assert [tuple(s) for s in x.base] == sorted(assign + hexes, key=lambda s: (s[1], s[0]))
+    more = [tuple(s) for s in x.spans if s.kind == "entropy"]
+    keys = [("entropy", m.start(), m.end()) for m in re.finditer("q7Zt0Wm3Kx9Lp2Vb8Rn5Yc1D", text)]
+    assert set(keys) <= set(more) and not any(b[1] <= a[1] and a[2] <= b[2] for a in more for b in x.base)
+
+
 def test_redaction(spark, edge_docs):
     rows = [(1, 'a token = "0123456789abcdef01234567" b'), (2, None), (3, "clean")]
     got = {x.doc_id: x.text for x in secrets.redact_secrets(docs_of(spark, rows)).collect()}
