@@ -504,7 +504,7 @@ def test_sql_of_this_subpackage_is_sql_and_agrees(spark):
     for name, sql in registry.ORACLE_SQL.items():
         assert isinstance(sql, str)
         db = duckdb.connect()
-        for t in ("documents", "embeddings"):
+        for t in ("documents", "embeddings", "benchmark"):
             db.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
         want = db.sql(sql).df()
         got = registry.QUERIES[name](spark, sf).toPandas()
