@@ -53,12 +53,17 @@ class Scratch:
         self.spark, self.name = spark, name
         self.path, self.count = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
 
-    def write(self, df: DataFrame) -> DataFrame:
+    def write(self, df: DataFrame, name: str = "") -> DataFrame:
+        """df, written and read back; a table with a name of its own can be dropped early."""
         self.count += 1
-        path = f"{self.path}/{self.count}"
+        path = f"{self.path}/{name or self.count}"
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, name: str) -> None:
+        """Free the space of a named table that nothing reads any more."""
+        self.spark.range(0).write.mode("overwrite").parquet(f"{self.path}/{name}")
+
     def result(self, df: DataFrame) -> DataFrame:
         """df, written elsewhere; an empty table takes the place of the folder, which frees its space."""
         out = written(df, self.name)

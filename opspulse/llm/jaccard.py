@@ -48,42 +48,62 @@ HEAVY = 1 << 17
 CROWD = 16  # nodes of a shingle beyond which leaders are tried first
 TURNS = ((2, 0), (1, 1))  # leaders by hash, hubs by links
 TILE = 128
+PAIRS = 1 << 18  # of small tiles that are compared together
 CHUNK = 512
 MOST_CACHED = 400_000
 
 
 class ShingleSets:
-    """Text -> sorted 64-bit hashes of its distinct shingles."""
+    """A block of texts -> 64-bit hashes of their shingles, as arrays over the whole block."""
 
     def __init__(self):
         self.known: dict[bytes, int] = {}
 
-    def __call__(self, text: str | None) -> np.ndarray:
+    def raw(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All shingles in text order, and the number of each text's first one (and, last, of all)."""
         import xxhash
 
-        words = (text or "").encode().lower().split()  # of bytes: A-Z alone, and white space of ASCII alone
+        words = [(t or "").encode().lower().split() for t in texts]  # of bytes: A-Z alone, and white space of ASCII alone
         known = self.known
         if len(known) > MOST_CACHED:
             known.clear()
-        for w in set(words).difference(known):
+        flat = [w for own in words for w in own]
+        for w in set(flat).difference(known):
             known[w] = xxhash.xxh64_intdigest(w)
-        h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        if not len(h):
-            return h
-        size = min(WORDS, len(h))
-        out = np.full(len(h) - size + 1, size, np.uint64)
-        for i in range(size):
-            out = (out ^ h[i : i + len(out)]) * np.uint64(0x9E3779B97F4A7C15)
-            out ^= out >> np.uint64(29)
-        return np.unique(out)
-
-
-def bitmap(s: np.ndarray) -> np.ndarray:
-    """Parities of the hashes in a number of bits that follows the set's size, as 64-bit words."""
-    width = min(MOST_BITS, max(LEAST, 1 << (len(s) - 1).bit_length()))
-    at = ((s * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(40)) & np.uint64(width - 1)
-    odd = np.bincount(at.astype(np.int64), minlength=width) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+        h = np.fromiter(map(known.__getitem__, flat), np.uint64, len(flat))
+        n = np.fromiter(map(len, words), np.int64, len(words))
+        size = np.minimum(n, WORDS)
+        first = np.cumsum(n) - n
+        count = np.where(n > 0, n - size + 1, 0)
+        ends = np.concatenate([[0], np.cumsum(count)])
+        at = np.arange(ends[-1]) + np.repeat(first - ends[:-1], count)
+        size = np.repeat(size, count)
+        out = size.astype(np.uint64)
+        for i in range(WORDS):
+            more = slice(None) if i == 0 or (size > i).all() else size > i
+            mixed = (out[more] ^ h[at[more] + i]) * np.uint64(0x9E3779B97F4A7C15)
+            out[more] = mixed ^ (mixed >> np.uint64(29))
+        return out, ends
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted distinct shingles of each text, one after the other, and where each text's begin."""
+        out, ends = self.raw(texts)
+        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            out[a:b].sort()
+        fresh = np.ones(len(out), bool)
+        fresh[1:] = out[1:] != out[:-1]
+        fresh[ends[:-1][np.diff(ends) > 0]] = True
+        return out[fresh], np.concatenate([[0], np.cumsum(fresh)])[ends]
+
+
+def bitmaps(s: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parities of each set's hashes in a number of bits that follows its size, as 64-bit words, and where each begins."""
+    n = np.diff(ends)
+    width = np.where(n > 0, np.clip(1 << np.ceil(np.log2(np.maximum(n, 2) / 2)).astype(np.int64), LEAST, MOST_BITS), 0)
+    start = np.concatenate([[0], np.cumsum(width)])
+    at = ((s * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(40)).astype(np.int64) & np.repeat(width - 1, n)
+    odd = np.bincount(at + np.repeat(start[:-1], n), minlength=start[-1]) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64), start // 64
 
 
 def folded(b: np.ndarray, words: int) -> np.ndarray:
@@ -114,30 +134,28 @@ def may_link(n1, i1, b1, n2, i2, b2):
     return (shared >= need) & (5 * np.minimum(n1, n2) >= 4 * np.maximum(n1, n2))
 
 
-def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
-    ends = np.cumsum([0, *map(len, arrays)])
-    flat = np.concatenate([np.zeros(0, np.int64), *(a.view(np.int64) for a in arrays)])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-
-
 def _pieces(batches, rows: int):
     for batch in batches:
         for i in range(0, batch.num_rows, rows):
             yield batch.slice(i, rows)
 
 
-def _digest(s: np.ndarray) -> bytes:
-    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+def _list_column(flat: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat.view(np.int64)))
+
+
+def _digests(s: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    whole, at = s.tobytes(), (8 * ends).tolist()
+    return [hashlib.blake2b(whole[a:b], digest_size=16).digest() for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
 def heavy_shingles(texts: DataFrame, most: int = HEAVY) -> np.ndarray:
-    """The most repeated shingles, the most repeated last. Counts are of those that repeat within a chunk of different sets."""
+    """The most repeated shingles, the most repeated last. Counts are of those that repeat within a block of different texts."""
 
     def work(batches):
         sets = ShingleSets()
         for part in _pieces(batches, CHUNK):
-            own = {_digest(s): s for t in part.column(0) if len(s := sets(t.as_py()))}
-            s, n = np.unique(np.concatenate([*own.values(), np.zeros(0, np.uint64)]), return_counts=True)
+            s, n = np.unique(sets.raw(list(dict.fromkeys(part.column(0).to_pylist())))[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(s[n > 1].view(np.int64)), pa.array(n[n > 1])], ["s", "n"])
 
     counted = texts.mapInArrow(work, "s bigint, n bigint").groupBy("s").agg(F.sum("n").alias("n"))
@@ -145,29 +163,36 @@ def heavy_shingles(texts: DataFrame, most: int = HEAVY) -> np.ndarray:
     return np.array([r["s"] for r in reversed(top)], np.int64).view(np.uint64)
 
 
-def in_order(s: np.ndarray, heavy: np.ndarray, places: np.ndarray, by: np.ndarray) -> np.ndarray:
-    """The set in the common order: light shingles by hash, then heavy ones. heavy[places] is sorted: by."""
-    if not len(by):
-        return s
-    at = np.minimum(np.searchsorted(by, s), len(by) - 1)
-    rank = np.where(by[at] == s, places[at] + 1, 0)
-    return s[np.argsort(rank, kind="stable")]
+def prefixes(s: np.ndarray, ends: np.ndarray, heavy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles of each set in the common order: light ones by hash, then heavy ones as in ``heavy``."""
+    n = np.diff(ends)
+    count = np.where(n > 0, prefix_lengths(n)[0], 0)
+    start = np.concatenate([[0], np.cumsum(count)])
+    rank = np.zeros(len(s), np.int64)
+    if len(heavy):
+        places = np.argsort(heavy)
+        by = heavy[places]
+        at = np.minimum(np.searchsorted(by, s), len(by) - 1)
+        rank = np.where(by[at] == s, places[at] + 1, 0)
+    own = np.repeat(np.arange(len(n)), n)
+    order = np.arange(len(s))
+    for d in np.unique(own[rank > 0]).tolist():
+        a, b = ends[d], ends[d + 1]
+        order[a:b] = a + np.argsort(rank[a:b], kind="stable")
+    at = np.arange(start[-1]) + np.repeat(ends[:-1] - start[:-1], count)
+    return s[order[at]], start
 
 
 def signatures(docs: DataFrame, key: str, text_col: str, heavy: np.ndarray) -> DataFrame:
     """(k, h, n, bits, prefix) of each row with a key: digest, size, bitmap and first shingles of its set."""
     kind = docs.schema[key].dataType.simpleString()
-    places = np.argsort(heavy)
-    by = heavy[places]
 
     def work(batches):
         sets = ShingleSets()
         for part in _pieces(batches, CHUNK):
-            own = [sets(t.as_py()) for t in part.column(1)]
-            prefix = [in_order(s, heavy, places, by)[: prefix_lengths(len(s))[0]] if len(s) else s for s in own]
-            bits = [bitmap(s) if len(s) else s for s in own]
+            s, ends = sets(part.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(map(_digest, own), pa.binary()), pa.array(map(len, own), pa.int64()), _lists(bits), _lists(prefix)],
+                [part.column(0), pa.array(_digests(s, ends), pa.binary()), pa.array(np.diff(ends)), _list_column(*bitmaps(s, ends)), _list_column(*prefixes(s, ends, heavy))],
                 ["k", "h", "n", "bits", "prefix"],
             )
 
@@ -181,10 +206,9 @@ def _sets_of(docs: DataFrame, own: DataFrame, key: str, text_col: str, scratch:
     def work(batches):
         sets = ShingleSets()
         for part in _pieces(batches, CHUNK):
-            found = [sets(t.as_py()) for t in part.column(2)]
-            fits = np.array([_digest(s) == h.as_py() for s, h in zip(found, part.column(1), strict=True)], bool)  # a key may have other texts
-            keep = np.flatnonzero(fits)
-            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(keep)), _lists([found[i] for i in keep])], ["id", "s"])
+            s, ends = sets(part.column(2).to_pylist())
+            fits = np.array([d == h.as_py() for d, h in zip(_digests(s, ends), part.column(1), strict=True)], bool)  # a key may have other texts
+            yield pa.RecordBatch.from_arrays([part.column(0), _list_column(s, ends)], ["id", "s"]).filter(pa.array(fits))
 
     texts = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text_col}`").cast("string").alias("t"))
     rows = texts.join(own.hint("merge"), "k").select("id", "h", "t").mapInArrow(work, "id bigint, s array<bigint>")
@@ -271,74 +295,74 @@ def size_band(n: Column) -> Column:
 
 
 def tiles(rows: DataFrame, tile: int = TILE) -> DataFrame:
-    """rows (s, id, n, i, root, bits) -> the rows of each tile (s, band, p, q), with upper (of the next band) and block.
+    """rows (s, id, n, i, root) -> the rows of each tile (s, band, p, q), with upper (of the next band) and block.
 
     A row is in tiles of its own band and of the band below; blocks are dealt by hash and have about ``tile`` rows.
     """
     band = size_band(F.col("n"))
     both = F.explode(F.array(F.struct(band.alias("band"), F.lit(False).alias("upper")), F.struct((band - 1).alias("band"), F.lit(True).alias("upper")))).alias("e")
-    spread = rows.select("*", both).select("s", "id", "n", "i", "root", "bits", "e.band", "e.upper")
+    spread = rows.select("*", both).select("s", "id", "n", "i", "root", "e.band", "e.upper")
     sizes = spread.groupBy("s", "band").agg(F.count("*").alias("c"), F.count_if(~F.col("upper")).alias("own"), F.min("root").alias("a"), F.max("root").alias("z"))
     sizes = sizes.where("c > 1 and own > 0 and a <> z").select("s", "band", F.ceil(F.col("c") / tile).cast("int").alias("blocks"))
     placed = spread.join(sizes, ["s", "band"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")
-    placed = placed.select("*", other)
-    return placed.select("s", "band", F.least("block", "o").alias("p"), F.greatest("block", "o").alias("q"), "block", "upper", "id", "n", "i", "root", "bits")
+    placed = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
+    return placed.select("s", "band", F.least("block", "o").alias("p"), F.greatest("block", "o").alias("q"), "block", "upper", "id", "n", "i", "root")
 
 
-def _tile_pairs(t: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the pairs of one tile that may link."""
+def _open_pairs(t: pa.RecordBatch, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the pairs that may link, of all tiles of t at once; a tile is the rows from one of ``starts`` to the next."""
     col = lambda c: t.column(c).to_numpy(zero_copy_only=False)
     ids, n, i, root, upper, block = (col(c) for c in ("id", "n", "i", "root", "upper", "block"))
-    width = np.asarray(t.column("bits").value_lengths())
-    flat, ends = np.asarray(t.column("bits").flatten()), np.cumsum(width)
-    words = int(width.min())
-    bits = np.zeros((len(ids), words), np.int64)
-    for w in np.unique(width):
-        at = np.flatnonzero(width == w)
-        bits[at] = folded(flat[(ends[at] - w)[:, None] + np.arange(w)], words)
+    same = col("p") == col("q")
     short = prefix_lengths(n)[1]
-    a = np.flatnonzero(~upper)
-    same = int(t.column("p")[0].as_py()) == int(t.column("q")[0].as_py())
-    x, y = [], []
-    for lo in range(0, len(a), 64):
-        r = a[lo : lo + 64, None]
-        fits = (root[r] != root) & (same | (block[r] != block)) & (upper | (ids[r] < ids))
-        smaller = np.where(n[r] <= n, i[r] < short[r], True) & np.where(n <= n[r], i < short, True)
-        u, v = np.nonzero(fits & (smaller | (n[r] == n)))
-        u = a[lo + u]
-        ok = may_link(n[u], i[u], bits[u], n[v], i[v], bits[v])
-        x.append(ids[u[ok]])
-        y.append(ids[v[ok]])
-    return np.concatenate(x) if x else ids[:0], np.concatenate(y) if y else ids[:0]
+    width = np.asarray(t.column("bits").value_lengths())
+    flat = np.asarray(t.column("bits").flatten())
+    first = np.cumsum(width) - width
+    size = np.diff(starts)
+    base, each = np.repeat(starts[:-1], size), np.repeat(size, size)
+    each = np.where(upper, 0, each)  # rows of the own band are compared with all of the tile
+    u = np.repeat(np.arange(len(ids)), each)
+    v = np.arange(len(u)) + np.repeat(base - (np.cumsum(each) - each), each)
+    ok = (root[u] != root[v]) & (upper[v] | (ids[v] < ids[u])) & (same[u] | (block[u] != block[v]))
+    u, v = u[ok], v[ok]
+    ok = ((n[u] > n[v]) | (i[u] < short[u]) | (n[u] == n[v])) & ((n[v] > n[u]) | (i[v] < short[v]) | (n[u] == n[v]))
+    u, v = u[ok], v[ok]
+    keep = np.zeros(len(u), bool)
+    for a, b in {*zip(width[u].tolist(), width[v].tolist(), strict=True)}:
+        at = np.flatnonzero((width[u] == a) & (width[v] == b))
+        words = min(a, b)
+        one, two = (folded(flat[first[x[at]][:, None] + np.arange(w)], words) for x, w in ((u, a), (v, b)))
+        keep[at] = may_link(n[u[at]], i[u[at]], one, n[v[at]], i[v[at]], two)
+    return ids[u[keep]], ids[v[keep]]
 
 
 def tile_pairs(placed: DataFrame, parts: int) -> DataFrame:
-    """(a, b) of different classes that may link, from tiles. A tile is whole in a task and is read once it is complete."""
+    """(a, b) of different classes that may link. placed: rows of tiles with bits. A tile is whole in a task, and small ones are done together."""
     names = ["s", "band", "p", "q"]
 
-    def work(batches):
-        def pairs(rows: pa.RecordBatch):
-            keys = np.stack([rows.column(c).to_numpy() for c in names], axis=1)
-            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(keys)]
-            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                if hi - lo > 1:
-                    a, b = _tile_pairs(rows.slice(lo, hi - lo))
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+    def done(rows: pa.RecordBatch):
+        """Tiles in groups of at most about PAIRS pairs."""
+        keys = np.stack([rows.column(c).to_numpy() for c in names], axis=1)
+        starts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, [len(keys)]])
+        group = np.cumsum(np.diff(starts) ** 2) // PAIRS
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            own = starts[lo : hi + 1]
+            a, b = _open_pairs(rows.slice(own[0], own[-1] - own[0]), own - own[0])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
+    def work(batches):
         held: pa.RecordBatch | None = None
         for batch in batches:
             if held is not None:
                 batch = pa.concat_batches([held, batch])
-            keys = [batch.column(c) for c in names]
-            last = batch.num_rows - 1
-            while last > 0 and all(k[last - 1] == k[batch.num_rows - 1] for k in keys):
-                last -= 1
+            keys = np.stack([batch.column(c).to_numpy() for c in names], axis=1)
+            last = int(np.flatnonzero((keys == keys[-1]).all(axis=1))[0]) if len(keys) else 0
             held = batch.slice(last)
             if last:
-                yield from pairs(batch.slice(0, last))
+                yield from done(batch.slice(0, last))
         if held is not None and held.num_rows:
-            yield from pairs(held)
+            yield from done(held)
 
     dealt = placed.repartition(parts, *names).sortWithinPartitions(*names)
     return dealt.mapInArrow(work, "a bigint, b bigint")
@@ -365,10 +389,9 @@ def links(docs: DataFrame, nodes: DataFrame, key: str, text_col: str, scratch: S
     rows = found.classed(rows.drop("c"))
     apart = rows.groupBy("s").agg((F.min("root") != F.max("root")).alias("several")).where("several").select("s")
     rows = scratch.write(rows.select("s", "id", "n", "i", "root").join(scratch.write(apart).hint("merge"), "s"))
-    rows = rows.join(nodes.select("id", "bits").hint("merge"), "id")
+    placed = tiles(scratch.write(rows)).join(nodes.select("id", "bits").hint("merge"), "id")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = tile_pairs(tiles(scratch.write(rows)), parts)
-    found.test(pairs, bits=False)
+    found.test(tile_pairs(placed, parts), bits=False)
     return found
 
 
@@ -376,9 +399,11 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text_col: str = "te
     """(key, n_shingles, component_id, n_links) of each row of docs; component_id is the least key that links reach."""
     scratch = Scratch(docs.sparkSession, "jaccard")
     heavy = heavy_shingles(docs.select(F.col(f"`{text_col}`").cast("string")))
-    known = scratch.write(signatures(docs, key, text_col, heavy))
-    nodes = known.where("n > 0").groupBy("h").agg(F.min("k").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
+    whole = scratch.write(signatures(docs, key, text_col, heavy), "signatures")
+    nodes = whole.where("n > 0").groupBy("h").agg(F.min("k").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
     nodes = scratch.write(nodes.withColumn("id", F.monotonically_increasing_id()))
+    known = scratch.write(whole.select("k", "h", "n"))
+    scratch.drop("signatures")
     classed = scratch.write(links(docs, nodes, key, text_col, scratch).classed(nodes.select("id", "h", "rep")))
     least = classed.groupBy("root").agg(F.min("rep").alias("component_id"))
     of_set = scratch.write(classed.join(scratch.write(least), "root").select("h", "component_id", F.col("deg").alias("n_links")))
@@ -395,7 +420,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text_col: str = "te
 def _sizes(batches):
     sets = ShingleSets()
     for part in _pieces(batches, CHUNK):
-        yield pa.RecordBatch.from_arrays([pa.array([len(sets(t.as_py())) for t in part.column(1)], pa.int64())], ["n_shingles"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.diff(sets(part.column(1).to_pylist())[1]))], ["n_shingles"])
 
 
 def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -107,7 +107,8 @@ def test_bitmaps_bound_the_intersection(n):
     r = np.random.default_rng(n)
     a = np.unique(r.integers(0, 1 << 63, n).astype(np.uint64))
     b = np.unique(np.concatenate([a[: max(1, len(a) * 9 // 10)], r.integers(0, 1 << 63, n // 10).astype(np.uint64)]))
-    x, y = jaccard.bitmap(a)[None], jaccard.bitmap(b)[None]
+    flat, at = jaccard.bitmaps(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
+    x, y = flat[: at[1]][None], flat[at[1] :][None]
     words = min(x.shape[1], y.shape[1])
     apart = int(np.bitwise_count((jaccard.folded(x, words) ^ jaccard.folded(y, words)).view(np.uint64)).sum())
     assert apart <= len(np.setxor1d(a, b))
