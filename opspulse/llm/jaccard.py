@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, table
+from .common import Scratch, maybe_in, table
 from .components import components
 
 WORDS = 5
@@ -206,13 +206,13 @@ def _sets_of(docs: DataFrame, own: DataFrame, key: str, text_col: str, scratch:
     def work(batches):
         sets = ShingleSets()
         for part in _pieces(batches, CHUNK):
-            s, ends = sets(part.column(2).to_pylist())
-            fits = np.array([d == h.as_py() for d, h in zip(_digests(s, ends), part.column(1), strict=True)], bool)  # a key may have other texts
-            yield pa.RecordBatch.from_arrays([part.column(0), _list_column(s, ends)], ["id", "s"]).filter(pa.array(fits))
+            s, ends = sets(part.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_digests(s, ends), pa.binary()), _list_column(s, ends)], ["k", "h", "s"])
 
+    kind = docs.schema[key].dataType.simpleString()
     texts = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text_col}`").cast("string").alias("t"))
-    rows = texts.join(own.hint("merge"), "k").select("id", "h", "t").mapInArrow(work, "id bigint, s array<bigint>")
-    return scratch.write(rows.groupBy("id").agg(F.first("s").alias("s")))
+    rows = maybe_in(texts, F.col("k"), own.select("k")).mapInArrow(work, f"k {kind}, h binary, s array<bigint>")
+    return scratch.write(rows.join(own, ["k", "h"]).groupBy("id").agg(F.first("s").alias("s")))  # a key may have other texts, and copies
 
 
 class Links:
@@ -373,7 +373,8 @@ def links(docs: DataFrame, nodes: DataFrame, key: str, text_col: str, scratch: S
     found = Links(docs, nodes, key, text_col, scratch)
     rows = nodes.select("id", "n", F.posexplode("prefix").alias("i", "s")).select("s", "id", "n", F.col("i").cast("bigint").alias("i"))
     shared = rows.groupBy("s").agg(F.count("*").alias("c")).where("c > 1")
-    rows = scratch.write(rows.join(scratch.write(shared).hint("merge"), "s"))
+    shared = scratch.write(shared)
+    rows = scratch.write(maybe_in(rows, F.col("s"), shared.select("s")).join(shared.hint("merge"), "s"))
     crowd = found.classed(rows.where(F.col("c") > CROWD).drop("c"))
     for turn, (leaders, hubs) in enumerate(TURNS):
         one = F.struct("id", "n", "i", "root")
