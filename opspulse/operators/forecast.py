@@ -1,9 +1,8 @@
 """Expected ranges and forecasts, every series in parallel.
 
-Seasonal ranges are aggregates and joins alone. Regressions fit one series in a task:
-a series is (id, metric[, model]) with at most ``HISTORY`` of its newest rows, so a group
-is bounded whatever the number of sites. The fitted coefficients are a table, and scoring
-is a separate job.
+Seasonal ranges are aggregates and joins alone. Trend, holiday and covariate regressions are
+solved from sums that Spark adds up (``gram``); their coefficients are a table, and scoring is a
+join. The autoregression fits one series in a task, with at most ``HISTORY`` of its newest rows.
 """
 
 from collections.abc import Callable
@@ -13,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import gram as gm
 from .filters import last_n
 from .timeseries import extend
 
@@ -46,11 +46,6 @@ def seasonal_ranges(long: DataFrame, horizon: int = 48, keep: int | None = 336,
     return rows.select("id", "ds", "metric", "yhat", (F.col("yhat") - half).alias("yhat_lower"), (F.col("yhat") + half).alias("yhat_upper"))
 
 
-def fourier(t: np.ndarray, period: float, order: int) -> np.ndarray:
-    angle = 2 * np.pi * t[:, None] * np.arange(1, order + 1) / period
-    return np.concatenate([np.sin(angle), np.cos(angle)], axis=1)
-
-
 def least_squares(x: np.ndarray, y: np.ndarray, ridge: float = 1e-6) -> np.ndarray:
     """Minimum-norm least squares with a slight ridge on scaled columns."""
     scale = np.where(np.abs(x).max(axis=0, initial=0) > 0, np.abs(x).max(axis=0, initial=0), 1.0)
@@ -58,35 +53,40 @@ def least_squares(x: np.ndarray, y: np.ndarray, ridge: float = 1e-6) -> np.ndarr
     return np.linalg.lstsq(np.vstack([a, np.sqrt(ridge) * np.eye(a.shape[1])]), np.concatenate([y, np.zeros(a.shape[1])]), rcond=None)[0] / scale
 
 
+def _trend_columns(t: Column, start: Column, seasons: dict[str, tuple[float, int]]) -> dict[str, Column]:
+    """Intercept, trend since the series' start, and Fourier terms by name; t in days."""
+    out = {"one": F.lit(1.0), "trend": t - start}
+    for name, (period, order) in seasons.items():
+        out |= {f"{name}{i}": c for i, c in enumerate(gm.fourier(t, period, order))}
+    return out
+
+
 def trend_season_ranges(
-    daily: DataFrame, horizon: int = 30, history: int = 1095, keep: int | None = 44, z: float = Z95,
+    daily: DataFrame, horizon: int = 30, history: int | None = 1095, keep: int | None = 44, z: float = Z95,
     seasons: tuple[tuple[float, int], ...] = ((7.0, 3), (365.25, 10)), holidays: DataFrame | None = None,
 ) -> DataFrame:
-    """(id, date, yhat, yhat_lower, yhat_upper): linear trend, Fourier seasons and a holiday step on the last ``history`` days.
+    """(id, date, yhat, yhat_lower, yhat_upper): linear trend, Fourier seasons and a holiday step on the last ``history`` days (None: all).
 
-    daily: (id, date, value). holidays: a ``date`` column, a few rows a year.
+    daily: (id, date, value). holidays: a ``date`` column, a few rows a year. The fit is one aggregate of
+    products; bands come from the same sums, and scoring is a join.
     """
-    rows = last_n(daily.select("id", "date", F.col("value").cast("double")), history, ["id"], "date").withColumn("known", F.lit(True))
-    ahead = extend(daily.select("id", F.col("date").cast("timestamp_ntz").alias("ds")), horizon, unit="day")
-    rows = rows.unionByName(ahead.select("id", F.to_date("ds").alias("date"), F.lit(None).cast("double").alias("value"), F.lit(False).alias("known")))
-    if holidays is not None:
-        rows = rows.join(F.broadcast(holidays.select("date", F.lit(1.0).alias("hol")).distinct()), "date", "left").na.fill(0.0, ["hol"])
-    else:
-        rows = rows.withColumn("hol", F.lit(0.0))
+    rows = daily.select("id", "date", F.col("value").cast("double"))
+    rows = rows if history is None else last_n(rows, history, ["id"], "date")
+    columns = _trend_columns(F.unix_date("date").cast("double"), F.col("start"), {f"p{i}_": s for i, s in enumerate(seasons)}) | {"holiday": F.col("hol")}
+    start = rows.groupBy("id").agg(F.unix_date(F.min("date")).cast("double").alias("start"))
 
-    def fit(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("date")
-        t = (pd.to_datetime(g["date"]) - pd.Timestamp("1970-01-01")).dt.days.to_numpy(float)
-        x = np.column_stack([np.ones(len(t)), t - t.min(), g["hol"].to_numpy(), *[fourier(t, p, o) for p, o in seasons]])
-        ok = g["known"].to_numpy() & g["value"].notna().to_numpy()
-        w = least_squares(x[ok], g["value"].to_numpy()[ok])
-        sd = np.std(g["value"].to_numpy()[ok] - x[ok] @ w, ddof=1) if ok.sum() > 1 else np.nan
-        yhat = x @ w
-        out = pd.DataFrame({"id": key[0], "date": g["date"], "yhat": yhat, "yhat_lower": yhat - z * sd, "yhat_upper": yhat + z * sd})
-        return out if keep is None else out.tail(keep)
+    def with_columns(df: DataFrame) -> DataFrame:
+        days = None if holidays is None else holidays.select("date", F.lit(1.0).alias("hol")).distinct()
+        df = df.withColumn("hol", F.lit(0.0)) if days is None else df.join(days, "date", "left").na.fill(0.0, ["hol"])
+        return df.join(start, "id")
 
-    kind = daily.schema["id"].dataType.simpleString()
-    return rows.groupBy("id").applyInPandas(fit, f"id {kind}, date date, yhat double, yhat_lower double, yhat_upper double")
+    fit = gm.solve(gm.gram(with_columns(rows), ["id"], columns, F.col("value")), ["id"], list(columns), {"all": list(columns)})
+    ahead = extend(daily.select("id", F.col("date").cast("timestamp_ntz").alias("ds")), horizon, unit="day").select("id", F.to_date("ds").alias("date"))
+    axis = rows.select("id", "date").unionByName(ahead)
+    axis = axis if keep is None else last_n(axis, keep, ["id"], "date")
+    half = z * F.sqrt(F.greatest(F.col("sse") - F.col("n") * F.col("mean") * F.col("mean"), F.lit(0.0)) / (F.col("n") - 1))
+    scored = with_columns(axis).join(fit, "id").withColumn("yhat", gm.dot("coef", list(columns.values())))
+    return scored.select("id", "date", "yhat", (F.col("yhat") - half).alias("yhat_lower"), (F.col("yhat") + half).alias("yhat_upper"))
 
 
 def _ar_step(y: np.ndarray, lags: int, h: int) -> tuple[np.ndarray | None, np.ndarray | None]:
@@ -146,67 +146,69 @@ def chained_forecast(long: DataFrame, first: str, then: str, lags: int = 48, ste
     return covariate_forecast(past, future, {"chained": ["lead"]})
 
 
-def _design(g: pd.DataFrame, covariates: list[str], value: str) -> np.ndarray:
-    """Hour of day, weekday, the value a week before (its slot's mean where unknown), and the covariates."""
-    ts = pd.to_datetime(g["ds"])
-    hour, day = np.eye(24)[ts.dt.hour], np.eye(7)[ts.dt.weekday]
-    known = pd.Series(g[value].to_numpy(float), index=ts)
-    by_slot = known.groupby([known.index.weekday, known.index.hour]).transform("mean").fillna(known.mean())
-    week = known.reindex(ts - pd.Timedelta(days=7)).to_numpy()
-    week = np.where(np.isnan(week), by_slot.to_numpy(), week)
-    extra = [g[c].astype(float).fillna(0).to_numpy() for c in covariates]
-    return np.column_stack([np.ones(len(g)), hour[:, 1:], day[:, 1:], week, *extra])
-
-
-def _fit_and_score(g: pd.DataFrame, covariates: list[str], multiplicative: bool = False, clip=None) -> tuple[np.ndarray, pd.DataFrame]:
-    """Stamps of the future rows of one series, and predictions with residual quantiles."""
-    g = g.sort_values("ds").reset_index(drop=True)
-    if multiplicative:
-        g["value"] = np.log1p(g["value"].clip(lower=0))
-    x, fut = _design(g, covariates, "value"), g["future"].to_numpy()
-    ok = ~fut & g["value"].notna().to_numpy()
-    y = g["value"].to_numpy(float)
-    w = least_squares(x[ok], y[ok], 1e-3)
-    q = np.quantile(y[ok] - x[ok] @ w, (0.2, 0.5, 0.8)) if ok.any() else np.full(3, np.nan)
-    p = x[fut] @ w
-    out = pd.DataFrame({"predictions": p, "q20": p + q[0], "q50": p + q[1], "q80": p + q[2]})
-    out = np.expm1(out) if multiplicative else out
-    return g.loc[fut, "ds"].to_numpy(), out.clip(*clip) if clip else out
+def _weekly(rows: DataFrame, history: DataFrame, by: list[str]) -> DataFrame:
+    """rows + week: the value a week before, or the mean of the weekday's hour, or the mean; history has by, ds and y."""
+    earlier = history.select(*by, (F.col("ds") + F.expr("interval 7 days")).alias("ds"), F.col("y").alias("_week"))
+    slots = history.groupBy(*by, slot("ds", "hour_of_week").alias("_slot")).agg(F.avg("y").alias("_mean"))
+    whole = history.groupBy(*by).agg(F.avg("y").alias("_all"))
+    out = rows.join(earlier, [*by, "ds"], "left").withColumn("_slot", slot("ds", "hour_of_week"))
+    out = out.join(slots, [*by, "_slot"], "left").join(whole, by, "left")
+    return out.withColumn("week", F.coalesce("_week", "_mean", "_all")).drop("_week", "_slot", "_mean", "_all")
+
+
+def _numbers(names: list[str]) -> list[Column]:
+    return [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in names]
+
+
+class CovariateModel:
+    """Seasonal regressions on last week's value and covariates, for each series; fitted once, scored any number of times.
+
+    history: (id, target_name, ds, value, covariates...). coefficients: (id, target_name, model, n, hours,
+    days, coef, bands), a row for each series and variant. Both the fit and the scores are joins and sums.
+    """
+
+    BY = ["id", "target_name"]
+
+    def __init__(self, history: DataFrame, variants: dict[str, list[str]], multiplicative: bool = False, quantiles: tuple[float, ...] = (0.2, 0.5, 0.8)):
+        self.names = sorted({c for cols in variants.values() for c in cols})
+        self.x, self.multiplicative = ["week", *self.names], multiplicative
+        y = F.col("value").cast("double")
+        y = F.when(y.isNotNull(), F.log1p(F.greatest(y, F.lit(0.0)))) if multiplicative else y
+        self.history = history.select(*self.BY, "ds", y.alias("y"), *_numbers(self.names))
+        rows = _weekly(self.history, self.history, self.BY)
+        fit = gm.solve_cells(gm.cells(rows, self.BY, [*self.x, "y"]), self.BY, [*self.x, "y"], {m: ["week", *cols] for m, cols in variants.items()})
+        self.fitted = fit
+        rest = rows.where(F.col("y").isNotNull()).join(fit, self.BY).withColumn("rest", F.col("y") - gm.seasonal_score(self.x))
+        bands = rest.groupBy(*self.BY, "model").agg(F.percentile_approx("rest", list(quantiles), 10_000).alias("bands"))
+        self.coefficients = fit.join(bands, [*self.BY, "model"])
+
+    def score(self, future: DataFrame, keep: list[str] = [], clip: tuple[float, float] | None = None) -> DataFrame:  # noqa: B006
+        """(id, ds, target_name, model, keep..., predictions, q20, q50, q80) for the rows of future: (id, ds, keep..., covariates...)."""
+        rows = future.select("id", "ds", *keep, *_numbers(self.names)).join(self.history.select(*self.BY).distinct(), "id")
+        rows = _weekly(rows, self.history, self.BY).join(self.coefficients, self.BY).withColumn("p", gm.seasonal_score(self.x))
+
+        def shown(c: Column) -> Column:
+            c = F.expm1(c) if self.multiplicative else c
+            return F.least(F.greatest(c, F.lit(clip[0])), F.lit(clip[1])) if clip else c
+
+        bands = [shown(F.col("p") + F.get("bands", F.lit(i))).alias(n) for i, n in enumerate(("q20", "q50", "q80"))]
+        return rows.select("id", "ds", "target_name", "model", *keep, shown(F.col("p")).alias("predictions"), *bands)
 
 
 def covariate_forecast(
     history: DataFrame, future: DataFrame, variants: dict[str, list[str]], targets: list[str] | None = None,
     multiplicative: bool = False, clip: tuple[float, float] | None = None, future_fill: float | None = None,
 ) -> DataFrame:
-    """(id, ds, target_name, model, predictions, q20, q50, q80) for the future rows.
-
-    One series is one group, shuffled once; its task fits all variants.
+    """(id, ds, target_name, model, predictions, q20, q50, q80) for the future rows, of every variant.
 
     history: (id, ds, target_name, value, covariates...); future: (id, ds, covariates...), the same columns.
-    A variant is a list of covariate columns (numbers or 0/1). future_fill replaces future covariates.
-    multiplicative fits on log1p. Rows of history beyond the newest HISTORY of a series are not read.
+    A variant is a list of covariate columns (numbers or 0/1; null is 0). future_fill replaces future covariates.
+    multiplicative fits on log1p. Bands are residual quantiles by a sketch, within a ten-thousandth of the rank.
     """
-    names = sorted({c for cols in variants.values() for c in cols})
-    past = last_n(history.select("id", "target_name", "ds", F.col("value").cast("double"), *names), HISTORY, ["id", "target_name"], "ds")
-    if targets:
-        past = past.where(F.col("target_name").isin(targets))
-    ahead = future.select("id", "ds", *[(F.lit(future_fill) if future_fill is not None else F.col(c)).alias(c) for c in names])
-    known = history.where(F.col("target_name").isin(targets)) if targets else history
-    series = known.select("id", "target_name").distinct()
-    rows = past.withColumn("future", F.lit(False)).unionByName(
-        ahead.join(series, "id").withColumns({"value": F.lit(None).cast("double"), "future": F.lit(True)})
-    )
-
-    def fit(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        parts = []
-        for model, cols in variants.items():
-            ds, out = _fit_and_score(g, cols, multiplicative, clip)
-            parts.append(out.assign(id=key[0], ds=ds, target_name=key[1], model=model))
-        return pd.concat(parts)
-
-    kind = history.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, ds timestamp_ntz, target_name string, model string, predictions double, q20 double, q50 double, q80 double"
-    return rows.groupBy("id", "target_name").applyInPandas(fit, schema)
+    past = history.where(F.col("target_name").isin(targets)) if targets else history
+    model = CovariateModel(past, variants, multiplicative)
+    ahead = future if future_fill is None else future.withColumns({c: F.lit(future_fill) for c in model.names})
+    return model.score(ahead, clip=clip)
 
 
 run_variants = covariate_forecast
@@ -240,36 +242,47 @@ def ar_backtest(long: DataFrame, cutoffs: DataFrame, lags: int = 48, steps: int
     return rows.groupBy("id", "metric", "cutoff").applyInPandas(fit, schema)
 
 
-def ablation(rows: DataFrame, cutoffs: DataFrame, variants: dict[str, list[str]], steps: int = 24, history: int = 24 * 90) -> DataFrame:
+def ablation(rows: DataFrame, cutoffs: DataFrame, variants: dict[str, list[str]], steps: int = 24, history: int = 24 * 91) -> DataFrame:
     """(id, metric, model, cutoff, ds, horizon, y, yhat): rolling-origin scores' input for each variant.
 
-    rows: (id, ds, target_name, value, covariates...), with actual covariates; cutoffs: (id, cutoff). Each
-    cutoff reads the ``history`` hours before it, so a group is bounded; cutoffs meet rows by the days that
-    they read, so no pair of a row and a cutoff outside these is made. A group's task fits all variants.
+    rows: (id, ds, target_name, value, covariates...), hourly, with actual covariates; hours may be absent. cutoffs:
+    (id, cutoff); history in hours, whole weeks. The models are those of ``covariate_forecast`` fitted on the history up
+    to the cutoff, but that last week's values are also read from before the history. Their sums are
+    differences of running sums, so that any number of cutoffs reads a row once.
     """
-    names = sorted({c for cols in variants.values() for c in cols})
-    near = _near(rows.select("id", "target_name", "ds", F.col("value").cast("double"), *names), cutoffs, steps, history)
-    near = near.withColumns({"future": F.col("ds") > F.col("cutoff"), "y": F.col("value")})
-    near = near.withColumn("value", F.when(~F.col("future"), F.col("value")))
-
-    def fit(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        y, parts = g.set_index("ds")["y"], []
-        for model, cols in variants.items():
-            ds, out = _fit_and_score(g, cols)
-            head = pd.DataFrame({"id": key[0], "metric": key[1], "model": model, "cutoff": key[2], "ds": ds})
-            head["horizon"] = ((head["ds"] - head["cutoff"]) / pd.Timedelta(hours=1)).astype("int32")
-            parts.append(head.assign(y=y.reindex(ds).to_numpy(), yhat=out["predictions"].to_numpy()))
-        return pd.concat(parts)
-
-    kind = rows.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, metric string, model string, cutoff timestamp_ntz, ds timestamp_ntz, horizon int, y double, yhat double"
-    return near.groupBy("id", "target_name", "cutoff").applyInPandas(fit, schema)
-
-
-def oncall_need(history: DataFrame, future: DataFrame, covariates: list[str]) -> DataFrame:
-    """(id, ds, target_name, predicted_oncall_prob): the label itself forecast, within 0..1."""
-    out = covariate_forecast(history, future, {"need": covariates}, clip=(0.0, 1.0))
-    return out.select("id", "ds", "target_name", F.col("predictions").alias("predicted_oncall_prob"))
+    by, names = ["id", "target_name"], sorted({c for cols in variants.values() for c in cols})
+    own = rows.select(*by, "ds", F.col("value").cast("double").alias("y"), *_numbers(names))
+    ends = own.groupBy(*by).agg(F.min("ds").alias("a"), F.max("ds").alias("b"))
+    axis = ends.select(*by, F.explode(F.sequence("a", "b", F.expr("interval 1 hour"))).alias("ds"))
+    earlier = own.select(*by, (F.col("ds") + F.expr("interval 7 days")).alias("ds"), F.col("y").alias("week"))
+    own = axis.join(own, [*by, "ds"], "left").join(earlier, [*by, "ds"], "left")
+    own = own.withColumns({"blank": F.col("week").isNull().cast("double"), "past": F.coalesce("week", F.lit(0.0))})
+    x = ["week", *names]
+    running = gm.running_cells(own, by, ["blank", "past", *names, "y"])
+    asof = gm.cells_as_of(running, cutoffs, by, ["blank", "past", *names, "y"], history).where("s > 0")
+    asof = gm.filled(asof, [*by, "cutoff", "hour", "day"], "week", "past", "blank", [*x, "y"])
+    fit = gm.solve_cells(asof, [*by, "cutoff"], [*x, "y"], {m: ["week", *cols] for m, cols in variants.items()})
+    ahead = cutoffs.select("id", "cutoff", F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("horizon"))
+    ahead = ahead.withColumn("ds", F.col("cutoff") + F.make_dt_interval(hours=F.col("horizon")))
+    goal = ahead.join(own.where(F.col("y").isNotNull()), ["id", "ds"]).withColumns({"hour": F.hour("ds"), "day": F.weekday("ds")})
+    slots = asof.select(*by, "cutoff", "hour", "day", (F.col("s_y") / F.col("s")).alias("slot_mean"))
+    goal = goal.join(slots, [*by, "cutoff", "hour", "day"], "left").join(fit, [*by, "cutoff"])
+    goal = goal.withColumn("week", F.coalesce("week", "slot_mean", "mean"))
+    return goal.select("id", F.col("target_name").alias("metric"), "model", "cutoff", "ds", "horizon", "y", gm.seasonal_score(x).alias("yhat"))
+
+
+def oncall_need(history: DataFrame, future: DataFrame, covariates: list[str], keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(id, ds, target_name, predicted_oncall_prob): a logistic model of the label on daily and weekly terms and the covariates.
+
+    history: (id, ds, target_name, value 0 or 1, covariates...); keep writes a table of a row a series and reads it back.
+    """
+    by = ["id", "target_name"]
+    hours = F.timestamp_diff("HOUR", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ds")) / 24.0
+    terms = gm.fourier(hours, 1.0, 2) + gm.fourier(hours, 7.0, 1)
+    columns = {"one": F.lit(1.0)} | {f"t{i}": c for i, c in enumerate(terms)} | {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in covariates}
+    coef = gm.logistic(history, by, columns, F.col("value"), keep)
+    scored = future.join(coef, "id").withColumn("_z", gm.dot("coef", list(columns.values())))
+    return scored.select("id", "ds", "target_name", (1 / (1 + F.exp(-F.col("_z")))).alias("predicted_oncall_prob"))
 
 
 def in_sample(rows: DataFrame, by: list[str], features: Callable[[pd.DataFrame, tuple], np.ndarray]) -> DataFrame:
@@ -299,31 +312,47 @@ def regressor_sweep(long: DataFrame, target: str, candidates: list[str], lag: in
     )
 
 
+GRID = (("daily", 1.0), ("weekly", 7.0), ("yearly", 365.25))
+
+
+def grid_columns(grid: list[dict]) -> tuple[dict[str, Column], dict[str, list[str]], list[str]]:
+    """The columns that a grid needs (over ds, start and a 0/1 column a calendar), those of each entry by its JSON, and the calendars."""
+    import json
+
+    t = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ds")) / 86400.0
+    columns: dict[str, Column] = {"one": F.lit(1.0), "trend": t - F.col("start")}
+    for name, period in GRID:
+        most = max([0, *(p.get(name, 0) for p in grid)])
+        terms = gm.fourier(t, period, most)
+        columns |= {f"{name}_{f}{k + 1}": terms[j * most + k] for j, f in enumerate(("sin", "cos")) for k in range(most)}
+    calendars = sorted({c for p in grid for c in p.get("holidays", [])})
+    columns |= {f"holiday_{c}": F.col(f"`{c}`") for c in calendars}
+    models = {}
+    for p in grid:
+        own = ["one", "trend"] + [f"{n}_{f}{k}" for n, _ in GRID for f in ("sin", "cos") for k in range(1, p.get(n, 0) + 1)]
+        models[json.dumps(p, sort_keys=True)] = own + [f"holiday_{c}" for c in p.get("holidays", [])]
+    return columns, models, calendars
+
+
+def grid_rows(series: DataFrame, calendars: list[str], holidays: DataFrame | None = None) -> DataFrame:
+    """(id, ds, value, start, a 0/1 column for each calendar): what grid_columns reads."""
+    rows = series.select("id", "ds", F.col("value").cast("double"))
+    start = rows.groupBy("id").agg((F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.min("ds")) / 86400.0).alias("start"))
+    if holidays is not None and calendars:
+        days = holidays.groupBy(F.col("date").alias("_d")).pivot("calendar", calendars).agg(F.first(F.lit(1.0)))
+        rows = rows.join(days, F.to_date("ds") == F.col("_d"), "left").na.fill(0.0, calendars).drop("_d")
+    return rows.join(start, "id")
+
+
 def grid_search(series: DataFrame, grid: list[dict], holidays: DataFrame | None = None) -> DataFrame:
     """(id, params, n, rmse): in-sample error of trend + Fourier fits over a parameter grid.
 
-    series: (id, ds, value). A grid entry has daily, weekly, yearly (Fourier orders) and may have holidays (a calendar name).
-    holidays: (date, calendar), a few rows a year.
+    series: (id, ds, value). A grid entry has daily, weekly, yearly (Fourier orders) and may have holidays (calendar names).
+    holidays: (date, calendar). One aggregate over the rows serves all entries; each is solved from its part of the sums.
     """
-    import json
-
-    texts = [json.dumps(p, sort_keys=True) for p in grid]
-    rows = last_n(series.select("id", "ds", F.col("value").cast("double")), HISTORY, ["id"], "ds")
-    flags: list[str] = []
-    if holidays is not None:
-        flags = sorted({c for p in grid for c in p.get("holidays", [])})
-        days = holidays.groupBy(F.col("date").alias("_d")).pivot("calendar", flags or ["-"]).agg(F.first(F.lit(1.0)))
-        rows = rows.join(F.broadcast(days), F.to_date("ds") == F.col("_d"), "left").na.fill(0.0, flags).drop("_d")
-    rows = rows.select("*", F.explode(F.array(*map(F.lit, texts))).alias("params"))
-
-    def features(g: pd.DataFrame, key: tuple) -> np.ndarray:
-        p = json.loads(key[1])
-        t = (pd.to_datetime(g["ds"]) - pd.Timestamp("1970-01-01")) / pd.Timedelta(days=1)
-        t = t.to_numpy(float)
-        parts = [fourier(t, d, p.get(n, 0)) for n, d in (("daily", 1.0), ("weekly", 7.0), ("yearly", 365.25)) if p.get(n)]
-        return np.column_stack([np.ones(len(t)), t - t.min(), *parts, *[g[c] for c in p.get("holidays", [])]])
-
-    return in_sample(rows, ["id", "params"], features)
+    columns, models, calendars = grid_columns(grid)
+    sums = gm.gram(grid_rows(series, calendars, holidays), ["id"], columns, F.col("value"))
+    return gm.solve(sums, ["id"], list(columns), models).select("id", F.col("model").alias("params"), "n", F.sqrt(F.col("sse") / F.col("n")).alias("rmse"))
 
 
 def holiday_sets(series: DataFrame, holidays: DataFrame, sets: dict[str, list[str]], base: dict) -> DataFrame:

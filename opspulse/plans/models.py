@@ -12,6 +12,7 @@ from ..operators import anomaly as an
 from ..operators import backtest as bt
 from ..operators import filters as fl
 from ..operators import forecast as fc
+from ..operators import gram as gm
 from ..operators import timeseries as ts
 from ..operators.reshape import to_long
 from ..streaming import stream as st
@@ -158,6 +159,64 @@ def ablation(spark, d):
     return bt.score(fc.ablation(past, cuts, VARIANTS), ["metric", "model"])
 
 
+_DAYS = "(date_part('epoch', CAST(date AS TIMESTAMP)) / 86400)"
+_TREND = {"one": "1", "trend": f"({_DAYS} - start)", "sin": f"sin(2 * pi() * {_DAYS} / 7)", "cos": f"cos(2 * pi() * {_DAYS} / 7)"}
+_TREND_SUMS = ", ".join(f"round(sum({x} * {y}), 4) AS {a}_{b}" for i, (a, x) in enumerate(_TREND.items()) for b, y in [*list(_TREND.items())[i:], ("value", "value")])
+
+
+@query(f"WITH s AS (SELECT id, date, value, min({_DAYS}) OVER (PARTITION BY id) AS start FROM (SELECT o_orderpriority AS id, CAST(o_orderdate AS DATE) AS date, count(*) AS value FROM orders GROUP BY 1, 2)) SELECT id, count(*) AS n, {_TREND_SUMS} FROM s GROUP BY id")
+def trend_gram(spark, d):
+    """The sums from which a trend with a weekly wave is solved, for each series."""
+    rows = si.daily(spark, d, F.col("o_orderpriority")).withColumn("t", F.unix_date("date").cast("double"))
+    rows = rows.join(rows.groupBy("id").agg(F.min("t").alias("start")), "id")
+    wave = gm.fourier(F.col("t"), 7.0, 1)
+    columns = {"one": F.lit(1.0), "trend": F.col("t") - F.col("start"), "sin": wave[0], "cos": wave[1]}
+    out, names, at = gm.gram(rows, ["id"], columns, F.col("value")), list(columns), 0
+    shown = []
+    for i, a in enumerate(names):
+        for b in names[i:]:
+            shown.append(F.round(F.get("g", F.lit(at)), 4).alias(f"{a}_{b}"))
+            at += 1
+        shown.append(F.round(F.get("b", F.lit(i)), 4).alias(f"{a}_value"))
+    return out.select("id", "n", *shown)
+
+
+_CELL = ["s", "s_past", "s_y", "s_past_past", "s_past_y", "s_y_y"]
+_CELL_SQL = "count(*) AS s, sum(past) AS s_past, sum(y) AS s_y, sum(past * past) AS s_past_past, sum(past * y) AS s_past_y, sum(y * y) AS s_y_y"
+_WEEKS = """wk AS (SELECT g.id, g.metric, g.ds, g.value AS y, p.value AS past FROM reg g JOIN reg p ON p.id = g.id AND p.metric = g.metric AND p.ds = g.ds - INTERVAL 7 DAY),
+few AS (SELECT id, unnest(generate_series(b - INTERVAL 24 HOUR, a + INTERVAL 480 HOUR, INTERVAL '-7 hours')) AS cutoff FROM (SELECT id, min(ds) AS a, max(ds) AS b FROM fa GROUP BY id))"""
+
+
+def _with_past(spark, d):
+    x = regular(spark, d).withColumnRenamed("value", "y")
+    earlier = x.select("id", "metric", (F.col("ds") + F.expr("interval 7 days")).alias("ds"), F.col("y").alias("past"))
+    return x, x.join(earlier, ["id", "metric", "ds"], "left")
+
+
+@query(f"WITH {_REG}, {_WEEKS} SELECT id, metric, hour(ds) AS hour, CAST(isodow(ds) - 1 AS INTEGER) AS day, {_CELL_SQL} FROM wk GROUP BY ALL", "hourly")
+def season_cells(spark, d):
+    """Products of last week's value and this one's for each weekday's hour: the state of a seasonal regression."""
+    out = gm.cells(_with_past(spark, d)[1], ["id", "metric"], ["past", "y"])
+    return out.select("id", "metric", "hour", "day", F.col("s").cast("long").alias("s"), *_CELL[1:])
+
+
+@query(f"WITH {_REG}, {_WEEKS} SELECT w.id, metric, cutoff, {_CELL_SQL} FROM few c JOIN wk w ON w.id = c.id AND w.ds <= cutoff AND w.ds > cutoff - INTERVAL 336 HOUR GROUP BY ALL", "hourly")
+def cells_as_of(spark, d):
+    """The state of the two weeks before each cutoff, as the difference of two running sums."""
+    x, both = _with_past(spark, d)
+    running = gm.running_cells(both, ["id", "metric"], ["past", "y"])
+    out = gm.cells_as_of(running, bt.make_cutoffs(x, 480, 7, 24), ["id", "metric"], ["past", "y"], 336)
+    return out.groupBy("id", "metric", "cutoff").agg(F.sum("s").cast("long").alias("s"), *[F.sum(c).alias(c) for c in _CELL[1:]])
+
+
+@query(None)
+def ablation_hourly(spark, d):
+    """Scores of each covariate set over a cutoff every hour, at most the last 720 of each site."""
+    past, _ = _covariates(spark, d)
+    cuts = fl.last_n(bt.make_cutoffs(past.select("id", "ds"), 240, 1, 24), 720, ["id"], "cutoff")
+    return bt.score(fc.ablation(past, cuts, VARIANTS), ["metric", "model", "horizon"])
+
+
 @query(None)
 def forecast_effects(spark, d):
     past, future = _covariates(spark, d)
@@ -169,7 +228,15 @@ def forecast_effects(spark, d):
 def forecast_need(spark, d):
     past, future = _covariates(spark, d)
     need = past.where("target_name = 'error'").select("id", "ds", F.lit("oncall_busy").alias("target_name"), F.col("oncall_busy").alias("value"), "staff", "temperature")
-    return fc.oncall_need(need, future, ["staff", "temperature"])
+    step = iter(range(1000))
+    out = _scratch(spark)
+
+    def keep(df):
+        path = f"{out}/{next(step)}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    return fc.oncall_need(need, future, ["staff", "temperature"], keep)
 
 
 @query(None)
@@ -180,12 +247,10 @@ def multiplicative_forecast(spark, d):
 
 @query(None)
 def oncall_what_if(spark, d):
-    """Four and eight hours on call against none."""
+    """Four and eight hours on call against none: one fitted model, scenarios are rows that it scores."""
     past, future = _covariates(spark, d)
     hours = {"tbs_no_oncall": 0, "tbs_with_oncall": 8, "tbs_with_4h": 4}
-    rows = an.scenarios(future, hours).groupBy("id", "ds").pivot("scenario", list(hours)).agg(F.first("oncall_busy"))
-    past = past.withColumns({name: F.col("oncall_busy") for name in hours})
-    out = fc.run_variants(past, rows, {name: [name] for name in hours}).withColumnRenamed("model", "scenario")
+    out = fc.CovariateModel(past, {"oncall": ["oncall_busy"]}).score(an.scenarios(future, hours), keep=["scenario"])
     return functools.reduce(
         DataFrame.unionByName,
         [an.what_if(out, "tbs_no_oncall", name).withColumn("against_none", F.lit(hours[name])).withColumnRenamed(name, "with_oncall") for name in ("tbs_with_oncall", "tbs_with_4h")],
@@ -293,6 +358,25 @@ def stream_alerts(spark, d):
     return found
 
 
+_CHANGES = """h AS (SELECT l.id, l.ds, l.metric, l.value, yhat_upper, coalesce(l.value > yhat_upper, false) AS hot FROM long l LEFT JOIN loose_ranges r ON l.id = r.id AND l.ds = r.ds AND l.metric = r.metric),
+c AS (SELECT *, lag(hot, 1, false) OVER (PARTITION BY id, metric ORDER BY ds) AS was FROM h)
+SELECT id, metric, ds, CASE WHEN hot THEN 'opened' ELSE 'closed' END AS change, value FROM c WHERE hot <> was"""
+
+
+@query("WITH loose_ranges AS (SELECT id, ds, metric, yhat + 0.5 * sd AS yhat_upper FROM (SELECT ax.id, ax.ds, metric, yhat, sd FROM ax JOIN stats ON ax.id = stats.id AND hour(ax.ds) = slot)), " + _CHANGES, "long", "ranges")
+def stream_alert_changes(spark, d):
+    """Alerts opened and closed, once each, with state by site and metric."""
+    out = _scratch(spark)
+    si.long(spark, d).write.parquet(f"{out}/rows")
+    limits = si.ranges(spark, d).select("id", "ds", "metric", (F.col("yhat") + 0.5 * (F.col("yhat_upper") - F.col("yhat")) / 1.959964).alias("yhat_upper"))
+    limits.write.parquet(f"{out}/ranges")
+    rows = spark.readStream.schema("id string, ds timestamp_ntz, metric string, value double").parquet(f"{out}/rows")
+    changes = st.alert_changes(rows, spark.read.parquet(f"{out}/ranges"))
+    q = changes.writeStream.format("parquet").outputMode("append").option("path", f"{out}/changes").option("checkpointLocation", f"{out}/checkpoint")
+    q.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(changes.schema).parquet(f"{out}/changes")
+
+
 _BLOCKS = """WITH a AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 2 HOUR THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 b AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM a)
 SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 2 HOUR AS "end", count(*) AS n FROM b GROUP BY user_id, k"""

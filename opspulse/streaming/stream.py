@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,6 +84,35 @@ def start_alerts(stream: DataFrame, ranges: DataFrame, sink: str, checkpoint: st
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def alert_changes(stream: DataFrame, ranges: DataFrame) -> DataFrame:
+    """(id, metric, ds, change, value): alerts as they open and close, from long rows (id, ds, metric, value).
+
+    Each site and metric has its own state: the newest hour seen and whether an alert is open. Hours are taken in order;
+    an hour that is not newer than the newest seen is late and changes nothing, so a stale hour raises no alert, and an
+    alert that stays open is not raised again. An hour without a range is not above it. ranges: (id, ds, metric, yhat_upper).
+    """
+    rows = stream.join(ranges.select("id", "ds", "metric", "yhat_upper"), ["id", "ds", "metric"], "left")
+
+    def change(key: tuple, parts, state):
+        g = pd.concat(list(parts)).drop_duplicates("ds", keep="last").sort_values("ds")
+        newest, on = state.get if state.exists else (None, False)
+        if newest is not None:
+            g = g[g["ds"] > newest]
+        if len(g):
+            hot = (g["value"] > g["yhat_upper"]).to_numpy()
+            was = [on, *hot[:-1]]
+            state.update((g["ds"].iloc[-1].to_pydatetime(), bool(hot[-1])))
+            g = g.assign(id=key[0], metric=key[1], change=["opened" if h else "closed" for h in hot])
+            g = g[hot != was]
+        else:
+            g = g.assign(change="")
+        yield g[["id", "metric", "ds", "change", "value"]]
+
+    kind = stream.schema["id"].dataType.simpleString()
+    out = f"id {kind}, metric string, ds timestamp_ntz, change string, value double"
+    return rows.groupBy("id", "metric").applyInPandasWithState(change, out, "newest timestamp_ntz, on boolean", "append", "NoTimeout")
+
+
 def busy_blocks_stream(activity: DataFrame, gap: str = "2 hours", lateness: str = "1 hour", ts: str = "ts") -> DataFrame:
     """(user_id, start, end, n): sessions of activity."""
     timed = activity.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
