@@ -123,6 +123,10 @@ class Lines(HTMLParser):
             self.tags = 0
         self.parts, self.unlinked = [], 0
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """Sections that HTML does not know, as word processors write them, are comments up to the next >."""
+        return super().parse_marked_section(i, report) if self.rawdata.startswith("<![CDATA[", i) else self.parse_bogus_comment(i, report)
+
     def _pop(self) -> None:
         tag, skip, region, mark = self.stack.pop()
         self.skipped -= skip

@@ -162,12 +162,15 @@ def good_sample(labels: DataFrame, key: str = "doc_id") -> DataFrame:
 def resample(
     docs: DataFrame, labels: DataFrame, keep_text: bool, key: str = "doc_id", text_col: str = "text", k: int | None = None
 ) -> DataFrame:
-    """The k drawn rows of docs, with log_weight and sample_key; keep_text=False returns key and weights alone."""
+    """The k drawn rows of docs, with log_weight and sample_key; keep_text=False returns key and weights alone.
+
+    Where k is 0, or no weight reaches the margin, no row is drawn.
+    """
     names = weight_names(docs)
     scored = weighted(docs, good_sample(labels, key), key, text_col)
     compact = written(scored if keep_text else scored.select(key, *names), "quality-scores")
     least = cut(compact, k, names=names)
-    return compact if least is None else compact.where(F.col(names[1]) >= least)
+    return compact.where(F.lit(False) if least is None else F.col(names[1]) >= least)
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
