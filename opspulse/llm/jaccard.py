@@ -45,7 +45,7 @@ from .components import components
 WORDS = 5
 LEAST, MOST_BITS = 64, 2048
 HEAVY = 1 << 17
-CROWD = 16  # nodes of a shingle beyond which leaders are tried first
+CROWD = 3  # nodes of a shingle beyond which leaders are tried first
 TURNS = ((2, 0), (1, 1))  # leaders by hash, hubs by links
 TILE = 128
 PAIRS = 1 << 18  # of small tiles that are compared together
@@ -200,7 +200,7 @@ def signatures(docs: DataFrame, key: str, text_col: str, heavy: np.ndarray) -> D
     return picked.mapInArrow(work, f"k {kind}, h binary, n bigint, bits array<bigint>, prefix array<bigint>")
 
 
-def _sets_of(docs: DataFrame, own: DataFrame, key: str, text_col: str, scratch: Scratch) -> DataFrame:
+def _sets_of(docs: DataFrame, own: DataFrame, key: str, text_col: str, scratch: Scratch, name: str) -> DataFrame:
     """Written (id, s): whole sorted sets. own: (id, k, h), k the key of a row that has the set."""
 
     def work(batches):
@@ -212,7 +212,7 @@ def _sets_of(docs: DataFrame, own: DataFrame, key: str, text_col: str, scratch:
     kind = docs.schema[key].dataType.simpleString()
     texts = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text_col}`").cast("string").alias("t"))
     rows = maybe_in(texts, F.col("k"), own.select("k")).mapInArrow(work, f"k {kind}, h binary, s array<bigint>")
-    return scratch.write(rows.join(own, ["k", "h"]).groupBy("id").agg(F.first("s").alias("s")))  # a key may have other texts, and copies
+    return scratch.write(rows.join(own, ["k", "h"]).groupBy("id").agg(F.first("s").alias("s")), name)  # a key may have other texts, and copies
 
 
 class Links:
@@ -220,8 +220,8 @@ class Links:
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, key: str, text_col: str, scratch: Scratch):
         self.docs, self.nodes, self.key, self.text_col, self.scratch = docs, nodes, key, text_col, scratch
-        self.tried: DataFrame | None = None
-        self.known: DataFrame | None = None
+        self.turn, self.tried = 0, None
+        self.known = None
 
     def test(self, pairs: DataFrame, bits: bool = True) -> None:
         """pairs: (a, b) node ids, in any order; bits: whether the bitmaps are still to be compared."""
@@ -232,8 +232,10 @@ class Links:
             own = _refuted(own, self.nodes)
         own = self.scratch.write(own)
         ids = own.select(F.col("x").alias("id")).union(own.select(F.col("y").alias("id"))).distinct()
-        sets = _sets_of(self.docs, self.scratch.write(self.nodes.select("id", F.col("rep").alias("k"), "h").join(ids, "id")), self.key, self.text_col, self.scratch)
+        sets = _sets_of(self.docs, self.scratch.write(self.nodes.select("id", F.col("rep").alias("k"), "h").join(ids, "id")), self.key, self.text_col, self.scratch, f"sets-{self.turn}")
         done = self.scratch.write(intersected(own, sets))
+        self.scratch.drop(f"sets-{self.turn}")
+        self.turn += 1
         self.tried = done if self.tried is None else self.tried.union(done)
         edges = self.tried.where("link").select("x", "y")
         both = edges.select(F.col("x").alias("id")).union(edges.select(F.col("y").alias("id")))
