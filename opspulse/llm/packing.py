@@ -16,7 +16,12 @@
 Tokenising by words: the tokenizer drops white space and splits between letters, digits
 and other characters before it merges, so the ids of a text are those of its words one
 after the other. Words are encoded once for each worker and looked up afterwards; words
-with characters outside plain Latin letters, digits and punctuation are encoded whole.
+with characters outside plain Latin letters, digits and punctuation are encoded whole, and
+so are texts that spell one of the tokenizer's own special tokens.
+
+Padding: where rests of a few common lengths fill sequences badly (3000 of 4096, say), so
+that more than MOST_PADDING of all sequences could be saved, rests are cut at powers of two
+down to LEAST_CUT; these fit together, and what is left of each rest is short.
 
 Defined results: null text counts as empty and gives the closing id alone; repeated rows
 give repeated pieces; an empty table gives an empty result; only key and text are read.
@@ -38,6 +43,7 @@ from .common import table, written
 
 SIZE = 4096
 END_ID = 2
+MOST_PADDING, LEAST_CUT = 0.03, 256
 MOST_CHUNKS, MOST_WORDS = 500_000, 700_000  # entries kept by a worker
 
 _PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:-@\[-`{-~]+")
@@ -54,7 +60,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(special) if special else r"(?!)")
         vocab = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a word
         self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
@@ -98,7 +105,7 @@ class WordEncoder:
         self.chunks.update(zip(odd, self.whole(odd), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _ODD.search(t) else t.split() for t in texts]
+        split = [None if _ODD.search(t) or self.special.search(t) else t.split() for t in texts]
         known = self.chunks
         used = set().union(*[s for s in split if s])
         missing = used.difference(known)
@@ -125,11 +132,26 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def cuts(n: int, size: int, least_cut: int | None = None) -> list[int]:
+    """Where the pieces of n ids end: at multiples of size; with least_cut also where powers of two come off the rest."""
+    ends = list(range(size, n + 1, size))
+    at, step = n - n % size, 1 << (size - 1).bit_length()
+    while least_cut and step > least_cut:
+        step //= 2
+        if n - at >= step:
+            at += step
+            ends.append(at)
+    return ends if n == (ends[-1] if ends else 0) else [*ends, n]
+
+
 def tokenized_pieces(
     docs: DataFrame, key: str = "doc_id", text_col: str = "text", size: int = SIZE, tokenizer: str | None = None,
-    end_id: int = END_ID, keep_ids: bool = True,
+    end_id: int = END_ID, keep_ids: bool = True, least_cut: int | None = None,
 ) -> DataFrame:
-    """(key, start, length, ids_crc32, doc_tokens, ids): each document's ids and end_id, cut at multiples of size."""
+    """(key, start, length, ids_crc32, doc_tokens, ids): each document's ids and end_id, cut at multiples of size.
+
+    With least_cut, the rest is cut further, at powers of two down to that length.
+    """
     path = tokenizer or default_tokenizer()
     kind = docs.schema[key].dataType.simpleString()
     closing = end_id.to_bytes(4, "little")
@@ -141,8 +163,9 @@ def tokenized_pieces(
                 keys, out, texts = [], [], batch.column(1).slice(i, 256).to_pylist()
                 for j, ids in enumerate(enc.encode([t or "" for t in texts])):
                     ids += closing
-                    for a in range(0, len(ids), 4 * size):
-                        piece = ids[a : a + 4 * size]
+                    ends = cuts(len(ids) // 4, size, least_cut)
+                    for a, b in zip([0, *ends], ends, strict=False):
+                        a, piece = 4 * a, ids[4 * a : 4 * b]
                         keys.append(i + j)
                         out.append((a // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4, piece if keep_ids else None))
                 cols = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int64()] * 4 + [pa.binary()], strict=True)]
@@ -244,9 +267,21 @@ def pack(pieces: DataFrame, size: int = SIZE, keys: tuple[str, ...] = ("doc_id",
     )
 
 
-def packed_documents(docs: DataFrame, keep_ids: bool = False) -> DataFrame:
-    pieces = tokenized_pieces(docs, keep_ids=keep_ids)
-    return pack(written(pieces if keep_ids else pieces.drop("ids"), "pieces"))
+def wasted(counts: dict[int, int], size: int = SIZE) -> float:
+    """The share of sequences that a perfect packing of the same ids would not need."""
+    many = sum(n for n, _ in pack_histogram(counts, size))
+    return 1 - -(-sum(a * n for a, n in counts.items()) // size) / many if many else 0.0
+
+
+def packed_documents(docs: DataFrame, keep_ids: bool = False, size: int = SIZE) -> DataFrame:
+    """Pieces packed into sequences of size; tokenised a second time if rests have to be cut."""
+    def pieces(least_cut):
+        made = tokenized_pieces(docs, size=size, keep_ids=keep_ids, least_cut=least_cut)
+        return written(made if keep_ids else made.drop("ids"), "pieces")
+
+    made = pieces(None)
+    histogram = {r["length"]: r["count"] for r in made.groupBy("length").count().collect()}  # at most size rows
+    return pack(made if wasted(histogram, size) <= MOST_PADDING else pieces(LEAST_CUT), size)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,7 @@ from .common import table
 
 WINDOW = 20
 BLOCK = 256  # matches or spans that are gone through one by one
+CHUNK = 4096  # characters of a text that are walked through to cut it
 SCALE = 1 << 20
 
 # The base patterns of the contract, by kind.
@@ -121,33 +122,36 @@ def _of_kind(found: Column, kind: str) -> Column:
 
 
 def _hot_windows(run: Column, alphabet: str, least_bits: float, window: int) -> Column:
-    """(first, last): start of the first and last window of run at or above the threshold, or -1."""
+    """(first, last): start of the first and last window of run at or above the threshold, or -1.
+
+    The run is turned into symbol numbers once. Counts are bit fields of a few longs, so a step
+    changes two fields and reads symbols by index: its cost does not grow with the run.
+    """
     terms = F.array(*[F.lit(x).cast("bigint") for x in entropy_terms(window)])
-    symbol = lambda i: F.position(F.substring(run, i, F.lit(1)), F.lit(alphabet))
+    bits = (window + 1).bit_length()
+    per = 62 // bits  # fields of a long
+    cells = -(-len(alphabet) // per)
+    long = lambda x: F.lit(x).cast("bigint")
+    place = lambda k: F.when(k > 0, F.struct(
+        F.floor((k - 1) / per).cast("int").alias("cell"), ((k - 1) % per * bits).cast("int").alias("shift")))
+    symbols = F.transform(F.split(run, ""), lambda c: place(F.position(c, F.lit(alphabet))))
+    count = lambda counts, s: F.call_function("shiftright", F.get(counts, s["cell"]), s["shift"]).bitwiseAND(long((1 << bits) - 1)).cast("int")
+    unit = lambda s, k: F.when(s["cell"] == k, F.call_function("shiftleft", long(1), s["shift"])).otherwise(long(0))
     zero = F.struct(
-        F.array_repeat(F.lit(0), len(alphabet)).alias("counts"),
-        F.lit(0).cast("bigint").alias("sum"),
-        F.lit(-1).alias("first"),
-        F.lit(-1).alias("last"),
+        F.array_repeat(long(0), cells).alias("counts"), long(0).alias("sum"), F.lit(-1).alias("first"), F.lit(-1).alias("last")
     )
 
-    def step(acc, i):
-        came = symbol(i)
-        gone = F.when(i > window, symbol(i - window)).otherwise(F.lit(0))
-        c_in, c_out = F.get(acc["counts"], came - 1), F.get(acc["counts"], gone - 1)
+    def step(acc, x):
+        came, gone, i = x["came"], x["gone"], x["i"]
+        c_in, c_out = count(acc["counts"], came), count(acc["counts"], gone)
         # one symbol enters, one leaves: only their two counts change
-        changed = (
-            F.when(came == gone, F.lit(0).cast("bigint"))
-            .otherwise(
-                F.get(terms, c_in + 1) - F.get(terms, c_in)
-                + F.when(gone > 0, F.get(terms, c_out - 1) - F.get(terms, c_out)).otherwise(F.lit(0).cast("bigint"))
-            )
+        same = F.coalesce((came["cell"] == gone["cell"]) & (came["shift"] == gone["shift"]), F.lit(False))
+        changed = F.when(same, long(0)).otherwise(
+            F.get(terms, c_in + 1) - F.get(terms, c_in)
+            + F.coalesce(F.get(terms, c_out - 1) - F.get(terms, c_out), long(0))
         )
         total = acc["sum"] + changed
-        counts = F.transform(
-            acc["counts"],
-            lambda c, k: c + F.when(k == came - 1, 1).otherwise(0) - F.when(k == gone - 1, 1).otherwise(0),
-        )
+        counts = F.transform(acc["counts"], lambda c, k: c + unit(came, k) - unit(gone, k))
         hot = (i >= window) & (total <= most_terms(window, least_bits))
         return F.struct(
             counts.alias("counts"),
@@ -156,10 +160,13 @@ def _hot_windows(run: Column, alphabet: str, least_bits: float, window: int) ->
             F.when(hot, i - window).otherwise(acc["last"]).alias("last"),
         )
 
-    return F.aggregate(
-        F.sequence(F.lit(1), F.length(run)), zero, step,
-        lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")),
-    )
+    def slide(s):
+        """s: symbols of the run; each is met with its number and the symbol that leaves when it enters."""
+        moves = F.transform(s, lambda came, i: F.struct(
+            came.alias("came"), F.get(s, i - window).alias("gone"), (i + 1).alias("i")))
+        return F.aggregate(moves, zero, step, lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
+
+    return F.transform(F.array(symbols), slide)[0]  # an array of one names the symbols, so they are made once
 
 
 def find_secrets(docs: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -184,7 +191,9 @@ def find_secrets(docs: DataFrame, text_col: str = "text", window: int = WINDOW)
         _of_kind(_positions(text, BASE["access"]), "access"),
         _of_kind(_positions(text, BASE["hex"]), "hex"),
     )
-    allowed = lambda m: F.exists(F.array(*map(F.lit, ALLOW)), lambda p: F.regexp_like(m, p))
+    # a possessive repeat matches the same runs, without a stack frame for each segment of a long path
+    shapes = [p.replace(")*/?$", ")*+/?$") for p in ALLOW]
+    allowed = lambda m: F.exists(F.array(*map(F.lit, shapes)), lambda p: F.regexp_like(m, p))
     runs = F.filter(_positions(text, CANDIDATE), lambda x: ~allowed(x["m"]))
 
     def scored(x):
@@ -209,21 +218,44 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET
     """docs with every found span, overlapping ones merged, replaced by the mark; null text stays null."""
     names = docs.columns
     found = find_secrets(docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(text_col).alias("_t")), "_t")
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+    zero = F.lit(0).cast("bigint")
 
     def step(acc, s):
-        begin = F.greatest(acc["at"], s["start"])
-        piece = F.substring(F.col("_t"), (acc["at"] + 1).cast("int"), (begin - acc["at"]).cast("int"))
-        new = s["start"] >= acc["at"]
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(new, F.concat(acc["out"], piece, F.lit(mark))).otherwise(acc["out"]).alias("out"),
+        """A span that starts past all earlier ones closes the gap before it; others only push the end."""
+        gap = F.array(F.struct(acc["at"].alias("a"), s["start"].alias("b")))
+        gaps = F.when(s["start"] >= acc["at"], F.concat(acc["gaps"], gap)).otherwise(acc["gaps"])
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), gaps.alias("gaps"))
+
+    def kept(spans):
+        """The gaps (a, b) between merged spans: by blocks, each begun at the greatest end before it."""
+        none = F.array().cast("array<struct<a:bigint,b:bigint>>")
+        blocks = _blocks(spans)
+        tops = F.transform(blocks, lambda b: F.coalesce(F.array_max(F.transform(b, lambda x: x["end"])), zero))
+        before = F.aggregate(
+            tops, F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("out")),
+            lambda acc, t: F.struct(F.greatest(acc["at"], t).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+            lambda acc: acc["out"],
         )
+        gaps = F.flatten(F.zip_with(blocks, before, lambda b, at: F.aggregate(
+            b, F.struct(at.alias("at"), none.alias("gaps")), step, lambda acc: acc["gaps"])))
+        last = F.struct(F.array_max(F.transform(spans, lambda x: x["end"])).alias("a"), F.length("_t").cast("bigint").alias("b"))
+        return F.concat(gaps, F.array(last))
+
+    def piece(chunks, g):
+        """Code points a to b, from chunks of CHUNK, so that no cut walks the text from its start."""
+        whole = lambda x: x.cast("int")
+        i, j = whole(F.floor(g["a"] / CHUNK)), whole(F.floor((g["b"] - 1) / CHUNK))
+        at, end = whole(g["a"] - i * CHUNK), whole(g["b"] - j * CHUNK)
+        one = F.substring(F.get(chunks, i), at + 1, end - at)
+        more = F.concat(
+            F.substring(F.get(chunks, i), at + 1, F.lit(CHUNK)),
+            F.array_join(F.slice(chunks, i + 2, F.greatest(j - i - 1, F.lit(0))), ""),
+            F.substring(F.get(chunks, j), F.lit(1), end),
+        )
+        return F.when(g["b"] <= g["a"], F.lit("")).when(i == j, one).otherwise(more)
 
-    clean = F.aggregate(
-        F.col("spans"), zero, step,
-        lambda acc: F.concat(acc["out"], F.substring(F.col("_t"), (acc["at"] + 1).cast("int"), F.length(F.col("_t")))),
-    )
+    chunks = F.regexp_extract_all(F.col("_t"), F.lit("(?s).{1,%d}" % CHUNK), F.lit(0))
+    clean = F.transform(F.array(chunks), lambda ch: F.array_join(F.transform(kept(F.col("spans")), lambda g: piece(ch, g)), mark))[0]
     found = found.withColumn("_clean", F.when(F.size("spans") > 0, clean).otherwise(F.col("_t")))
     return found.select(*[(F.col("_clean") if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in names])
 

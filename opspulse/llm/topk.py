@@ -5,9 +5,10 @@ queries (the stated small share of the rows) to strips, both of bounded bytes; e
 meets every strip, and one task multiplies small matrices only. A tile keeps the k best of
 each query; the lists then merge in two levels, first within a group of tiles, then over all.
 
-Scores are integers: each component becomes floor(1024 * x). Products run as float64
-where their exact bound is below 2^53, else as Python integers; a score beyond a long
-is held at the long's limit.
+Scores are integers: each component becomes floor(1024 * x). Blocks hold that number
+divided by 1024, which is exact and stays finite for every finite double. Products run as
+float64 where their exact bound is below 2^53, else as Python integers; a score beyond a
+long is held at the long's limit.
 
 Defined results: a null vector, or one with a null or non-finite component, takes no
 part; vectors of unequal length are not compared; ties go to the smaller vec_id, and
@@ -40,8 +41,14 @@ def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     )
 
 
+def _floored(x: np.ndarray) -> np.ndarray:
+    """floor(1024 x) / 1024, exactly; doubles from 2^53 on are whole numbers already."""
+    small = np.abs(x) < 2.0**53
+    return np.where(small, np.floor(SCALE * np.where(small, x, 0.0)) / SCALE, x)
+
+
 def _pack(batches):
-    """Rows -> blocks of one dimension: (block, dim, ids, comps), components as float64 of floor(1024 x)."""
+    """Rows -> blocks of one dimension: (block, dim, ids, comps), components as float64 of floor(1024 x) / 1024."""
     from pyspark import TaskContext
 
     part, n = TaskContext.get().partitionId(), 0
@@ -56,7 +63,7 @@ def _pack(batches):
             step = max(1, BLOCK_BYTES // (8 * max(1, int(d))))
             for i in range(0, len(pick), step):
                 own = pick[i : i + step]
-                m = np.floor(SCALE * flat[(ends[own] - d)[:, None] + np.arange(d)]) if d else np.zeros((len(own), 0))
+                m = _floored(flat[(ends[own] - d)[:, None] + np.arange(d)]) if d else np.zeros((len(own), 0))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([(part << 33) + n], pa.int64()), pa.array([int(d)], pa.int32()),
                      pa.array([ids[own].astype("<i8").tobytes()], pa.binary()), pa.array([m.astype("<f8").tobytes()], pa.binary())],
@@ -69,11 +76,12 @@ _BLOCKS = "block bigint, dim int, ids binary, comps binary"
 
 
 def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Exact integer inner products, as int64, held at the limits of a long."""
-    top = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(1, q.shape[1])
+    """Inner products of the integers 1024 * q and 1024 * c, exact, as int64, held at the limits of a long."""
+    top = float(np.abs(q).max(initial=0)) * SCALE * float(np.abs(c).max(initial=0)) * SCALE * max(1, q.shape[1])
     if top < 2**53:
-        return (q @ c.T).astype(np.int64)
-    big = lambda m: np.array([[int(x) for x in row] for row in m], dtype=object).reshape(m.shape)
+        return ((q @ c.T) * SCALE**2).astype(np.int64)
+    whole = lambda x: int(x * SCALE) if abs(x) < 2.0**53 else int(x) * SCALE
+    big = lambda m: np.array([[whole(float(x)) for x in row] for row in m], dtype=object).reshape(m.shape)
     exact = big(q) @ big(c).T
     return np.clip(exact, -(2**63), 2**63 - 1).astype(np.int64)
 

@@ -357,11 +357,10 @@ def test_components(spark):
 
 def test_packing_round_trip(spark):
     r, words, rows = texts(6, 150)
-    rows += [(500, None), (501, ""), (502, " ".join(r.choice(words) for _ in range(9000))), (503, "it's a\x1fb c ÀÉ ß don't <|endoftext|> 日本 12a")]
+    rows += [(500, None), (501, ""), (502, " ".join(r.choice(words) for _ in range(9000))), (503, "it's a\x1fb c ÀÉ ß don't <|endoftext|> 日本 12a"), (504, "x<|startoftext|>y <|ENDOFTEXT|> z")]
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(packing.default_tokenizer())
-    tok.encode_special_tokens = True
     got = packing.pack(packing.tokenized_pieces(docs_of(spark, rows)).cache()).toPandas()
     for i, t in rows:
         want = np.array([*tok.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes()
