@@ -27,8 +27,46 @@ def _nth_monday(year: Column, month: int, n: int) -> Column:
     return F.date_add(first, (7 - F.weekday(first)) % 7 + 7 * (n - 1))
 
 
+def _days_before(year: Column) -> Column:
+    """Days from the epoch of the Hebrew calendar to the mean new moon of a year's Tishri, put off where it may not begin."""
+    y = year.cast("bigint")
+    months = F.floor((235 * y - 234) / 19)
+    days = 29 * months + F.floor((12084 + 13753 * months) / 25920)
+    return days + F.when((3 * (days + 1)) % 7 < 3, 1).otherwise(0)
+
+
+def hebrew_new_year(days: Column, at: int) -> Column:
+    """Gregorian date of 1 Tishri: the mean moon, and delays that keep years of a lawful length. days: ``_days_before`` of the years from at - 1 on."""
+    before, own, after = (F.get(days, F.lit(k)) for k in (at - 1, at, at + 1))
+    late = F.when(after - own == 356, 2).when(own - before == 382, 1).otherwise(0)
+    return F.date_from_unix_date((own + late - 2092590).cast("int"))  # the epoch is 2,092,590 days before 1970-01-01
+
+
+def hebrew_dim(spark: SparkSession, years: tuple[int, int], calendar: str = "il") -> DataFrame:
+    """(date, calendar, name): Israel's public holidays within the Gregorian years, by rule.
+
+    Tishri's feasts count from the new year; those of spring lie a fixed number of days before the next one.
+    Independence Day moves off Friday to Monday as the law of the year has it (Mondays since 2004).
+    """
+    h = F.col("id").cast("int")
+    moons = spark.range(years[0] + 3760, years[1] + 3762).select(F.transform(F.sequence(h - 1, h + 2), _days_before).alias("moons"))
+    starts = moons.select(hebrew_new_year(F.col("moons"), 1).alias("start"), F.date_sub(hebrew_new_year(F.col("moons"), 2), 163).alias("pesach"))
+    start, pesach = F.col("start"), F.col("pesach")
+    fifth = F.date_add(pesach, 20)
+    day = F.weekday(fifth)
+    independence = F.date_add(fifth, F.when(day == 4, -1).when(day == 5, -2).when((day == 0) & (F.year(fifth) >= 2004), 1).otherwise(0))
+    rules = [
+        ("Rosh Hashanah", start), ("Rosh Hashanah (second day)", F.date_add(start, 1)), ("Yom Kippur", F.date_add(start, 9)),
+        ("Sukkot", F.date_add(start, 14)), ("Simchat Torah", F.date_add(start, 21)), ("Pesach", pesach),
+        ("Seventh day of Pesach", F.date_add(pesach, 6)), ("Independence Day", independence), ("Shavuot", F.date_add(pesach, 50)),
+    ]
+    each = F.explode(F.array(*[F.struct(d.alias("date"), F.lit(calendar).alias("calendar"), F.lit(n).alias("name")) for n, d in rules]))
+    days = starts.select(each.alias("x")).select("x.*")
+    return days.where(F.year("date").between(*years))
+
+
 def holiday_dim(spark: SparkSession, years: tuple[int, int], custom: DataFrame | None = None) -> DataFrame:
-    """(date, calendar, name): Quebec by rule, with observed days; lunar or other calendars come as a table."""
+    """(date, calendar, name): Quebec by rule, with observed days; other calendars (``hebrew_dim``, say) come as a table."""
     y = F.col("y")
     fixed = lambda m, d: F.make_date(y, F.lit(m), F.lit(d))
     rules = [

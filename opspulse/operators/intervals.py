@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import ceil_hour, floor_hour, round_hour_even
@@ -18,6 +18,29 @@ def expand_intervals(df: DataFrame, start: str, end: str, edge: str = "ceil", ts
     return df.withColumn(ts, F.explode(hours))
 
 
+def staffing_steps(df: DataFrame, start: str, end: str, by: list[str], edge: str = "ceil", name: str = "staff") -> DataFrame:
+    """by + (start, end, name): the longest spans of a constant number of open intervals, none where it is 0.
+
+    A sweep over the edges: +1 where an interval opens, -1 where it closes, added up by key and hour
+    before any shuffle, then a running sum. Rows grow with the edges, not with the hours in between.
+    """
+    to = {"ceil": ceil_hour, "even": round_hour_even, "floor": floor_hour}[edge]
+    keys = [F.col(c) for c in by]
+    spans = df.select(*keys, to(start).alias("_a"), to(end).alias("_b")).where(F.col("_a") < F.col("_b"))
+    edges = spans.select(*keys, F.explode(F.array(F.struct(F.col("_a").alias("at"), F.lit(1).alias("d")), F.struct(F.col("_b").alias("at"), F.lit(-1).alias("d")))).alias("e"))
+    moved = edges.groupBy(*keys, F.col("e.at").alias("start")).agg(F.sum("e.d").alias("_d")).where("_d <> 0")
+    w = Window.partitionBy(*keys).orderBy("start")
+    steps = moved.select(*keys, "start", F.lead("start").over(w).alias("end"), F.sum("_d").over(w).alias(name))
+    return steps.where(F.col(name) > 0)
+
+
+def staffing_counts(df: DataFrame, start: str, end: str, by: list[str], edge: str = "ceil", ts: str = "ds", name: str = "staff") -> DataFrame:
+    """by + (ts, name): how many intervals are open in each hour; hours are made last, from the steps, without a shuffle."""
+    steps = staffing_steps(df, start, end, by, edge, name)
+    hour = F.expr("interval 1 hour")
+    return steps.select(*[F.col(c) for c in by], F.explode(F.sequence("start", F.col("end") - hour, hour)).alias(ts), name)
+
+
 def staffing_by_person(shifts: DataFrame, people: list[str], seq: str = "scheduled_shift_id", fill: str = "NotWorking") -> DataFrame:
     """Hour x person with the first shift type of the hour. shifts: ds, person, shift_type, seq; unmapped types never count."""
     known = shifts.where(F.col("shift_type").isNotNull())

@@ -279,11 +279,10 @@ def grid_search(spark, d):
 
 @query(None)
 def holiday_sets(spark, d):
-    from ..functions.calendar import holiday_dim
+    from ..functions.calendar import hebrew_dim, holiday_dim
 
-    qc = holiday_dim(spark, (1994, 2003))
-    both = qc.unionByName(qc.select(F.date_add("date", 3).alias("date"), F.lit("custom").alias("calendar"), "name"))
-    sets = {"none": [], "qc": ["qc"], "both": ["qc", "custom"]}
+    both = holiday_dim(spark, (1994, 2003), custom=hebrew_dim(spark, (1994, 2003)))
+    sets = {"none": [], "qc": ["qc"], "il": ["il"], "both": ["qc", "il"]}
     return fc.holiday_sets(_daily_series(spark, d), both, sets, {"weekly": 3, "yearly": 10})
 
 

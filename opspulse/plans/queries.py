@@ -258,6 +258,16 @@ def join_staffing(spark, d):
     return jn.join_staffing(si.hourly(spark, d).select("id", "ds", "n"), staff, ["ds"])
 
 
+@query(f"WITH {_GRID} SELECT code, ds, count(*) AS staff FROM grid GROUP BY ALL", "shifts")
+def staffing_counts(spark, d):
+    return iv.staffing_counts(si.shifts(spark, d), "shift_start", "shift_end", ["code"])
+
+
+@query(f"WITH {_GRID}, c AS (SELECT code, ds, count(*) AS staff FROM grid GROUP BY ALL), k AS (SELECT *, ds - INTERVAL 1 HOUR * row_number() OVER (PARTITION BY code, staff ORDER BY ds) AS run FROM c) SELECT code, min(ds) AS start, max(ds) + INTERVAL 1 HOUR AS \"end\", staff FROM k GROUP BY code, staff, run", "shifts")
+def staffing_steps(spark, d):
+    return iv.staffing_steps(si.shifts(spark, d), "shift_start", "shift_end", ["code"])
+
+
 @query("SELECT h.id, h.ds, n, CAST(coalesce(oncall_busy, 0) AS DOUBLE) AS oncall_busy FROM hourly h LEFT JOIN labels01 l ON h.ds = l.ds", "hourly", "labels01")
 def join_labels(spark, d):
     return jn.join_labels(si.hourly(spark, d).select("id", "ds", "n"), si.labels01(spark, d))
@@ -559,6 +569,24 @@ def orders_on_holidays(spark, d):
     return o.agg(F.count("*").alias("n"), F.count_if(F.col("qc_holiday_name") == "Christmas Day").alias("christmas"))
 
 
+# Pesach by the closed formula of Gauss, which counts Julian days of March; here it serves as the check.
+_PESACH = """y AS (SELECT CAST(unnest(range(1991, 2000)) AS BIGINT) AS g),
+a AS (SELECT g, (12 * (g + 3760) + 17) % 19 AS a, (g + 3760) % 4 AS b FROM y),
+q AS (SELECT *, 32.0440932161 + 1.5542417966 * a + 0.25 * b - 0.003177794022 * (g + 3760) AS q FROM a),
+m AS (SELECT *, CAST(floor(q) AS BIGINT) AS m, (CAST(floor(q) AS BIGINT) + 3 * (g + 3760) + 5 * b + 5) % 7 AS c FROM q),
+p AS (SELECT g, make_date(g, 3, 1) + CAST(12 + m + CASE WHEN c IN (2, 4, 6) THEN 1 WHEN c = 1 AND a > 6 AND q - m >= 0.63287037 THEN 2 WHEN c = 0 AND a > 11 AND q - m >= 0.89772376 THEN 1 ELSE 0 END AS INTEGER) AS p FROM m),
+il AS (
+  SELECT p + unnest([0, 6, 50, 163, 164, 172, 177, 184]) AS date, unnest(['Pesach', 'Seventh day of Pesach', 'Shavuot', 'Rosh Hashanah', 'Rosh Hashanah (second day)', 'Yom Kippur', 'Sukkot', 'Simchat Torah']) AS name FROM p
+  UNION ALL SELECT p + 20 - CASE dayofweek(p + 20) WHEN 5 THEN 1 WHEN 6 THEN 2 ELSE 0 END, 'Independence Day' FROM p
+)"""
+
+
+@query(f"WITH {_PESACH} SELECT o_orderdate AS date, name, count(*) AS n FROM (SELECT CAST(o_orderdate AS DATE) AS o_orderdate FROM orders) JOIN il ON o_orderdate = date GROUP BY ALL")
+def orders_on_hebrew_holidays(spark, d):
+    days = si.orders(spark, d).groupBy(F.to_date("o_orderdate").alias("date")).agg(F.count("*").alias("n"))
+    return days.join(F.broadcast(cal.hebrew_dim(spark, (1991, 1999))), "date").select("date", "name", "n")
+
+
 # --- ranges, flags, alerts
 
 

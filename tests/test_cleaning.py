@@ -77,6 +77,26 @@ def test_holidays(spark):
         calendar.year_range(df.where("k = 2"), "ds").collect()
 
 
+# Published dates of 15 Nisan and of 1 Tishri.
+PESACH = ["1990-04-10", "1999-04-01", "2000-04-20", "2005-04-24", "2016-04-23", "2018-03-31", "2019-04-20", "2020-04-09", "2021-03-28", "2022-04-16", "2023-04-06", "2024-04-23", "2025-04-13", "2026-04-02", "2030-04-18"]
+NEW_YEAR = ["1990-09-20", "1995-09-25", "2000-09-30", "2005-10-04", "2010-09-09", "2013-09-05", "2015-09-14", "2020-09-19", "2021-09-07", "2022-09-26", "2023-09-16", "2024-10-03", "2025-09-23", "2026-09-12", "2030-09-28"]
+
+
+def test_hebrew_calendar(spark):
+    rows = calendar.hebrew_dim(spark, (1990, 2030)).collect()
+    days = {}
+    for r in rows:
+        days.setdefault(r.name, {})[r.date.year] = r.date
+    assert len(rows) == 9 * 41 and all(len(x) == 41 for x in days.values())
+    for name, dates in (("Pesach", PESACH), ("Rosh Hashanah", NEW_YEAR)):
+        assert [str(days[name][int(d[:4])]) for d in dates] == dates
+    for y in range(1990, 2030):
+        assert days["Rosh Hashanah"][y].weekday() not in (6, 2, 4) and days["Pesach"][y].weekday() not in (0, 2, 4)
+        assert (days["Rosh Hashanah"][y + 1] - days["Rosh Hashanah"][y]).days in (353, 354, 355, 383, 384, 385)
+    independence = ["1998-04-30", "2004-04-27", "2021-04-15", "2022-05-05", "2023-04-26", "2024-05-14"]
+    assert [str(days["Independence Day"][int(d[:4])]) for d in independence] == independence
+
+
 def test_weather(spark):
     rows = [(i, c, 10.0, p, 18.52, 90.0) for i, (c, p) in enumerate([("Snow", 60.0), ("Rain and snow", 59.0), ("mist", 0.0), ("Clear", 0.0)])]
     df = frame(spark, rows, "period int, condition string, temperature double, precip_probability double, wind_speed double, wind_direction double")

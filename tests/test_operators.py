@@ -224,3 +224,21 @@ def test_upsert_writes_only_touched_parts_and_replays(spark, tmp_path):
     assert spark.read.parquet(f"{path}/v=1").select("part").distinct().count() == 2
     write(late.limit(0), 2)
     assert {x.ds: x.v1 for x in stream.newest_version(spark, path, late.drop("_order").schema).collect()} == want
+
+
+def test_staffing_sweep_equals_expansion(spark):
+    import random
+
+    r = random.Random(5)
+    t0 = dt.datetime(2024, 1, 1)
+    at = lambda: t0 + dt.timedelta(minutes=r.randrange(6000))
+    rows = [(r.choice(["a", "b", None]), at(), at()) for _ in range(300)] + [("a", None, t0), ("b", t0, None), ("b", t0, t0)]
+    df = spark.createDataFrame(rows, "code string, s timestamp_ntz, e timestamp_ntz")
+    plain = intervals.expand_intervals(df, "s", "e").groupBy("code", "ds").count()
+    want = sorted(map(tuple, plain.collect()), key=str)
+    assert want and sorted(map(tuple, intervals.staffing_counts(df, "s", "e", ["code"]).collect()), key=str) == want
+    last = {}
+    for x in intervals.staffing_steps(df, "s", "e", ["code"]).orderBy("code", "start").collect():
+        assert x.end > x.start and last.get(x.code, (None, None)) != (x.start, x.staff)  # spans are as long as can be
+        last[x.code] = (x.end, x.staff)
+    assert intervals.staffing_counts(df.limit(0), "s", "e", ["code"]).count() == 0
