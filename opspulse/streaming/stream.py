@@ -75,6 +75,34 @@ def inflow_stream(events: DataFrame, ts: str = "ts", window: str = "1 hour", lat
     return out.select(F.col("w.start").alias("ds"), *by, "n")
 
 
+def start_inflow(
+    events: DataFrame, sink: str, checkpoint: str, ts: str = "ts", window: str = "1 hour", lateness: str = "2 hours",
+    by: list[str] = [], event: str | None = None,  # noqa: B006
+) -> StreamingQuery:
+    """Running counts of each window, in update mode: a batch writes the windows it changed, under its own number.
+
+    The watermark ends the state of old windows, so neither state nor output of a batch grows with the stream;
+    rows are not counted once the watermark has passed their window (Spark may apply it a batch later). With ``event``, an event that
+    arrives again within the watermark counts once. Read the sink with ``inflow_table``.
+    """
+    if event:
+        events = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness).dropDuplicatesWithinWatermark([event])
+        timed = events.groupBy(F.window(ts, window).alias("w"), *by).agg(F.count("*").alias("n")).select(F.col("w.start").alias("ds"), *by, "n")
+    else:
+        timed = inflow_stream(events, ts, window, lateness, by)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/batch={epoch}")  # a replayed batch replaces itself
+
+    return timed.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def inflow_table(spark: SparkSession, sink: str, by: list[str] = []) -> DataFrame:  # noqa: B006
+    """(ds, by, n): each window as the last batch that changed it left it."""
+    rows = spark.read.parquet(sink)
+    return rows.groupBy("ds", *by).agg(F.max_by("n", "batch").alias("n"))
+
+
 def start_alerts(stream: DataFrame, ranges: DataFrame, sink: str, checkpoint: str, metrics: list[str] | None = None) -> StreamingQuery:
     """Alerts for the newest hour of each arriving batch of long rows (id, ds, metric, value)."""
 

@@ -242,3 +242,26 @@ def test_staffing_sweep_equals_expansion(spark):
         assert x.end > x.start and last.get(x.code, (None, None)) != (x.start, x.staff)  # spans are as long as can be
         last[x.code] = (x.end, x.staff)
     assert intervals.staffing_counts(df.limit(0), "s", "e", ["code"]).count() == 0
+
+
+def test_running_inflow_in_batches(spark, tmp_path):
+    """Six batches of a day each: repeated events count once, late ones not at all, and state stays bounded."""
+    from opspulse.streaming import stream
+
+    kind = "event_id long, ts timestamp_ntz"
+    want = {}
+    for day in range(1, 7):
+        rows = [(day * 1000 + i, at(i % 24, day) + dt.timedelta(minutes=i % 50)) for i in range(240)]
+        for _, ts in rows:
+            hour = ts.replace(minute=0)
+            want[hour] = want.get(hour, 0) + 1
+        again = [x for x in rows if x[1] >= at(23, day)]
+        late = [(day * 1000 + 500, at(3, day - 2))] if day > 3 else []  # the watermark that drops rows lags by a batch
+        spark.createDataFrame(rows + again + late, kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    q = stream.start_inflow(source, str(tmp_path / "out"), str(tmp_path / "check"), event="event_id")
+    q.awaitTermination()
+    got = {r.ds: r.n for r in stream.inflow_table(spark, str(tmp_path / "out")).select(F.col("ds").cast("timestamp_ntz").alias("ds"), "n").collect()}
+    assert got == want
+    state = [sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in q.recentProgress]
+    assert len(state) >= 6 and max(state) < 2 * 264  # a day's events and windows, not the six days'
