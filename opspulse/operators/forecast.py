@@ -2,22 +2,23 @@
 
 Seasonal ranges are aggregates and joins alone. Trend, holiday and covariate regressions are
 solved from sums that Spark adds up (``gram``); their coefficients are a table, and scoring is a
-join. The autoregression fits one series in a task, with at most ``HISTORY`` of its newest rows.
+join. Autoregressions are solved from lag sums (``lagsums``), on a whole series or as of any cutoff.
+Only a user's own model (``forecast_with``) gets a series in one task, ``HISTORY`` of its newest rows by default.
 """
 
 from collections.abc import Callable
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import gram as gm
+from . import lagsums as ls
 from .filters import last_n
 from .timeseries import extend
 
 Z95 = 1.959964
-HISTORY = 24 * 365 * 3  # newest rows of a series that a regression reads
+HISTORY = 24 * 365 * 3  # newest rows of a series that a user's model reads
 
 
 def slot(ts: Column | str, season: str) -> Column:
@@ -46,13 +47,6 @@ def seasonal_ranges(long: DataFrame, horizon: int = 48, keep: int | None = 336,
     return rows.select("id", "ds", "metric", "yhat", (F.col("yhat") - half).alias("yhat_lower"), (F.col("yhat") + half).alias("yhat_upper"))
 
 
-def least_squares(x: np.ndarray, y: np.ndarray, ridge: float = 1e-6) -> np.ndarray:
-    """Minimum-norm least squares with a slight ridge on scaled columns."""
-    scale = np.where(np.abs(x).max(axis=0, initial=0) > 0, np.abs(x).max(axis=0, initial=0), 1.0)
-    a = x / scale
-    return np.linalg.lstsq(np.vstack([a, np.sqrt(ridge) * np.eye(a.shape[1])]), np.concatenate([y, np.zeros(a.shape[1])]), rcond=None)[0] / scale
-
-
 def _trend_columns(t: Column, start: Column, seasons: dict[str, tuple[float, int]]) -> dict[str, Column]:
     """Intercept, trend since the series' start, and Fourier terms by name; t in days."""
     out = {"one": F.lit(1.0), "trend": t - start}
@@ -89,32 +83,14 @@ def trend_season_ranges(
     return scored.select("id", "date", "yhat", (F.col("yhat") - half).alias("yhat_lower"), (F.col("yhat") + half).alias("yhat_upper"))
 
 
-def _ar_step(y: np.ndarray, lags: int, h: int) -> tuple[np.ndarray | None, np.ndarray | None]:
-    """Weights (intercept, oldest lag first) of the value h hours ahead, and the residuals; None if the series is too short."""
-    n = len(y) - lags - h + 1
-    if n < 2:
-        return None, None
-    x = np.column_stack([np.ones(n), np.lib.stride_tricks.sliding_window_view(y, lags)[:n]])
-    goal = y[lags + h - 1 : lags + h - 1 + n]
-    w = least_squares(x, goal)
-    return w, goal - x @ w
-
-
 def ar_fit(long: DataFrame, lags: int = 48, steps: int = 24, quantiles: tuple[float, ...] = (0.2, 0.5, 0.8)) -> DataFrame:
-    """Coefficients (id, metric, step, intercept, coef oldest lag first, offsets: residual quantiles), one row a step."""
-    rows = last_n(long.select("id", "metric", "ds", "value"), HISTORY, ["id", "metric"], "ds")
+    """Coefficients (id, metric, step, intercept, coef oldest lag first, offsets: residual quantiles), one row a step.
 
-    def fit(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        y = g.sort_values("ds")["value"].ffill().bfill().to_numpy(float)
-        out = []
-        for h in range(1, steps + 1):
-            w, e = _ar_step(y, lags, h)
-            if w is not None:
-                out.append((*key, h, w[0], w[1:].tolist(), np.quantile(e, quantiles).tolist()))
-        return pd.DataFrame(out, columns=["id", "metric", "step", "intercept", "coef", "offsets"])
-
-    kind = long.schema["id"].dataType.simpleString()
-    return rows.groupBy("id", "metric").applyInPandas(fit, f"id {kind}, metric string, step int, intercept double, coef array<double>, offsets array<double>")
+    From lag sums over all hours of a series (``lagsums``); long is hourly and regular.
+    """
+    whole = ls.series_ends(long).select("id", "metric", F.col("a").alias("start"), F.col("b").alias("cut"))
+    models = ls.lag_models(long, whole, lags, steps).select("id", "metric", "step", "intercept", "coef")
+    return models.join(ls.lag_bands(long, models, lags, steps, quantiles), ["id", "metric", "step"])
 
 
 def ar_score(long: DataFrame, model: DataFrame, lags: int = 48) -> DataFrame:
@@ -214,32 +190,20 @@ def covariate_forecast(
 run_variants = covariate_forecast
 
 
-def _near(rows: DataFrame, cutoffs: DataFrame, steps: int, history: int) -> DataFrame:
-    """Each row once for each cutoff of its id that reads it: from ``history`` hours before to ``steps`` after."""
-    hour = lambda n: F.make_dt_interval(hours=F.lit(n))
-    day = lambda c: F.unix_date(F.to_date(c))
-    days = F.sequence(day(F.col("cutoff") - hour(history)), day(F.col("cutoff") + hour(steps)))
-    spans = cutoffs.select("id", "cutoff", F.explode(days).alias("_day"))
-    near = rows.withColumn("_day", day(F.col("ds"))).join(spans, ["id", "_day"]).drop("_day")
-    return near.where((F.col("ds") > F.col("cutoff") - hour(history)) & (F.col("ds") <= F.col("cutoff") + hour(steps)))
-
-
 def ar_backtest(long: DataFrame, cutoffs: DataFrame, lags: int = 48, steps: int = 24, history: int = 24 * 90) -> DataFrame:
-    """(id, metric, cutoff, ds, horizon, y, yhat) of the autoregression fitted before each cutoff; long is hourly and regular."""
-    rows = _near(long.select("id", "metric", "ds", F.col("value").cast("double")), cutoffs, steps, history)
+    """(id, metric, cutoff, ds, horizon, y, yhat) of the autoregression fitted on the ``history`` hours up to each cutoff.
 
-    def fit(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("ds")
-        before = g[g["ds"] <= key[2]]["value"].ffill().bfill().to_numpy(float)
-        after = g[g["ds"] > key[2]]
-        horizon = ((after["ds"] - key[2]) / pd.Timedelta(hours=1)).astype("int32").to_numpy()
-        step = {h: _ar_step(before, lags, h) for h in set(horizon)}
-        yhat = [w[0] + before[-lags:] @ w[1:] if w is not None else np.nan for w, _ in map(step.get, horizon)]
-        return pd.DataFrame({"id": key[0], "metric": key[1], "cutoff": key[2], "ds": after["ds"], "horizon": horizon, "y": after["value"], "yhat": np.asarray(yhat, float)})
-
-    kind = long.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, metric string, cutoff timestamp_ntz, ds timestamp_ntz, horizon int, y double, yhat double"
-    return rows.groupBy("id", "metric", "cutoff").applyInPandas(fit, schema)
+    long is hourly and regular. A cutoff's state is the difference of two running lag sums, so any number of cutoffs
+    reads a row once. yhat is null where the hours before the cutoff are too few.
+    """
+    ends = ls.series_ends(long)
+    cuts = cutoffs.select("id", ls.hour_number("cutoff").alias("cut")).join(ends, "id").where("cut between a and b")
+    cuts = cuts.select("id", "metric", F.greatest("a", F.col("cut") - history + 1).alias("start"), "cut")
+    fit = ls.lag_models(long, cuts, lags, steps).select("id", "metric", "cut", F.col("step").alias("horizon"), "yhat")
+    ahead = cuts.select("id", "metric", "cut", F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("horizon"))
+    ahead = ahead.withColumns({"cutoff": ls.hour_stamp(F.col("cut")), "ds": ls.hour_stamp(F.col("cut") + F.col("horizon"))})
+    goal = ahead.join(long.select("id", "metric", "ds", F.col("value").cast("double").alias("y")), ["id", "metric", "ds"])
+    return goal.join(fit, ["id", "metric", "cut", "horizon"], "left").select("id", "metric", "cutoff", "ds", "horizon", "y", "yhat")
 
 
 def ablation(rows: DataFrame, cutoffs: DataFrame, variants: dict[str, list[str]], steps: int = 24, history: int = 24 * 91) -> DataFrame:
@@ -285,31 +249,16 @@ def oncall_need(history: DataFrame, future: DataFrame, covariates: list[str], ke
     return scored.select("id", "ds", "target_name", (1 / (1 + F.exp(-F.col("_z")))).alias("predicted_oncall_prob"))
 
 
-def in_sample(rows: DataFrame, by: list[str], features: Callable[[pd.DataFrame, tuple], np.ndarray]) -> DataFrame:
-    """(by, n, rmse) of a least-squares fit of value on features(group, key), one group a task."""
-    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in by)
-
-    def fit(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("ds").reset_index(drop=True)
-        x, y = features(g, key), g["value"].to_numpy(float)
-        ok = ~np.isnan(y) & ~np.isnan(x).any(axis=1)
-        if not ok.any():
-            return pd.DataFrame([(*key, 0, np.nan)])
-        e = y[ok] - x[ok] @ least_squares(x[ok], y[ok])
-        return pd.DataFrame([(*key, int(ok.sum()), float(np.sqrt(np.mean(e * e))))])
-
-    return rows.groupBy(*by).applyInPandas(fit, f"{kinds}, n long, rmse double")
-
-
 def regressor_sweep(long: DataFrame, target: str, candidates: list[str], lag: int = 1) -> DataFrame:
-    """(id, regressor, n, rmse): one lagged regressor at a time besides the target's own lag, in one grouped job."""
+    """(id, regressor, n, rmse): one lagged regressor at a time besides the target's own lag, all from one table of sums."""
     y = long.where(F.col("metric") == target).select("id", "ds", "value")
     x = long.where(F.col("metric").isin(candidates)).select("id", "ds", F.col("metric").alias("regressor"), F.col("value").alias("x"))
-    rows = last_n(y.join(x, ["id", "ds"]), HISTORY, ["id", "regressor"], "ds")
-    return in_sample(
-        rows, ["id", "regressor"],
-        lambda g, _: np.column_stack([np.ones(len(g)), g["value"].shift(lag), g["x"].shift(lag)]),
-    )
+    by = ["id", "regressor"]
+    w = Window.partitionBy(*by).orderBy("ds")
+    rows = y.join(x, ["id", "ds"]).select(*by, "value", F.lag("value", lag).over(w).alias("own"), F.lag("x", lag).over(w).alias("other"))
+    columns = {"one": F.lit(1.0), "own": F.col("own"), "other": F.col("other")}
+    fit = gm.solve(gm.gram(rows, by, columns, F.col("value")), by, list(columns), {"all": list(columns)})
+    return fit.select(*by, "n", F.sqrt(F.col("sse") / F.col("n")).alias("rmse"))
 
 
 GRID = (("daily", 1.0), ("weekly", 7.0), ("yearly", 365.25))
