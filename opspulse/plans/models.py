@@ -13,11 +13,12 @@ from ..operators import backtest as bt
 from ..operators import filters as fl
 from ..operators import forecast as fc
 from ..operators import gram as gm
+from ..operators import lagsums as ls
 from ..operators import timeseries as ts
 from ..operators.reshape import to_long
 from ..streaming import stream as st
 from . import standins as si
-from .queries import _LOOSE, _STATUS, _loose, holidays, query, r6
+from .queries import _ACT, _LOOSE, _STATUS, _loose, _oncall, holidays, query, r6
 from .standins import NOW, TYPES
 
 
@@ -122,6 +123,37 @@ def ar_forecast(spark, d):
     return fc.ar_forecast(regular(spark, d))
 
 
+@query(f"WITH {_REG} SELECT a.id, a.metric, CAST(lag AS INTEGER) AS lag, sum(a.value * b.value) AS products FROM reg a CROSS JOIN (SELECT unnest(range(72)) AS lag) JOIN reg b ON a.id = b.id AND a.metric = b.metric AND b.ds = a.ds - to_hours(lag) GROUP BY ALL", "hourly")
+def lag_sums(spark, d):
+    """Products of each series with itself at 0 to 71 hours' distance, added up over blocks: what an autoregression is solved from."""
+    x = regular(spark, d)
+    blocks = ls.hour_blocks(x, 72).withColumn("shift", F.lit(0.0))  # counts as they are, so that sums are whole numbers
+    each = ls.lag_totals(blocks, 72).select("id", "metric", F.posexplode("sums").alias("pos", "s")).where("pos > 0")
+    return each.groupBy("id", "metric", (F.col("pos") - 1).alias("lag")).agg(F.sum("s").alias("products"))
+
+
+_ONE_LAG = """few AS (SELECT id, unnest(generate_series(b - INTERVAL 24 HOUR, a + INTERVAL 480 HOUR, INTERVAL '-7 hours')) AS cutoff FROM (SELECT id, min(ds) AS a, max(ds) AS b FROM fa GROUP BY id)),
+pr AS (SELECT p.id, p.metric, h, p.ds, q.ds AS goal, p.value AS x, q.value AS y FROM reg p CROSS JOIN (SELECT unnest([1, 2, 3]) AS h) JOIN reg q ON p.id = q.id AND p.metric = q.metric AND q.ds = p.ds + to_hours(h)),
+fit AS (SELECT c.id, metric, cutoff, h, avg(y) AS my, avg(x) AS mx, CASE WHEN var_pop(x) > 1e-12 THEN covar_pop(x, y) / var_pop(x) ELSE 0 END AS slope
+  FROM few c JOIN pr ON pr.id = c.id AND pr.ds > cutoff - INTERVAL 336 HOUR AND goal <= cutoff GROUP BY ALL)"""
+
+
+@query(f"WITH {_REG}, {_ONE_LAG} SELECT f.id, f.metric, cutoff, ds + to_hours(f.h) AS ds, CAST(f.h AS INTEGER) AS horizon, y, round(my + slope * (x - mx), 3) AS yhat FROM fit f JOIN pr ON pr.id = f.id AND pr.metric = f.metric AND pr.h = f.h AND pr.ds = cutoff", "hourly")
+def ar_one_lag(spark, d):
+    """The autoregression on one lag as of every seventh hour, from two weeks before it."""
+    x = regular(spark, d)
+    out = fc.ar_backtest(x, bt.make_cutoffs(x, 480, 7, 24), lags=1, steps=3, history=336)
+    return out.withColumn("yhat", F.round("yhat", 3))
+
+
+@query(None)
+def ar_backtest_hourly(spark, d):
+    """Scores by horizon of the autoregression on 48 lags, refitted at a cutoff every hour, at most the last 720 of each site."""
+    x = regular(spark, d)
+    cuts = fl.last_n(bt.make_cutoffs(x, 240, 1, 24), 720, ["id"], "cutoff")
+    return bt.score(fc.ar_backtest(x, cuts), ["metric", "horizon"])
+
+
 @query(None)
 def chained_forecast(spark, d):
     return fc.chained_forecast(regular(spark, d), "error", "view")
@@ -389,6 +421,33 @@ def stream_busy_blocks(spark, d):
     return found.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "n")
 
 
+_ONCALL_BLOCKS = f"""WITH {_ACT}, f AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 2 HOUR THEN 0 ELSE 1 END AS fresh FROM act WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+g AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM f)
+SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 2 HOUR AS "end", count(*) AS n FROM g GROUP BY user_id, k"""
+
+
+@query(_ONCALL_BLOCKS, "shifts")
+def stream_oncall_blocks(spark, d):
+    """Blocks of on-call activity outside regular shifts: streams of activity and of both schedules, joined within bounds in time."""
+    out = _scratch(spark)
+    activity, oncall, regular_shifts = _oncall(spark, d)
+    # moves the watermarks, so that all is emitted; its user is not null, since rows without a user are dropped before the watermark
+    after = activity.agg((F.max("ts") + F.expr("interval 30 days")).alias("at"))
+    kind = activity.schema["user_id"].dataType
+
+    def stream(rows: DataFrame, name: str) -> DataFrame:
+        last = after.select(F.lit(-1).cast(kind).alias("user_id"), *[F.col("at").alias(c) for c in rows.columns[1:]])
+        rows.unionByName(last).write.parquet(f"{out}/{name}")
+        return spark.readStream.schema(rows.schema).parquet(f"{out}/{name}")
+
+    parts = [stream(activity.select("user_id", "ts"), "activity"), stream(oncall, "oncall"), stream(regular_shifts, "regular")]
+    q = st.oncall_blocks_stream(*parts).writeStream.format("parquet").outputMode("append")
+    q = q.option("checkpointLocation", f"{out}/checkpoint").option("path", f"{out}/blocks").trigger(availableNow=True).start()
+    q.awaitTermination()
+    found = spark.read.schema("user_id long, start timestamp, end timestamp, n long").parquet(f"{out}/blocks")
+    return found.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "n")
+
+
 @query("SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS ds, count(*) AS n FROM events GROUP BY 1")
 def stream_inflow_daily(spark, d):
     """Daily inflow by Structured Streaming, in append mode: each day is emitted once, when the watermark has passed it."""

@@ -146,3 +146,36 @@ def busy_blocks_stream(activity: DataFrame, gap: str = "2 hours", lateness: str
     timed = activity.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
     out = timed.groupBy("user_id", F.session_window(ts, gap).alias("w")).agg(F.count("*").alias("n"))
     return out.select("user_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
+
+
+def oncall_activity_stream(
+    activity: DataFrame, oncall: DataFrame, regular: DataFrame, longest: str = "24 hours", lateness: str = "2 hours",
+) -> DataFrame:
+    """(user_id, ts): activity within an on-call shift and outside the person's regular shifts, all three as streams.
+
+    activity: (user_id, ts); shifts: (user_id, shift_start, shift_end), half-open. Two joins by person with bounds in
+    time: inside (left semi), then outside (left outer, kept where nothing matched, once the watermark rules a match
+    out). ``longest`` is the greatest length of a shift, later hours of a longer one do not count; it and ``lateness``
+    bound what the joins keep. Rows later than the watermark are dropped.
+    """
+
+    def bounded(shifts: DataFrame, name: str) -> DataFrame:
+        own = shifts.select(F.col("user_id").alias("_by"), F.col("shift_start").cast("timestamp").alias("_a"), F.col("shift_end").cast("timestamp").alias("_z"))
+        return own.withWatermark("_a", lateness).alias(name)
+
+    def held(name: str) -> Column:
+        a, z = F.col(f"{name}._a"), F.col(f"{name}._z")
+        return (F.col("user_id") == F.col(f"{name}._by")) & (F.col("ts") >= a) & (F.col("ts") < a + F.expr(f"interval {longest}")) & (F.col("ts") < z)
+
+    timed = activity.select("user_id", F.col("ts").cast("timestamp").alias("ts")).withWatermark("ts", lateness)
+    inside = timed.join(bounded(oncall, "o"), held("o"), "left_semi")
+    return inside.join(bounded(regular, "r"), held("r"), "left").where(F.col("r._by").isNull()).select("user_id", "ts")
+
+
+def oncall_blocks_stream(
+    activity: DataFrame, oncall: DataFrame, regular: DataFrame, gap: str = "2 hours", longest: str = "24 hours", lateness: str = "2 hours",
+) -> DataFrame:
+    """(user_id, start, end, n): sessions of the activity that oncall_activity_stream finds, each once, when it is closed."""
+    found = oncall_activity_stream(activity, oncall, regular, longest, lateness)
+    out = found.groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n"))
+    return out.select("user_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")

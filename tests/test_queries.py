@@ -12,6 +12,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the given tables
 SOME = ["clean_report", "rollups", "kpi_status", "flag_anomalies", "regularize", "expand_shifts", "upsert", "backtest", "stream_upsert", "holiday_flags"]
 SOME += ["read_report_files", "read_csv_coerced", "read_many_files", "read_shift_json", "replace_partitions", "stream_report_files", "stream_corrections"]
 SOME += ["stream_busy_blocks", "stream_inflow_daily", "stream_alerts", "score_by_cutoff", "compare_models", "user_model", "latest_alerts", "regressor_sweep"]
+SOME += ["lag_sums", "ar_one_lag", "stream_oncall_blocks"]
 SOME += ["trend_gram", "season_cells", "cells_as_of", "stream_alert_changes", "staffing_counts", "staffing_steps", "orders_on_hebrew_holidays"]
 
 
