@@ -11,7 +11,9 @@ article text: elements such as nav, aside, footer or hidden ones, and *marked* e
 (forms, and those with a word such as ad, sidebar, comments or cookie in class, id or role).
 A mark never removes the article itself: marked elements around the article or main element
 (without one, around the first heading) are wrappers, and so is a marked element that holds
-nearly all text of the page. Outside an article or main element, lines that are nothing but
+nearly all text of the page. A mark that may be meant otherwise (a menu, or an ambiguous word beside an unknown one,
+such as related-work or ad-hoc-analysis) is decided by density: within an article or main element the part stays
+if its text-to-tag ratio reaches the threshold and little of it is links. Outside an article or main element, lines that are nothing but
 links, with a ratio below the threshold, are menus and go too.
 
 Inside a block white space becomes one space (a line break element counts as white
@@ -25,6 +27,7 @@ are read whole.
 from __future__ import annotations
 
 import collections
+import heapq
 import re
 from html.parser import HTMLParser
 from typing import NamedTuple
@@ -58,6 +61,17 @@ HINTS = frozenset(
     "footer masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted "
     "related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Hints for lists of links: prose in such a part is no menu.
+LINKS = frozenset("breadcrumb breadcrumbs menu nav navbar navigation pager pagination toolbar".split())
+#: Hints that are ordinary words too, and the words that leave them their usual meaning.
+AMBIGUOUS = LINKS | frozenset("ad ads banner modal notice notices related share sharing social widget".split())
+COMPANIONS = frozenset(
+    "area article articles bar block body bottom box btn button buttons col column container content desktop follow global "
+    "group heading icon icons image inline inner item items label left link links list main media mobile more news outer page panel "
+    "placeholder post posts primary reading right row secondary section site slot space sticky stories story text title top unit "
+    "wrap wrapper zone".split()
+)
+UNLINKED = 0.8  # least share of an ambiguous part's text outside links, for it to stay
 #: A name with one of these tells what surrounds or lacks the thing: has-sidebar, no-ads.
 AROUND = frozenset("has no not with without hide".split())
 ROLES = frozenset("navigation banner complementary contentinfo search form dialog alert menu menubar".split())
@@ -65,17 +79,22 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
-def _marked(attrs: list) -> bool:
-    """Whether class, id or role tells of a part that is no article text."""
+def _marked(attrs: list) -> tuple[bool, bool]:
+    """Whether class, id or role tells of a part that is no article text, and whether only an ambiguous name does."""
+    found = soft = False
     for name, value in attrs:
         if name in ("class", "id"):
             for token in (value or "").split():
                 words = {w.lower() for w in _WORDS.findall(token)}
-                if words & HINTS and not words & AROUND:
-                    return True
+                hints = words & HINTS
+                if not hints or words & AROUND:
+                    continue
+                if not (hints <= LINKS or hints <= AMBIGUOUS and words - HINTS - COMPANIONS):
+                    return True, False
+                found = soft = True
         if name == "role" and (value or "").strip().lower() in ROLES:
-            return True
-    return False
+            return True, False
+    return found, soft
 
 
 def _unseen(attrs: list) -> bool:
@@ -105,8 +124,9 @@ class Lines(HTMLParser):
         self.parent = {0: -1}
         self.marks = [0]
         self.mark_parent = {0: -1}
+        self.soft: set[int] = set()  # marks by ambiguous names
         self.articles: dict[int, int] = {}  # article and main elements without a mark of their own -> mark around them
-        self.inside = collections.Counter()  # open article, main, a and h1 elements
+        self.inside = collections.Counter()  # open elements by tag
         self.lines: list[Line] = []
         self.parts: list[str] = []
         self.tags = 0
@@ -134,8 +154,7 @@ class Lines(HTMLParser):
             self.regions.pop()
         if mark:
             self.marks.pop()
-        if tag in self.inside:
-            self.inside[tag] -= 1
+        self.inside[tag] -= 1
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
@@ -150,7 +169,8 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         skip = tag in SKIPPED or _unseen(attrs) or tag == "header" and not (self.inside["article"] or self.inside["main"])
-        mark = (tag == "form" or _marked(attrs)) and tag not in ("html", "body")
+        mark, soft = (True, False) if tag == "form" else _marked(attrs)
+        mark = mark and tag not in ("html", "body")
         region = -1
         if tag in REGIONS:
             region = self.n_regions
@@ -161,8 +181,9 @@ class Lines(HTMLParser):
         if mark:
             self.mark_parent[len(self.mark_parent)] = self.marks[-1]
             self.marks.append(len(self.mark_parent) - 1)
-        if tag in ("article", "main", "a", "h1"):
-            self.inside[tag] += 1
+            if soft:
+                self.soft.add(self.marks[-1])
+        self.inside[tag] += 1
         self.skipped += skip
         self.stack.append((tag, skip, region, mark))
 
@@ -175,7 +196,7 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in BLOCK:
             self.flush()
-        if any(x[0] == tag for x in self.stack):
+        if self.inside[tag]:
             while self.stack[-1][0] != tag:
                 self._pop()
             self._pop()
@@ -186,36 +207,75 @@ class Lines(HTMLParser):
             self.unlinked += bool(data.strip())
 
 
+def _summed(own: dict[int, int], parent: dict[int, int]) -> dict[int, int]:
+    """own with all that lies below added."""
+    out = dict.fromkeys(parent, 0) | own
+    for i in range(len(parent) - 1, 0, -1):  # children come after their parents
+        out[parent[i]] += out[i]
+    return out
+
+
+def _within(parent: dict[int, int], chosen) -> list[bool]:
+    """For each element whether it or one around it is chosen."""
+    out: list[bool] = []
+    for i, up in parent.items():
+        out.append(i in chosen or up >= 0 and out[up])
+    return out
+
+
 def _wrappers(p: Lines, seen: list[Line]) -> set[int]:
-    """The marked elements that stand around the article, 0 (no mark) among them."""
-    chain: dict[int, tuple[int, ...]] = {0: (0,)}
-    for m in range(1, len(p.mark_parent)):  # children come after their parents
-        chain[m] = (*chain[p.mark_parent[m]], m)
-    size = collections.Counter()
+    """The marked elements that stand around the article, 0 (no mark) among them; each element is looked at once."""
+    size, own = collections.Counter(), collections.Counter()
+    in_article = _within(p.parent, p.articles)
+    telling = set()  # marks right around text of an article
     for x in seen:
-        size.update(dict.fromkeys(_up(x.region, p.parent), len(x.text)))
+        size[x.region] += len(x.text)
+        own[x.mark] += len(x.text)
+        if not x.heading and in_article[x.region]:
+            telling.add(x.mark)
+    size, held = _summed(size, p.parent), _summed(own, p.mark_parent)
     starts = [(size[r], m) for r, m in p.articles.items() if size[r]] or [(1, x.mark) for x in seen if x.heading][:1]
     around = {0}
     if starts and all(m for _, m in starts):
-        around |= set(chain[max(starts)[1]])
-    held = collections.Counter()
-    for x in seen:
-        held.update(dict.fromkeys(chain[x.mark], len(x.text)))
+        m = max(starts)[1]
+        while m:
+            around.add(m)
+            m = p.mark_parent[m]
+    inner: dict[int, list[int]] = {}
+    for m, up in p.mark_parent.items():
+        inner.setdefault(up, []).append(m)
+    heap: list[tuple[int, int]] = []
+    outside, told, todo = 0, False, [0]
     while True:  # a marked element that holds nearly all text
-        outside = sum(len(x.text) for x in seen if around.issuperset(chain[x.mark]))
-        inner = [m for m, up in p.mark_parent.items() if up in around and m not in around]
-        largest = max(inner, key=lambda m: held[m], default=0)
-        told = any(not x.heading and around.issuperset(chain[x.mark]) and not p.articles.keys().isdisjoint(_up(x.region, p.parent)) for x in seen)
-        if told or outside >= BARE or held[largest] <= 3 * outside:
-            return {m for m in chain if around.issuperset(chain[m])}
-        around.add(largest)
-
-
-def _up(region: int, parent: dict[int, int]) -> list[int]:
-    out = [region]
-    while parent[out[-1]] >= 0:
-        out.append(parent[out[-1]])
-    return out
+        while todo:
+            m = todo.pop()
+            outside, told = outside + own[m], told or m in telling
+            for child in inner.get(m, ()):
+                if child in around:
+                    todo.append(child)
+                else:
+                    heapq.heappush(heap, (-held[child], child))
+        if told or outside >= BARE or not heap or -heap[0][0] <= 3 * outside:
+            return around
+        todo.append(heapq.heappop(heap)[1])
+        around.add(todo[0])
+
+
+def _prose(p: Lines, seen: list[Line], around: set[int], least: float) -> set[int]:
+    """Marks by ambiguous names, inside an article, whose text is as dense as content and hardly linked."""
+    in_article = _within(p.parent, p.articles)
+    text, linked, tags = collections.Counter(), collections.Counter(), collections.Counter()
+    for x in seen:
+        if x.mark in p.soft and in_article[x.region]:
+            text[x.mark] += len(x.text)
+            linked[x.mark] += len(x.text) * x.linked
+            tags[x.mark] += max(1, x.tags)
+    stay = set(around)
+    for m in sorted(p.soft):  # parents first
+        dense = m in text and text[m] >= least * tags[m] and linked[m] <= (1 - UNLINKED) * text[m]
+        if p.mark_parent[m] in stay and dense:
+            stay.add(m)
+    return stay
 
 
 def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -225,7 +285,7 @@ def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return sums / np.convolve(np.pad(np.ones_like(ratio), r), kernel, "valid")
 
 
-def _whole(p: Lines, best: int, content: set[int]) -> int:
+def _whole(p: Lines, best: int, content: list[int]) -> int:
     """The article or main element around the region; without one, the deepest element around it with all content lines."""
     up = [best]
     while p.parent[up[-1]] >= 0:
@@ -233,13 +293,15 @@ def _whole(p: Lines, best: int, content: set[int]) -> int:
     for region in up:
         if region in p.articles:
             return region
+    lines = _summed(collections.Counter(content), p.parent)
+    return next(region for region in up if lines[region] == len(content))
 
-    def holds(region: int, line: int) -> bool:
-        while line > region:  # children come after their parents
-            line = p.parent[line]
-        return line == region
 
-    return next(region for region in up if all(holds(region, line) for line in content))
+def _ratios(lines: list[Line]) -> tuple[np.ndarray, np.ndarray, float]:
+    """Text to tags of each line, the same smoothed, and the threshold of content."""
+    own = np.array([len(x.text) / max(1, x.tags) for x in lines])
+    ratio = smoothed(own)
+    return own, ratio, min(ratio.std(), ratio.max() / 2)
 
 
 def main_text(html: str | None) -> str:
@@ -252,13 +314,14 @@ def main_text(html: str | None) -> str:
     p.flush()
     kept = [x for x in p.lines if not x.skipped]
     if any(x.mark for x in kept):
-        around = _wrappers(p, kept)
-        kept = [x for x in kept if x.mark in around]
+        seen, around = kept, _wrappers(p, kept)
+        kept = [x for x in seen if x.mark in around]
+        if kept and p.soft:
+            around = _prose(p, seen, around, _ratios(kept)[2])
+            kept = [x for x in seen if x.mark in around]
     if not kept:
         return ""
-    own = np.array([len(x.text) / max(1, x.tags) for x in kept])
-    ratio = smoothed(own)
-    least = min(ratio.std(), ratio.max() / 2)
+    own, ratio, least = _ratios(kept)
     content = ratio >= least
     held: dict[int, int] = {}
     total = 0
@@ -271,7 +334,7 @@ def main_text(html: str | None) -> str:
             up = p.parent[region]
             held[up] = held.get(up, 0) + held[region]
     best = max((r for r, n in held.items() if n >= HOLDS * total), default=0)
-    best = _whole(p, best, {x.region for x, chosen in zip(kept, content, strict=True) if chosen})
+    best = _whole(p, best, [x.region for x, chosen in zip(kept, content, strict=True) if chosen])
     inside = {best}
     for r in range(best + 1, p.n_regions):
         if p.parent[r] in inside:
