@@ -29,7 +29,7 @@ shares none of the 24 bands with a probability of about 7 x 10^-5.
 
 Defined results: null texts count as empty, and all empty texts are copies of each other;
 rows with a null key get a null class and are never dropped; repeated rows share a class,
-and one of them stays; an empty table gives an empty result; only key and text are read.
+and one of them stays; of a key with unlike texts each class keeps a row of its own; an empty table gives an empty result; only key and text are read.
 """
 
 from __future__ import annotations
@@ -306,17 +306,22 @@ def _texts_of(docs: DataFrame, tests: DataFrame, nodes: DataFrame, key: str, tex
     return scratch.write(own.groupBy("h").agg(F.first("text").alias("text")))
 
 
+def _classed(docs: DataFrame, key: str, text_col: str, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Written tables: (key, h, ...) of each row, and (h, rep, root, n_links) of each text; rep is the text's least key."""
+    known = scratch.write(sketches(docs, key, text_col))
+    nodes = known.groupBy("h").agg(F.min(key).alias("rep"), F.max("n").alias("n"), F.first("bands").alias("bands"))
+    nodes = scratch.write(nodes)
+    classed = links(docs, nodes, key, text_col, scratch).classed(nodes.select("h", "rep"))
+    return known, scratch.write(classed.select("h", "rep", "root", F.col("deg").alias("n_links")))
+
+
 def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(key, class_id, n_links) for each row of docs; class_id is the least key of the class.
 
     n_links counts the verified links that made the class, not all similar texts.
     """
     scratch = Scratch(docs.sparkSession, "near")
-    known = scratch.write(sketches(docs, key, text_col))
-    nodes = known.groupBy("h").agg(F.min(key).alias("rep"), F.max("n").alias("n"), F.first("bands").alias("bands"))
-    nodes = scratch.write(nodes)
-    classed = links(docs, nodes, key, text_col, scratch).classed(nodes.select("h", "rep"))
-    classed = scratch.write(classed.select("h", "rep", "root", F.col("deg").alias("n_links")))
+    known, classed = _classed(docs, key, text_col, scratch)
     least = scratch.write(classed.groupBy("root").agg(F.min("rep").alias("class_id")))
     of_text = scratch.write(classed.join(least, "root").select("h", "class_id", "n_links"))
     out = known.select(key, "h").join(of_text, "h").select(key, "class_id", F.col("n_links").cast("bigint"))
@@ -326,14 +331,20 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text_col: str =
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each class: that of its least key."""
-    classes = near_duplicate_classes(docs, key, text_col)
-    stay = classes.where(F.col(key) == F.col("class_id")).groupBy(F.col(key).alias("k")).agg(F.count("*").alias("c"))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"), F.col(f"`{key}`").alias("k"))
-    kept = whole.join(stay.hint("merge"), "k")
-    text = F.col(f"r.`{text_col}`")
-    order = Window.partitionBy("k").orderBy(F.length(text), text)
-    again = kept.where("c > 1").withColumn("row", F.row_number().over(order)).where("row = 1").select("r")  # repeated keys
+    """docs with one row of each class: that of its least key, and of its least digest where this key has several texts.
+
+    A row is known by its key and its text's digest, so a key that is repeated with unlike texts keeps one row
+    for each class it is the least of. Of rows equal in both, that of the least hash of all columns stays.
+    """
+    scratch = Scratch(docs.sparkSession, "near")
+    known, classed = _classed(docs, key, text_col, scratch)
+    first = classed.groupBy("root").agg(F.min(F.struct(F.col("rep").alias("k"), "h")).alias("m")).select("m.k", "m.h")
+    rows = known.groupBy(F.col(f"`{key}`").alias("k"), "h").agg(F.count("*").alias("c"))
+    stay = scratch.result(rows.join(first, ["k", "h"]))
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r")
+    whole = docs.select(own, F.col(f"`{key}`").alias("k"), _digest(text_col)[0].alias("h"))
+    kept = whole.join(stay.hint("merge"), ["k", "h"])
+    again = kept.where("c > 1").groupBy("k", "h").agg(F.min_by("r", F.xxhash64(F.to_json("r"))).alias("r")).select("r")
     return kept.where("c = 1").select("r").union(again).union(whole.where("k is null").select("r")).select("r.*")
 
 
