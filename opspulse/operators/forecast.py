@@ -86,7 +86,7 @@ def trend_season_ranges(
 def ar_fit(long: DataFrame, lags: int = 48, steps: int = 24, quantiles: tuple[float, ...] = (0.2, 0.5, 0.8)) -> DataFrame:
     """Coefficients (id, metric, step, intercept, coef oldest lag first, offsets: residual quantiles), one row a step.
 
-    From lag sums over all hours of a series (``lagsums``); long is hourly and regular.
+    From lag sums over all hours of a series (``lagsums``).
     """
     whole = ls.series_ends(long).select("id", "metric", F.col("a").alias("start"), F.col("b").alias("cut"))
     models = ls.lag_models(long, whole, lags, steps).select("id", "metric", "step", "intercept", "coef")
@@ -193,7 +193,7 @@ run_variants = covariate_forecast
 def ar_backtest(long: DataFrame, cutoffs: DataFrame, lags: int = 48, steps: int = 24, history: int = 24 * 90) -> DataFrame:
     """(id, metric, cutoff, ds, horizon, y, yhat) of the autoregression fitted on the ``history`` hours up to each cutoff.
 
-    long is hourly and regular. A cutoff's state is the difference of two running lag sums, so any number of cutoffs
+    A cutoff's state is the difference of two running lag sums, so any number of cutoffs
     reads a row once. yhat is null where the hours before the cutoff are too few.
     """
     ends = ls.series_ends(long)

@@ -6,8 +6,8 @@ products at each lag; running sums over blocks give the state as of any hour. Th
 Toeplitz matrix of the difference of two states, less the windows that stick out at its two ends; these few values
 are in the states. Only the solve of lags x lags systems is Python's.
 
-Hours are regular (``timeseries.regularize``). An hour without a value counts as the one before it, leading
-ones as the first value; a series without values, or of fewer than lags + step + 1 hours, has no model of that step.
+An hour without a row or value counts as the one before it, leading ones as the first value; of two rows of an hour
+the greater value counts; a series without values, or of fewer than lags + step + 1 hours, has no model of that step.
 """
 
 from __future__ import annotations
@@ -43,13 +43,16 @@ def series_ends(long: DataFrame) -> DataFrame:
 
 def hour_blocks(long: DataFrame, span: int) -> DataFrame:
     """(id, metric, shift, block, last, own, x): the values of a block's ``own`` hours up to ``last``, after up to ``span`` hours before them."""
-    rows = long.select(*BY, hour_number("ds").alias("n"), F.col("value").cast("double").alias("v")).withColumn("block", _block(F.col("n")))
+    ends = series_ends(long)
+    given = long.groupBy(*BY, hour_number("ds").alias("n")).agg(F.max(F.col("value").cast("double")).alias("v"))
+    hours = ends.select(*BY, F.explode(F.sequence("a", "b")).alias("n"))
+    rows = hours.join(given, [*BY, "n"], "left").withColumn("block", _block(F.col("n")))
     seen = rows.groupBy(*BY, "block").agg(F.max_by("v", F.when(F.col("v").isNotNull(), F.col("n"))).alias("last"))
     before = Window.partitionBy(*BY).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # over blocks, not hours
     carry = seen.select(*BY, "block", F.last("last", ignorenulls=True).over(before).alias("carry"))
     up_to = Window.partitionBy(*BY, "block").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
     known = F.coalesce(F.last("v", ignorenulls=True).over(up_to), "carry", "lead")
-    full = rows.join(carry, [*BY, "block"]).join(series_ends(long).select(*BY, "shift", "lead"), BY).select(*BY, "shift", "n", known.alias("v"))
+    full = rows.join(carry, [*BY, "block"]).join(ends.select(*BY, "shift", "lead"), BY).select(*BY, "shift", "n", known.alias("v"))
     copies = full.withColumn("block", F.explode(F.sequence(_block(F.col("n")), _block(F.col("n") + span))))
     mine = _block(F.col("n")) == F.col("block")
     out = copies.groupBy(*BY, "block").agg(

@@ -70,3 +70,15 @@ def test_short_constant_and_empty_series(spark):
     assert got["same", 2].intercept == pytest.approx(7) and got["same", 2].coef == pytest.approx([0] * 4)
     assert forecast.ar_fit(df.where("false"), 4, 3).count() == 0
     assert forecast.ar_backtest(df.where("false"), df.select("id", F.col("ds").alias("cutoff"))).count() == 0
+
+
+def test_absent_and_repeated_hours(spark):
+    y = np.random.default_rng(2).normal(size=200).cumsum()
+    full = frame(spark, y)
+    gone = [0.0 if i in (50, 51, 120) else 1.0 for i in range(200)]
+    filled = pd.Series(np.where(np.array(gone) > 0, y, np.nan)).ffill().to_numpy()
+    rows = full.where(~F.col("ds").isin([at(50), at(51), at(120)]))
+    rows = rows.unionByName(rows.where(F.col("ds") == F.lit(at(9))).withColumn("value", F.col("value") - 1))
+    got = {x.step: x for x in forecast.ar_fit(rows, 3, 2).collect()}
+    for h in (1, 2):
+        assert [got[h].intercept, *got[h].coef] == pytest.approx(plain(filled, 3, h), abs=1e-5)
