@@ -22,7 +22,8 @@ Candidates in a bucket are never all pairs. They are settled in this order:
    bound what they can share in all. So the open texts' shingles are counted, each text
    keeps its rarest ones, and pairs of different classes that share one, and whose places
    allow 0.8, are compared. Nothing is lost here: the filter only drops pairs that cannot
-   match. A passage that is everywhere is common, hence late in the order, and brings no pairs.
+   match. A passage that is everywhere is common, hence late in the order, and brings no pairs where texts
+   have rarer shingles; texts made wholly from one stock of sentences still meet in many pairs.
 
 So every pair at 0.8 that shares a band is in one class at the end; a pair at exactly 0.8
 shares none of the 24 bands with a probability of about 7 x 10^-5.
