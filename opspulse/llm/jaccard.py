@@ -9,18 +9,23 @@ the smaller one, and its places in both bound what they may share in all. Any fi
 right; ours puts the ``HEAVY`` most repeated shingles last, by counts over all documents, so
 that passages found everywhere bring few pairs.
 
-1. Nodes that share a shingle with many others are compared with a few leaders of it first:
-   two by hash, then a hub (most links) and one more. Nodes in one class need no comparison.
-2. Shingles whose nodes are still in several classes are cut into *tiles*: nodes of one size
-   band, and of the next, in blocks of at most ``TILE`` rows each, two blocks a tile. A linked
+1. Shingles found in about the same nodes (equal least hashes of their nodes' ids) make one
+   *bundle*, which holds the nodes of all of them, each once: near copies share dozens of
+   shingles and would otherwise meet dozens of times. Bundles only decide which nodes meet.
+2. Nodes of a large bundle are compared with four leaders by hash first, then with two hubs: nodes that
+   link to most leaders. Nodes in one class need no comparison.
+3. Bundles whose nodes are still in several classes are cut into *tiles*: nodes of one size
+   band, and of the next, in blocks of about ``TILE`` rows each, two blocks a tile. A linked
    pair is never more than one band apart. A tile is one small array job: no pair becomes a row
-   before it has passed the classes, sizes, places and bitmaps.
-3. Bitmaps: bit k is the parity of the shingles hashed to k, so that two bitmaps differ in at
-   most |a - b| + |b - a| bits, which bounds the intersection from above.
-4. What is left is intersected exactly, on sorted arrays of both whole sets.
+   before it has passed the classes, sizes and bitmaps. Tiles of a single block come first; then
+   more hubs join the classes of different blocks, and only what is still apart meets in tiles of two blocks.
+4. Bitmaps: bit k is the parity of the shingles hashed to k, so that two bitmaps differ in at
+   most |a - b| + |b - a| bits, which bounds the intersection from above. They have two to four
+   bits a shingle (at most ``MOST_BITS``), so that few pairs below 0.8 pass them.
+5. What is left is intersected exactly, on sorted arrays of both whole sets.
 
 Every link between nodes of different classes is found; within a class links need not be
-(n_links counts those that were verified). A shingle shared by very many nodes that stay in
+(n_links counts those that were verified). A bundle of very many nodes that stay in
 different classes costs a quadratic number of bitmap comparisons, spread over tiles.
 
 Defined results: a null text, or one without words, has an empty set, is linked with nothing
@@ -43,12 +48,15 @@ from .common import Scratch, maybe_in, table
 from .components import components
 
 WORDS = 5
-LEAST, MOST_BITS = 64, 2048
+LEAST, MOST_BITS = 64, 4096
 HEAVY = 1 << 17
-CROWD = 3  # nodes of a shingle beyond which leaders are tried first
-TURNS = ((2, 0), (1, 1))  # leaders by hash, hubs by links
-TILE = 128
+CROWD = 16  # nodes of a bundle beyond which leaders are tried first
+TURNS = ((4, 0), (2, 4))  # leaders by hash, then hubs: how many, and links that count
+FAR = (4, 8)  # hubs for classes of different blocks
+ALIKE = 2  # least hashes of the nodes' ids that shingles of one bundle agree in
+TILE = 512
 PAIRS = 1 << 18  # of small tiles that are compared together
+AT_ONCE = 1 << 14  # pairs whose bitmaps are compared together
 CHUNK = 512
 MOST_CACHED = 400_000
 
@@ -99,7 +107,7 @@ class ShingleSets:
 def bitmaps(s: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Parities of each set's hashes in a number of bits that follows its size, as 64-bit words, and where each begins."""
     n = np.diff(ends)
-    width = np.where(n > 0, np.clip(1 << np.ceil(np.log2(np.maximum(n, 2) / 2)).astype(np.int64), LEAST, MOST_BITS), 0)
+    width = np.where(n > 0, np.clip(1 << np.ceil(np.log2(np.maximum(n, 2) * 2)).astype(np.int64), LEAST, MOST_BITS), 0)
     start = np.concatenate([[0], np.cumsum(width)])
     at = ((s * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(40)).astype(np.int64) & np.repeat(width - 1, n)
     odd = np.bincount(at + np.repeat(start[:-1], n), minlength=start[-1]) & 1
@@ -124,14 +132,10 @@ def prefix_lengths(n):
     return n - -(-4 * n // 5) + 1, n - -(-8 * n // 9) + 1
 
 
-def may_link(n1, i1, b1, n2, i2, b2):
-    """Bounds by sizes, places (from 0, of a shared shingle that may be the first) and bitmaps. Arrays, bitmaps in the last axis."""
-    need = needed(n1, n2)
+def may_link(n1, b1, n2, b2):
+    """Bounds by sizes and bitmaps. Arrays, bitmaps in the last axis."""
     apart = np.bitwise_count((b1 ^ b2).view(np.uint64)).sum(axis=-1, dtype=np.int64)  # of a signed number it would count the absolute value's bits
-    shared = (n1 + n2 - apart) // 2
-    if i1 is not None:
-        shared = np.minimum(shared, 1 + np.minimum(i1, i2) + np.minimum(n1 - i1, n2 - i2) - 1)
-    return (shared >= need) & (5 * np.minimum(n1, n2) >= 4 * np.maximum(n1, n2))
+    return ((n1 + n2 - apart) // 2 >= needed(n1, n2)) & (5 * np.minimum(n1, n2) >= 4 * np.maximum(n1, n2))
 
 
 def _pieces(batches, rows: int):
@@ -231,6 +235,8 @@ class Links:
         if bits:
             own = _refuted(own, self.nodes)
         own = self.scratch.write(own)
+        if self.tried is not None and own.isEmpty():
+            return
         ids = own.select(F.col("x").alias("id")).union(own.select(F.col("y").alias("id"))).distinct()
         sets = _sets_of(self.docs, self.scratch.write(self.nodes.select("id", F.col("rep").alias("k"), "h").join(ids, "id")), self.key, self.text_col, self.scratch, f"sets-{self.turn}")
         done = self.scratch.write(intersected(own, sets))
@@ -263,7 +269,7 @@ def _refuted(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             for u, v in set(zip(w1.tolist(), w2.tolist(), strict=True)):
                 at = np.flatnonzero((w1 == u) & (w2 == v))
                 one, two = b1[(e1[at] - u)[:, None] + np.arange(u)], b2[(e2[at] - v)[:, None] + np.arange(v)]
-                keep[at] = may_link(n[0][at], None, folded(one, min(u, v)), n[1][at], None, folded(two, min(u, v)))
+                keep[at] = may_link(n[0][at], folded(one, min(u, v)), n[1][at], folded(two, min(u, v)))
             yield part.filter(pa.array(keep)).select(["x", "y"])
 
     one = nodes.select(F.col("id").alias("x"), F.col("n").alias("n1"), F.col("bits").alias("b1"))
@@ -297,7 +303,7 @@ def size_band(n: Column) -> Column:
 
 
 def tiles(rows: DataFrame, tile: int = TILE) -> DataFrame:
-    """rows (s, id, n, i, root) -> the rows of each tile (s, band, p, q), with upper (of the next band) and block.
+    """rows (s, id, n, i, root), s a bundle -> the rows of each tile (s, band, p, q), with upper (of the next band) and block.
 
     A row is in tiles of its own band and of the band below; blocks are dealt by hash and have about ``tile`` rows.
     """
@@ -329,12 +335,17 @@ def _open_pairs(t: pa.RecordBatch, starts: np.ndarray) -> tuple[np.ndarray, np.n
     u, v = u[ok], v[ok]
     ok = ((n[u] > n[v]) | (i[u] < short[u]) | (n[u] == n[v])) & ((n[v] > n[u]) | (i[v] < short[v]) | (n[u] == n[v]))
     u, v = u[ok], v[ok]
+    ok = 5 * np.minimum(n[u], n[v]) >= 4 * np.maximum(n[u], n[v])
+    u, v = u[ok], v[ok]
     keep = np.zeros(len(u), bool)
-    for a, b in {*zip(width[u].tolist(), width[v].tolist(), strict=True)}:
-        at = np.flatnonzero((width[u] == a) & (width[v] == b))
-        words = min(a, b)
-        one, two = (folded(flat[first[x[at]][:, None] + np.arange(w)], words) for x, w in ((u, a), (v, b)))
-        keep[at] = may_link(n[u[at]], i[u[at]], one, n[v[at]], i[v[at]], two)
+    widths = np.unique(width).tolist()
+    for a in widths:
+        for b in widths:
+            at = np.flatnonzero((width[u] == a) & (width[v] == b))
+            for k in range(0, len(at), AT_ONCE):
+                x, y = u[at[k : k + AT_ONCE]], v[at[k : k + AT_ONCE]]
+                one, two = (folded(flat[first[z][:, None] + np.arange(w)], min(a, b)) for z, w in ((x, a), (y, b)))
+                keep[at[k : k + AT_ONCE]] = may_link(n[x], one, n[y], two)
     return ids[u[keep]], ids[v[keep]]
 
 
@@ -370,31 +381,56 @@ def tile_pairs(placed: DataFrame, parts: int) -> DataFrame:
     return dealt.mapInArrow(work, "a bigint, b bigint")
 
 
+def bundles(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Written (s, id, n, i): the nodes of each bundle s of shared shingles, i the first place of one of these in the node's prefix."""
+    rows = nodes.select("id", "n", F.posexplode("prefix").alias("i", "s")).select("s", "id", "n", F.col("i").cast("bigint").alias("i"))
+    least = [F.min(F.xxhash64("id", F.lit(j))).alias(f"least{j}") for j in range(ALIKE)]
+    shared = rows.groupBy("s").agg(F.count("*").alias("c"), *least).where("c > 1")
+    shared = scratch.write(shared.select("s", F.xxhash64(*[f"least{j}" for j in range(ALIKE)]).alias("b")))
+    rows = maybe_in(rows, F.col("s"), shared.select("s")).join(shared.hint("merge"), "s")
+    return scratch.write(rows.groupBy(F.col("b").alias("s"), "id").agg(F.first("n").alias("n"), F.min("i").alias("i")))
+
+
+def _led(rows: DataFrame, picks: int, most: int, scratch: Scratch) -> DataFrame:
+    """(a, b): the nodes of each bundle with a few of them, where they may link by size.
+
+    Picked are nodes with ``most`` links or more (all have 0), by hash: who was compared with all has more, but few were.
+    """
+    one = F.struct("id", "n", "root")
+    picks = [F.max_by(one, F.struct(F.least("deg", F.lit(most)), F.xxhash64("id", F.lit(f"{most} {j}")))) for j in range(picks)]
+    heads = rows.groupBy("s").agg(F.array_distinct(F.array(*picks)).alias("heads"))
+    led = rows.join(scratch.write(heads), "s").select("id", "n", "root", F.explode("heads").alias("l"))
+    n, m = F.col("n"), F.col("l.n")
+    fits = (F.col("l.root") != F.col("root")) & (5 * F.least(n, m) >= 4 * F.greatest(n, m))
+    return led.where(fits).select(F.col("l.id").alias("a"), F.col("id").alias("b"))
+
+
+def _apart(rows: DataFrame, scratch: Scratch, least: int = 2) -> DataFrame:
+    """Written: the rows of bundles of ``least`` nodes or more that are in several classes, whole bundles."""
+    own = rows.groupBy("s").agg(F.count("*").alias("c"), (F.min("root") != F.max("root")).alias("several"))
+    own = scratch.write(own.where(F.col("several") & (F.col("c") >= least)).select("s"))
+    return scratch.write(rows.join(own.hint("merge"), "s"))
+
+
 def links(docs: DataFrame, nodes: DataFrame, key: str, text_col: str, scratch: Scratch) -> Links:
     """All links that join different classes. nodes: written (id, rep, h, n, bits, prefix), without empty sets."""
     found = Links(docs, nodes, key, text_col, scratch)
-    rows = nodes.select("id", "n", F.posexplode("prefix").alias("i", "s")).select("s", "id", "n", F.col("i").cast("bigint").alias("i"))
-    shared = rows.groupBy("s").agg(F.count("*").alias("c")).where("c > 1")
-    shared = scratch.write(shared)
-    rows = scratch.write(maybe_in(rows, F.col("s"), shared.select("s")).join(shared.hint("merge"), "s"))
-    crowd = found.classed(rows.where(F.col("c") > CROWD).drop("c"))
-    for turn, (leaders, hubs) in enumerate(TURNS):
-        one = F.struct("id", "n", "i", "root")
-        picks = [F.min_by(one, F.xxhash64("id", F.lit(10 * turn + j))) for j in range(leaders)]
-        picks += [F.max_by(one, F.struct("deg", F.xxhash64("id", F.lit(-1 - j)))) for j in range(hubs)]
-        heads = crowd.groupBy("s").agg(F.array_distinct(F.array(*picks)).alias("heads"), (F.min("root") != F.max("root")).alias("several"))
-        led = crowd.join(scratch.write(heads.where("several").drop("several")), "s").select("id", "n", "i", "root", F.explode("heads").alias("l"))
-        n, m, i, j = F.col("n"), F.col("l.n"), F.col("i"), F.col("l.i")
-        most = F.least(i, j) + F.least(n - i, m - j)
-        fits = (F.col("l.root") != F.col("root")) & (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * most >= 4 * (n + m))
-        found.test(led.where(fits).select(F.col("l.id").alias("a"), F.col("id").alias("b")))
-        crowd = scratch.write(found.classed(crowd))
-    rows = found.classed(rows.drop("c"))
-    apart = rows.groupBy("s").agg((F.min("root") != F.max("root")).alias("several")).where("several").select("s")
-    rows = scratch.write(rows.select("s", "id", "n", "i", "root").join(scratch.write(apart).hint("merge"), "s"))
-    placed = tiles(scratch.write(rows)).join(nodes.select("id", "bits").hint("merge"), "id")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found.test(tile_pairs(placed, parts), bits=False)
+    bits = nodes.select("id", "bits").hint("merge")
+    rows = bundles(nodes, scratch)
+    crowd = _apart(found.classed(rows), scratch, CROWD + 1)
+    for picks, most in TURNS:
+        found.test(_led(crowd, picks, most, scratch))
+        crowd = _apart(found.classed(crowd), scratch)
+    rows = _apart(found.classed(rows), scratch)
+    found.test(tile_pairs(tiles(rows).where("p = q").join(bits, "id"), parts), bits=False)
+    large = scratch.write(tiles(rows).where("p <> q").select("s").distinct())
+    if large.isEmpty():
+        return found
+    rows = _apart(found.classed(rows.join(large, "s", "left_semi")), scratch)
+    found.test(_led(rows, *FAR, scratch))
+    rows = _apart(found.classed(rows), scratch)
+    found.test(tile_pairs(tiles(rows).where("p <> q").join(bits, "id"), parts), bits=False)
     return found
 
 
