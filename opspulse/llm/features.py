@@ -115,9 +115,34 @@ def learn_lexicon(sample_docs: DataFrame, text_col: str, n_classes: int, n_rows:
     return lexicons
 
 
+ENDS = ".,;:!?"
+
+
+class Lookup:
+    """A chunk -> its features' numbers, as 32-bit bytes. Plain words are looked up without making the names of their features."""
+
+    def __init__(self, features: list[str]):
+        self.index = {f: i for i, f in enumerate(features)}
+        named = lambda kind: {f[2:]: i for f, i in self.index.items() if f.startswith(f"{kind}:")}
+        self.words, self.starts = named("w"), [(n, own) for n in (4, 5, 6) if (own := named(n))]
+
+    def __call__(self, chunk: str) -> bytes:
+        low, end = chunk.lower(), -1 if chunk[-1:] in ENDS else None
+        if chunk[:end].isalnum() and low[:end].isalnum():  # \w+ matches all of it, and there is no run of punctuation
+            w = low[:end][:40]
+            found = [self.words[w]] if w in self.words else []
+            found += [own[w[:n]] for n, own in self.starts if len(w) > n and w[:n] in own]
+            if "caps" in self.index and len(chunk) > 3 and chunk.isupper():
+                found.append(self.index["caps"])
+        else:
+            found = [self.index[f] for f in chunk_features(chunk) if f in self.index]
+        return np.array(found, "<i4").tobytes() if found else b""
+
+
 def hits(docs: DataFrame, key: str, text_col: str, features: list[str]) -> DataFrame:
     """(key, tokens, idx, cnt): number of white-space delimited words, and the lexicon's features with their counts."""
-    index = {f: i for i, f in enumerate(features)}
+    lookup = Lookup(features)
+    index = lookup.index
     kind = docs.schema[key].dataType.simpleString()
 
     def work(batches):
@@ -130,7 +155,7 @@ def hits(docs: DataFrame, key: str, text_col: str, features: list[str]) -> DataF
                 if len(known) > MOST_CACHED:
                     known.clear()
                 for c in set(chunks).difference(known):
-                    known[c] = np.array([index[f] for f in chunk_features(c) if f in index], "<i4").tobytes()
+                    known[c] = lookup(c)
                 found = np.frombuffer(b"".join([known[c] for c in chunks]), "<i4")
                 i, n = np.unique(found, return_counts=True)
                 for f, times in zip(REPEATS, repeats(whole, chunks), strict=True):
