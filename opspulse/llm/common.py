@@ -74,20 +74,24 @@ class Scratch:
         return out
 
 
-def maybe_in(rows: DataFrame, column: Column, keys: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
+def maybe_in(rows: DataFrame, column: Column, keys: DataFrame, most_bits: int = MOST_BITS, turns: int = 1) -> DataFrame:
     """rows whose column may be among the keys (one column): all that are, and about a tenth of the others.
 
     A bitmap of the keys' hashes, of at most ``most_bits`` bits however many keys there are, is broadcast as
     64-bit words, so that a shuffled join afterwards moves fewer rows. It never changes what that join returns.
+    Each further turn has a bitmap of other hashes and leaves about a tenth of the others that were left.
     """
     bits = 1 << max(16, min(most_bits.bit_length() - 1, (8 * keys.count()).bit_length()))
 
-    def places(of: Column) -> tuple[Column, Column]:
-        at = F.xxhash64(of).bitwiseAND(F.lit(bits - 1).cast("bigint"))
+    def places(of: Column, turn: int) -> tuple[Column, Column]:
+        at = (F.xxhash64(of, F.lit(turn)) if turn else F.xxhash64(of)).bitwiseAND(F.lit(bits - 1).cast("bigint"))
         return F.shiftright(at, 6), F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(63).cast("int"))
 
-    word, bit = places(F.col(keys.columns[0]))
-    words = keys.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
-    word, bit = places(column)
-    both = rows.withColumns({"_word": word, "_bit": bit}).join(F.broadcast(words), "_word")
-    return both.where(F.col("_bits").bitwiseAND(F.col("_bit")) != 0).select(*[F.col(f"`{c}`") for c in rows.columns])
+    own = [F.col(f"`{c}`") for c in rows.columns]
+    for turn in range(turns):
+        word, bit = places(F.col(keys.columns[0]), turn)
+        words = keys.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+        word, bit = places(column, turn)
+        both = rows.withColumns({"_word": word, "_bit": bit}).join(F.broadcast(words), "_word")
+        rows = both.where(F.col("_bits").bitwiseAND(F.col("_bit")) != 0).select(*own)
+    return rows

@@ -9,7 +9,7 @@ the smaller one, and its places in both bound what they may share in all. Any fi
 right; ours puts the ``HEAVY`` most repeated shingles last, by counts over all documents, so
 that passages found everywhere bring few pairs.
 
-1. Shingles found in about the same nodes (equal least hashes of their nodes' ids) make one
+1. Shingles found in about the same nodes (equal least and greatest ids of their nodes) make one
    *bundle*, which holds the nodes of all of them, each once: near copies share dozens of
    shingles and would otherwise meet dozens of times. Bundles only decide which nodes meet.
 2. Nodes of a large bundle are compared with four leaders by hash first, then with two hubs: nodes that
@@ -53,7 +53,6 @@ HEAVY = 1 << 17
 CROWD = 16  # nodes of a bundle beyond which leaders are tried first
 TURNS = ((4, 0), (2, 4))  # leaders by hash, then hubs: how many, and links that count
 FAR = (4, 8)  # hubs for classes of different blocks
-ALIKE = 2  # least hashes of the nodes' ids that shingles of one bundle agree in
 TILE = 512
 PAIRS = 1 << 18  # of small tiles that are compared together
 AT_ONCE = 1 << 14  # pairs whose bitmaps are compared together
@@ -215,8 +214,9 @@ def _sets_of(docs: DataFrame, own: DataFrame, key: str, text_col: str, scratch:
 
     kind = docs.schema[key].dataType.simpleString()
     texts = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text_col}`").cast("string").alias("t"))
-    rows = maybe_in(texts, F.col("k"), own.select("k")).mapInArrow(work, f"k {kind}, h binary, s array<bigint>")
-    return scratch.write(rows.join(own, ["k", "h"]).groupBy("id").agg(F.first("s").alias("s")), name)  # a key may have other texts, and copies
+    rows = maybe_in(texts, F.col("k"), own.select("k"), turns=2).mapInArrow(work, f"k {kind}, h binary, s array<bigint>")
+    # a key may have other texts, and copies; grouped as they were joined, sets are dealt once
+    return scratch.write(rows.join(own, ["k", "h"]).groupBy("k", "h").agg(F.first("id").alias("id"), F.first("s").alias("s")).select("id", "s"), name)
 
 
 class Links:
@@ -232,9 +232,9 @@ class Links:
         own = pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
         if self.tried is not None:
             own = own.join(self.tried.select("x", "y"), ["x", "y"], "left_anti")
-        if bits:
-            own = _refuted(own, self.nodes)
         own = self.scratch.write(own)
+        if bits:
+            own = self.scratch.write(_refuted(own, self.nodes))
         if self.tried is not None and own.isEmpty():
             return
         ids = own.select(F.col("x").alias("id")).union(own.select(F.col("y").alias("id"))).distinct()
@@ -272,8 +272,8 @@ def _refuted(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                 keep[at] = may_link(n[0][at], folded(one, min(u, v)), n[1][at], folded(two, min(u, v)))
             yield part.filter(pa.array(keep)).select(["x", "y"])
 
-    one = nodes.select(F.col("id").alias("x"), F.col("n").alias("n1"), F.col("bits").alias("b1"))
-    two = nodes.select(F.col("id").alias("y"), F.col("n").alias("n2"), F.col("bits").alias("b2"))
+    one = maybe_in(nodes, F.col("id"), pairs.select("x").distinct()).select(F.col("id").alias("x"), F.col("n").alias("n1"), F.col("bits").alias("b1"))
+    two = maybe_in(nodes, F.col("id"), pairs.select("y").distinct()).select(F.col("id").alias("y"), F.col("n").alias("n2"), F.col("bits").alias("b2"))
     both = pairs.join(two, "y").join(one, "x").select("x", "y", "n1", "n2", "b1", "b2")
     return both.mapInArrow(work, "x bigint, y bigint")
 
@@ -384,10 +384,9 @@ def tile_pairs(placed: DataFrame, parts: int) -> DataFrame:
 def bundles(nodes: DataFrame, scratch: Scratch) -> DataFrame:
     """Written (s, id, n, i): the nodes of each bundle s of shared shingles, i the first place of one of these in the node's prefix."""
     rows = nodes.select("id", "n", F.posexplode("prefix").alias("i", "s")).select("s", "id", "n", F.col("i").cast("bigint").alias("i"))
-    least = [F.min(F.xxhash64("id", F.lit(j))).alias(f"least{j}") for j in range(ALIKE)]
-    shared = rows.groupBy("s").agg(F.count("*").alias("c"), *least).where("c > 1")
-    shared = scratch.write(shared.select("s", F.xxhash64(*[f"least{j}" for j in range(ALIKE)]).alias("b")))
-    rows = maybe_in(rows, F.col("s"), shared.select("s")).join(shared.hint("merge"), "s")
+    shared = rows.groupBy("s").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z")  # most are in one node: short rows
+    shared = scratch.write(shared.select("s", F.xxhash64("a", "z").alias("b")))
+    rows = maybe_in(rows, F.col("s"), shared.select("s"), turns=2).join(shared.hint("merge"), "s")
     return scratch.write(rows.groupBy(F.col("b").alias("s"), "id").agg(F.first("n").alias("n"), F.min("i").alias("i")))
 
 
@@ -412,25 +411,30 @@ def _apart(rows: DataFrame, scratch: Scratch, least: int = 2) -> DataFrame:
     return scratch.write(rows.join(own.hint("merge"), "s"))
 
 
+def _with_bits(placed: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """placed with bitmaps; rows: written, with the ids of all that was placed."""
+    bits = maybe_in(nodes.select("id", "bits"), F.col("id"), rows.select("id").distinct())
+    return placed.join(bits.hint("merge"), "id")
+
+
 def links(docs: DataFrame, nodes: DataFrame, key: str, text_col: str, scratch: Scratch) -> Links:
     """All links that join different classes. nodes: written (id, rep, h, n, bits, prefix), without empty sets."""
     found = Links(docs, nodes, key, text_col, scratch)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bits = nodes.select("id", "bits").hint("merge")
     rows = bundles(nodes, scratch)
     crowd = _apart(found.classed(rows), scratch, CROWD + 1)
     for picks, most in TURNS:
         found.test(_led(crowd, picks, most, scratch))
         crowd = _apart(found.classed(crowd), scratch)
     rows = _apart(found.classed(rows), scratch)
-    found.test(tile_pairs(tiles(rows).where("p = q").join(bits, "id"), parts), bits=False)
+    found.test(tile_pairs(_with_bits(tiles(rows).where("p = q"), rows, nodes), parts), bits=False)
     large = scratch.write(tiles(rows).where("p <> q").select("s").distinct())
     if large.isEmpty():
         return found
     rows = _apart(found.classed(rows.join(large, "s", "left_semi")), scratch)
     found.test(_led(rows, *FAR, scratch))
     rows = _apart(found.classed(rows), scratch)
-    found.test(tile_pairs(tiles(rows).where("p <> q").join(bits, "id"), parts), bits=False)
+    found.test(tile_pairs(_with_bits(tiles(rows).where("p <> q"), rows, nodes), parts), bits=False)
     return found
 
 
