@@ -153,21 +153,23 @@ def oncall_activity_stream(
 ) -> DataFrame:
     """(user_id, ts): activity within an on-call shift and outside the person's regular shifts, all three as streams.
 
-    activity: (user_id, ts); shifts: (user_id, shift_start, shift_end), half-open. Two joins by person with bounds in
-    time: inside (left semi), then outside (left outer, kept where nothing matched, once the watermark rules a match
+    activity: (user_id, ts); shifts: (user_id, shift_start, shift_end), half-open. Two joins by person and day with bounds in
+    time (a shift is listed under each day it touches, so that activity is compared with that day's shifts and not with all of a person's): inside (left semi), then outside (left outer, kept where nothing matched, once the watermark rules a match
     out). ``longest`` is the greatest length of a shift, later hours of a longer one do not count; it and ``lateness``
     bound what the joins keep. Rows later than the watermark are dropped.
     """
 
     def bounded(shifts: DataFrame, name: str) -> DataFrame:
         own = shifts.select(F.col("user_id").alias("_by"), F.col("shift_start").cast("timestamp").alias("_a"), F.col("shift_end").cast("timestamp").alias("_z"))
-        return own.withWatermark("_a", lateness).alias(name)
+        timed = own.withWatermark("_a", lateness).where(F.col("_a") < F.col("_z"))
+        last = F.least(F.col("_z"), F.col("_a") + F.expr(f"interval {longest}"))
+        return timed.withColumn("_on", F.explode(F.sequence(F.to_date("_a"), F.to_date(last), F.expr("interval 1 day")))).alias(name)
 
     def held(name: str) -> Column:
         a, z = F.col(f"{name}._a"), F.col(f"{name}._z")
-        return (F.col("user_id") == F.col(f"{name}._by")) & (F.col("ts") >= a) & (F.col("ts") < a + F.expr(f"interval {longest}")) & (F.col("ts") < z)
+        return (F.col("user_id") == F.col(f"{name}._by")) & (F.col("_day") == F.col(f"{name}._on")) & (F.col("ts") >= a) & (F.col("ts") < a + F.expr(f"interval {longest}")) & (F.col("ts") < z)
 
-    timed = activity.select("user_id", F.col("ts").cast("timestamp").alias("ts")).withWatermark("ts", lateness)
+    timed = activity.select("user_id", F.col("ts").cast("timestamp").alias("ts")).withWatermark("ts", lateness).withColumn("_day", F.to_date("ts"))
     inside = timed.join(bounded(oncall, "o"), held("o"), "left_semi")
     return inside.join(bounded(regular, "r"), held("r"), "left").where(F.col("r._by").isNull()).select("user_id", "ts")
 
